@@ -1,0 +1,203 @@
+from __future__ import annotations
+
+import pytest
+from fixtures import C1, E1, channel, ess, record, second_day, systems, uploads
+from pyspark.sql import functions as F
+
+from wattledger.operators import skew
+from wattledger.plans import daily
+from wattledger.plans.outputs import energy_dataframe, partner_telemetry
+from wattledger.schema import ESS_ENERGY, SYSTEMS
+from wattledger.sources import sinks
+
+FLOAT_VOLTAGE = 1.2345000505447388
+
+
+@pytest.fixture(scope="module")
+def acceptance(spark):
+    rows = [r for pair in zip(second_day(C1), second_day(E1)) for r in pair]
+    return daily.run(
+        uploads(spark, rows), systems(spark, [C1, E1]), ess(spark, [1616544000]), local_mode=True
+    )
+
+
+EXPECTED = {
+    f"systemId-{C1}": (40481738496, 1318551604, 147936, -300, False),
+    f"systemId-{E1}": (1318551604, 40481738496, -300, 147936, True),
+}
+
+
+def test_two_systems_energy(acceptance):
+    rows = acceptance.energy.collect()
+    assert len(rows) == 2
+    for r in rows:
+        host = r["system_id"].removeprefix("systemId-")
+        raw, delta, rgm = r["raw_data"], r["delta_data"], r["rgm_data"]
+        assert (
+            raw["raw_inverter_lifetime_imported_ws"],
+            raw["raw_inverter_lifetime_exported_ws"],
+            delta["inverter_energy_imported_ws"],
+            delta["inverter_energy_exported_ws"],
+            rgm["is_inverter_output_swapped"],
+        ) == EXPECTED[r["system_id"]]
+        assert (r["timestamp_utc"], raw["raw_timestamp"]) == (1616544299, 1616544327)
+        assert delta["time_diff_in_seconds"] == 300
+        assert (rgm["real_power_w"], rgm["voltage_v"], rgm["reactive_power_var"]) == (
+            453,
+            FLOAT_VOLTAGE,
+            987,
+        )
+        assert (r["host_rcpn"], r["partition_key"], r["dataframe_type"]) == (host, host, "RGM")
+        assert r["system_registration_type"] == "REGISTERED"
+        assert r["timezone"] == {C1: "Pacific/Honolulu", E1: "America/Chicago"}[host]
+
+
+def test_two_systems_partner(acceptance):
+    rows = acceptance.partner.collect()
+    assert len(rows) == 2
+    for r in rows:
+        (rec,) = r["energy_record_set"]
+        assert (rec["previous_timestamp"], rec["current_timestamp"]) == (1616544027.0, 1616544327.0)
+        assert (rec["inverter_state"], rec["sys_mode"]) == (2080, "SELF_SUPPLY")
+        (c,) = rec["channel"]
+        assert (
+            c["imported_energy_ws"],
+            c["exported_energy_ws"],
+            c["delta_imported_energy_ws"],
+            c["delta_exported_energy_ws"],
+        ) == EXPECTED[r["system_id"]][:4]
+        host = r["system_id"].removeprefix("systemId-")
+        assert (c["device_id"], c["device_type"], c["channel_type"]) == (
+            host,
+            "INVERTER",
+            "INVERTER_OUTPUT",
+        )
+        assert (c["channel"], c["real_power_w"], c["is_revenue_grade"]) == (1, 453, True)
+        assert r["site_id"] == f"siteId-{host}"
+
+
+def test_two_systems_leave_state_and_no_misses(acceptance):
+    assert acceptance.dead_letters.count() == acceptance.metrics.count() == 0
+    assert {r["slot"] for r in acceptance.state.slots.collect()} == {1616544300}
+    assert {(r["system_id"], r["swapped"], r["valid_until"]) for r in acceptance.state.ct.collect()} == {
+        (f"systemId-{C1}", False, 1616544300 + 21600),
+        (f"systemId-{E1}", True, 1616544300 + 21600),
+    }
+
+
+def job(spark, rows, known, reference=(), **more):
+    return daily.run(
+        uploads(spark, rows),
+        spark.createDataFrame(known, SYSTEMS),
+        spark.createDataFrame(list(reference), ESS_ENERGY),
+        1200,
+        **more,
+    )
+
+
+def test_unregistered_systems_pass_unchanged_and_are_not_sent(spark):
+    rows = [("s", [record(t, channel("a", t, 1))]) for t in (300, 600)]
+    out = job(spark, rows, [("a", "s", "t", False, "Europe/Paris", None)], [("s", 300, 1.0, 9.0)])
+    row = out.energy.first()
+    assert (row["timezone"], row["system_registration_type"]) == ("UTC", "UNREGISTERED")
+    assert row["rgm_data"]["is_inverter_output_swapped"] is False
+    assert row["delta_data"]["inverter_energy_imported_ws"] == 300
+    assert out.partner.count() == 0
+
+
+def test_unknown_devices_go_to_dead_letters_once(spark):
+    rows = [("s", [record(t, channel("x", t, 1))]) for t in (300, 600, 900)]
+    sets = uploads(spark, rows).withColumn("processed_at", F.lit(1000).cast("bigint"))
+    out = daily.run(
+        sets,
+        spark.createDataFrame([], SYSTEMS),
+        spark.createDataFrame([], ESS_ENERGY),
+        1200,
+        deployment="test",
+    )
+    assert out.energy.count() == 0
+    assert [r["dlq_key"] for r in out.dead_letters.collect()] == ["1970-01-01/x/600.json"]
+    assert out.metrics.first()["value"] == 1
+    assert out.state.misses.collect() == [("x", 1900)]
+
+
+def test_the_key_and_the_device_of_a_reading_can_differ(spark):
+    """The first inverter channel gives the key, the last output channel the values."""
+    rows = [
+        ("s", [record(t, channel("a", t, 1), channel("b", 2 * t, 1))]) for t in (300, 600)
+    ]
+    out = job(spark, rows, [("b", "s", "t", False, None, None)])
+    row = out.energy.first()
+    assert (row["host_rcpn"], row["delta_data"]["inverter_energy_imported_ws"]) == ("b", 600)
+    assert out.state.slots.first()["host_rcpn"] == "a"
+
+
+CORRECTED = (
+    "system_host_rcpn string, timestamp_utc bigint, timezone string, system_id string, "
+    "site_id string, is_registered boolean, event_timestamp bigint, raw_imported_ws bigint, "
+    "raw_exported_ws bigint, time_delta_seconds int, delta_imported_ws bigint, "
+    "delta_exported_ws bigint, real_power_w int, voltage_v float, reactive_power_var int, "
+    "swapped boolean"
+)
+
+
+def corrected(spark, rec, imported=5, exported=6, delta=None):
+    row = ("h", 299, "Z", "s", "t", True, 300, imported, exported, 300, delta, delta, None, None, None, False)
+    records = uploads(spark, [("s", [rec])]).select(F.col("record")[0].alias("record"))
+    return spark.createDataFrame([row], CORRECTED).crossJoin(records)
+
+
+def partner_record_set(spark, *args, **more):
+    return partner_telemetry(corrected(spark, *args, **more)).first()["energy_record_set"]
+
+
+def test_partner_defaults(spark):
+    (rec,) = partner_record_set(
+        spark, (None, None, None, None, [channel(None, channel=None), channel("x", channelType=None)])
+    )
+    assert (rec["inverter_state"], rec["sys_mode"], rec["current_timestamp"]) == (
+        0,
+        "SAFETY_SHUTDOWN",
+        0.0,
+    )
+    (c,) = rec["channel"]
+    assert (c["channel"], c["device_id"], c["real_power_w"]) == (0, "", 0)
+    assert (c["delta_imported_energy_ws"], c["imported_energy_ws"]) == (None, 5)
+
+
+def test_partner_record_that_cannot_be_converted(spark):
+    assert partner_record_set(spark, record(1, channel("a")), imported=None) == []
+    assert partner_record_set(spark, record(1, channel("a"), mode="HOLIDAY")) == []
+    # Counters are only needed for an output channel.
+    (rec,) = partner_record_set(spark, record(1, channel("a", channelType="NET")), imported=None)
+    assert rec["channel"] == []
+
+
+def test_energy_keeps_missing_values(spark):
+    row = energy_dataframe(corrected(spark, record(1), imported=None)).first()
+    assert row["raw_data"]["raw_inverter_lifetime_imported_ws"] is None
+    assert row["delta_data"]["inverter_energy_imported_ws"] is None
+    assert row["rgm_data"]["voltage_v"] is None
+
+
+def test_cutting_large_devices_changes_no_output(spark):
+    from wattledger.plans.queries import NOW
+    from wattledger.sources import derived
+
+    sf_dir = "/root/testdata/sf0.001"
+    inputs = [f(spark, sf_dir) for f in (derived.record_sets, derived.systems, derived.ess_energy)]
+    plain = daily.run(*inputs, NOW, hot=skew.NO_HOT_KEYS)
+    cut = daily.run(*inputs, NOW, hot=skew.HotKeys(("host-0",), 40))
+    for name in ("energy", "partner", "dead_letters", "quality", "metrics"):
+        rows = [sorted(map(str, getattr(o, name).collect())) for o in (plain, cut)]
+        assert rows[0] == rows[1] and rows[0]
+
+
+def test_sinks_write_by_day(spark, acceptance, tmp_path):
+    sinks.write_energy(acceptance.energy, str(tmp_path / "energy"))
+    sinks.write_partner(acceptance.partner, str(tmp_path / "partner"))
+    for name in ("energy", "partner"):
+        table = spark.read.parquet(str(tmp_path / name))
+        assert table.count() == 2
+        assert {str(r["event_date"]) for r in table.collect()} == {"2021-03-24"}
+        assert {r["partition_key"] for r in table.collect()} == {C1, E1}

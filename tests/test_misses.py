@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from fixtures import channel, record, systems, uploads
+from machines import miss_machine
+from pyspark.sql import functions as F
+
+from wattledger.operators import enrich, throttle
+from wattledger.schema import MISS_STATE, SYSTEMS
+
+MISS = "raw_host_rcpn string, processed_at bigint, arrival_seq bigint, record_pos int"
+
+
+def random_misses(seed, n=2000):
+    rng = random.Random(seed)
+    at, rows = 1_000, []
+    for seq in range(n):
+        at += rng.choice([0, 0, 1, 30, 200])
+        host = "h0" if rng.random() < 0.4 else rng.choice(["h1", "h2", None])
+        rows.append((host, at, seq, 0))
+    return rows
+
+
+def expected_reports(rows):
+    out, states = set(), {}
+    for host in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == host]
+        reports, states[host] = miss_machine([r[1] for r in mine])
+        out |= {r for r, report in zip(mine, reports) if report}
+    return out, states
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reports_equal_the_sequential_rule(spark, seed):
+    rows = random_misses(seed)
+    kept = throttle.suppress_misses(spark.createDataFrame(rows, MISS))
+    assert set(map(tuple, kept.collect())) == expected_reports(rows)[0]
+
+
+def test_runs_with_state_equal_one_run(spark):
+    rows = random_misses(3)
+    reports, states = expected_reports(rows)
+    state, got = None, set()
+    for part in (rows[:11], rows[11:12], rows[12:900], rows[900:]):
+        df = spark.createDataFrame(part, MISS)
+        got |= set(map(tuple, throttle.suppress_misses(df, state).collect()))
+        after = throttle.miss_state(throttle.reported_misses(df, state), state).collect()
+        state = spark.createDataFrame(after, MISS_STATE)
+    assert got == reports
+    assert {r["host_rcpn"]: r["expires_at"] for r in state.collect()} == states
+
+
+@pytest.mark.parametrize("wait, reported", [(899, 1), (900, 1), (901, 2)])
+def test_expiry_is_strict(spark, wait, reported):
+    df = spark.createDataFrame([("a", 0, 0, 0), ("a", wait, 1, 0)], MISS)
+    assert throttle.suppress_misses(df).count() == reported
+
+
+def test_jitter_is_repeatable_and_within_bounds(spark):
+    df = spark.range(500).select(
+        throttle.jittered_ttl(F.lit("h"), F.col("id"), (10, 300), seed=1).alias("ttl")
+    )
+    ttl = [r[0] for r in df.collect()]
+    assert ttl == [r[0] for r in df.collect()]
+    assert min(ttl) >= 910 and max(ttl) < 1210 and len(set(ttl)) > 100
+
+
+def test_latest_version_and_defaults(spark):
+    rows = [
+        ("a", "s1", None, True, "X", "l", 1),
+        ("a", "s2", "t", None, " ", None, 2),
+        ("b", "s3", "t", True, "Europe/Paris", "l", 1),
+    ]
+    df = spark.createDataFrame(
+        rows, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SYSTEMS) + ", updated_at int"
+    )
+    assert sorted(map(tuple, enrich.latest_systems(df).collect())) == [
+        ("a", "s2", "t", False, "UNKNOWN", None),
+        ("b", "s3", "t", True, "Europe/Paris", "l"),
+    ]
+
+
+def test_metadata_by_host(spark):
+    known = systems(spark, ["000100073534", "000100093534", "000100053534", "000100073180", "0001000732F5"])
+    assert {r["host_rcpn"]: (r["is_registered"], r["timezone"]) for r in known.collect()} == {
+        "000100073534": (True, "Pacific/Honolulu"),
+        "000100093534": (True, "America/Chicago"),
+        "000100053534": (True, "America/Chicago"),
+        "000100073180": (False, None),
+        "0001000732F5": (False, None),
+    }
+    readings = spark.createDataFrame([("000100073534",), ("x",), (None,)], "raw_host_rcpn string")
+    assert enrich.enrich_systems(readings, known).count() == 1
+    missed = {r[0] for r in enrich.unmatched_systems(readings, known).collect()}
+    assert missed == {"x", None}
+    assert {r[0] for r in enrich.missed(enrich.lookup_systems(readings, known)).collect()} == missed
+
+
+def test_dead_letter_key_and_body(spark):
+    misses = uploads(spark, [("s", [record(1, channel("rcpn-1", 5, 6))])]).select(
+        F.lit("rcpn-1").alias("raw_host_rcpn"),
+        F.lit(0).cast("bigint").alias("timestamp_utc"),
+        F.col("record")[0].alias("record"),
+    )
+    row = enrich.dead_letters(misses).first()
+    assert row["dlq_key"] == "1970-01-01/rcpn-1/1.json"
+    body = json.loads(row["body"])
+    assert body["error"] == "No system information found for rcpn-1"
+    assert json.loads(body["record"])["channel"][0]["exportedEnergyWs"] == "5"
+
+
+def test_metric_counts_reports_per_interval(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 299), ("a", 300), ("b", 10)], "raw_host_rcpn string, processed_at bigint")
+    got = enrich.not_found_metrics(df, "test").collect()
+    assert sorted((r["attributes"]["hostRcpn"], r["timestamp"], r["value"]) for r in got) == [
+        ("a", 0, 2),
+        ("a", 300_000, 1),
+        ("b", 0, 1),
+    ]
+    assert {(r["name"], r["type"], r["interval_ms"]) for r in got} == {
+        ("delta.rgm.resourceNotFoundCount.test", "count", 300_000)
+    }

@@ -60,14 +60,18 @@ def has_inverter_with_id(channels: Column) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def raw_reading(record: Column) -> list[Column]:
-    """Flat reading of a record.
+def output_channel(record: Column) -> Column:
+    """The channel a reading's values come from, or NULL."""
+    last = last_of_type(record["channel"], INVERTER_OUTPUT)
+    return F.when(last["deviceType"] == INVERTER, last)
+
+
+def raw_reading(record: Column, channel: Column) -> list[Column]:
+    """Flat reading of a record and its `output_channel`.
 
     The meter's directions are reversed: what the channel calls exported energy is
     imported by the home, and the other way round.
     """
-    last = last_of_type(record["channel"], INVERTER_OUTPUT)
-    channel = F.when(last["deviceType"] == INVERTER, last)
     return [
         epoch_seconds(record["timestamp"]).alias("event_timestamp"),
         channel["exportedEnergyWs"].alias("raw_imported_ws"),

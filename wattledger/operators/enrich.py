@@ -57,8 +57,8 @@ def matched(looked_up: DataFrame) -> DataFrame:
     return looked_up.where(F.col("system_host_rcpn").isNotNull())
 
 
-def missed(looked_up: DataFrame, columns: list[str]) -> DataFrame:
-    return looked_up.where(F.col("system_host_rcpn").isNull()).select(*columns)
+def missed(looked_up: DataFrame) -> DataFrame:
+    return looked_up.where(F.col("system_host_rcpn").isNull())
 
 
 def enrich_systems(readings: DataFrame, systems: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from wattledger.functions.channels import (
     UNKNOWN_HOST,
     has_inverter_with_id,
     host_rcpn,
+    output_channel,
     raw_reading,
 )
 from wattledger.functions.text import is_blank
@@ -27,24 +28,39 @@ def explode_records(record_sets: DataFrame) -> DataFrame:
     The first record without a usable key ends its record set: it and all later
     records of the set are dropped.
     """
-
-    def unusable(record: Column) -> Column:
-        host = host_rcpn(record["channel"])
-        return (host == UNKNOWN_HOST) | is_blank(host)
-
-    first_bad = F.array_position(F.transform("record", unusable), True)
-    usable = F.when(first_bad > 0, F.slice("record", 1, (first_bad - 1).cast("int"))).otherwise(
-        F.col("record")
+    hosts = F.transform("record", lambda r: host_rcpn(r["channel"]))
+    first_bad = F.array_position(
+        F.transform("_hosts", lambda h: (h == UNKNOWN_HOST) | is_blank(h)), True
     )
+    usable = F.when(first_bad == 0, F.size("record")).otherwise((first_bad - 1).cast("int"))
     others = [c for c in record_sets.columns if c != "record"]
-    return record_sets.select(
-        *others, F.posexplode(usable).alias("record_pos", "record")
-    ).withColumn("host_rcpn", host_rcpn(F.col("record.channel")))
+    # The keys and their number get projections of their own, so each is computed once.
+    return (
+        record_sets.select(*others, "record", hosts.alias("_hosts"))
+        .select(*others, "record", "_hosts", usable.alias("_usable"))
+        .select(
+            *others,
+            F.posexplode(
+                F.slice(F.arrays_zip("record", F.col("_hosts").alias("host")), 1, F.col("_usable"))
+            ).alias("record_pos", "_row"),
+        )
+        .select(
+            *others,
+            "record_pos",
+            F.col("_row.record").alias("record"),
+            F.col("_row.host").alias("host_rcpn"),
+        )
+    )
 
 
 def with_raw_reading(records: DataFrame) -> DataFrame:
     """Add the flat reading columns of `raw_reading` next to the record."""
-    return records.select("*", *raw_reading(F.col("record")))
+    record = F.col("record")
+    return (
+        records.withColumn("_output", output_channel(record))
+        .select("*", *raw_reading(record, F.col("_output")))
+        .drop("_output")
+    )
 
 
 def time_range_filter(

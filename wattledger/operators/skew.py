@@ -45,16 +45,21 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys((), 1)
 
 
-def find_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+def find_hot_keys(
+    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, fraction: float = 1.0
+) -> HotKeys:
     """Count rows per key (combined before the shuffle) and list the keys above the limit.
 
     At most rows/limit keys can exceed the limit. Should there be more of them than the
-    driver ought to list, every key is cut instead, which gives the same results.
+    driver ought to list, every key is cut instead. How keys are cut never changes a
+    result, so the counts may come from a sample: `fraction` is the share of rows in `df`.
     """
     seq = F.col(ARRIVAL[0])
     counted = (
         df.groupBy(key)
-        .agg(F.count("*").alias("n"), F.min(seq).alias("lo"), F.max(seq).alias("hi"))
+        .agg(
+            (F.count("*") / F.lit(fraction)).alias("n"), F.min(seq).alias("lo"), F.max(seq).alias("hi")
+        )
         .where(F.col("n") > rows_per_task)
         .select(
             F.col(key),

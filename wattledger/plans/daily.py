@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.operators import ct, enrich, readings, slots, throttle
-from wattledger.operators.skew import HotKeys
+from wattledger.operators.skew import HotKeys, find_hot_keys
 from wattledger.plans.outputs import energy_dataframe, partner_telemetry
 from wattledger.session import stage
 
@@ -22,22 +23,23 @@ class State:
     misses: DataFrame | None = None
 
 
-@dataclass(frozen=True)
-class Outputs:
-    corrected: DataFrame
-    energy: DataFrame
-    partner: DataFrame
-    dead_letters: DataFrame
-    quality: DataFrame
-    metrics: DataFrame
-    state: State
-
-
-def to_readings(record_sets: DataFrame, now: Column | int | None = None) -> DataFrame:
-    """Keyed readings within the accepted time range."""
-    return readings.with_raw_reading(
-        readings.time_range_filter(readings.explode_records(record_sets), now)
-    )
+def to_readings(
+    record_sets: DataFrame, now: Column | int | None = None, local_mode: bool = False
+) -> DataFrame:
+    """Keyed readings within the accepted time range; local mode accepts any time."""
+    records = readings.explode_records(record_sets)
+    if not local_mode:
+        records = readings.time_range_filter(records, now)
+    return readings.with_raw_reading(records)
+
+
+HOT_SAMPLE = 0.01
+
+
+def hot_devices(record_sets: DataFrame) -> HotKeys:
+    """Devices with more readings than one task should order, judged by a sample of uploads."""
+    sample = readings.explode_records(record_sets.sample(HOT_SAMPLE, seed=0))
+    return find_hot_keys(sample, "host_rcpn", fraction=HOT_SAMPLE)
 
 
 def split_and_correct(
@@ -57,6 +59,80 @@ def _narrowed(classified: DataFrame) -> DataFrame:
     )
 
 
+class Outputs:
+    """The job's outputs, planned when first asked for.
+
+    `classified` and `looked_up` are tables, so several outputs share their work.
+    """
+
+    def __init__(
+        self,
+        classified: DataFrame,
+        looked_up: DataFrame,
+        state: State,
+        jitter: tuple[int, int] | None,
+        deployment: str,
+        local_mode: bool,
+    ):
+        self._classified = classified
+        self._looked_up = looked_up
+        self._before = state
+        self._jitter = jitter
+        self._deployment = deployment
+        self._local_mode = local_mode
+
+    @cached_property
+    def _enriched(self) -> DataFrame:
+        matched = enrich.matched(self._looked_up)
+        return matched if self._local_mode else readings.valid_records(matched)
+
+    @cached_property
+    def _decisions(self) -> DataFrame:
+        return ct.ct_decisions(readings.registered(self._enriched), self._before.ct)
+
+    @cached_property
+    def _missed(self) -> DataFrame:
+        return enrich.missed(self._looked_up)
+
+    @cached_property
+    def _reported(self) -> DataFrame:
+        return throttle.suppress_misses(self._missed, self._before.misses, self._jitter)
+
+    @cached_property
+    def corrected(self) -> DataFrame:
+        return split_and_correct(self._enriched, self._before.ct, self._decisions)
+
+    @cached_property
+    def energy(self) -> DataFrame:
+        return energy_dataframe(self.corrected)
+
+    @cached_property
+    def partner(self) -> DataFrame:
+        return partner_telemetry(self.corrected)
+
+    @cached_property
+    def dead_letters(self) -> DataFrame:
+        return enrich.dead_letters(self._reported)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return enrich.not_found_metrics(self._reported, self._deployment)
+
+    @cached_property
+    def quality(self) -> DataFrame:
+        return slots.quality_events(self._classified)
+
+    @cached_property
+    def state(self) -> State:
+        """State for the next run."""
+        misses = throttle.reported_misses(self._missed, self._before.misses, self._jitter)
+        return State(
+            slots=slots.slot_state(self._classified, self._before.slots),
+            ct=ct.ct_state(self._decisions, self._before.ct),
+            misses=throttle.miss_state(misses, self._before.misses),
+        )
+
+
 def run(
     record_sets: DataFrame,
     systems: DataFrame,
@@ -66,49 +142,25 @@ def run(
     hot: HotKeys | None = None,
     jitter: tuple[int, int] | None = None,
     deployment: str = "dev",
+    local_mode: bool = False,
 ) -> Outputs:
-    """All outputs of the job.
+    """Run the job up to the two tables its outputs are made from.
 
-    Two tables are staged in the shared folder, because several outputs read them: the
-    classified readings, and the enriched deltas, which the check of inverted meters reads
-    twice. Everything else stays lazy. `processed_at` (whole seconds) is taken from the
-    record sets when they have it.
+    They are staged in the shared folder: the classified readings, and the enriched deltas,
+    which the check of inverted meters reads twice. `processed_at` (whole seconds) is taken
+    from the record sets when they have it. Local mode leaves out the time range and the
+    validation.
     """
-    rows = to_readings(record_sets, now)
+    if hot is None:
+        hot = hot_devices(record_sets)
+    rows = to_readings(record_sets, now, local_mode)
     if "processed_at" not in rows.columns:
         rows = rows.withColumn("processed_at", F.unix_timestamp())
     classified = stage(_narrowed(slots.slot_classify(rows, state.slots, hot)), "classified")
-    deltas = slots.energy_delta(classified)
-    looked_up = stage(
-        ct.ess_lookup(enrich.lookup_systems(deltas, systems), ess).drop(
-            "ess_imported_ws", "ess_exported_ws"
-        ),
-        "enriched",
-    )
-
-    misses = enrich.missed(looked_up, deltas.columns)
-    reported = throttle.suppress_misses(misses, state.misses, jitter)
-
-    enriched = readings.valid_records(enrich.matched(looked_up))
-    known = readings.registered(enriched)
-    decisions = ct.ct_decisions(known, state.ct)
-    corrected = split_and_correct(enriched, state.ct, decisions)
-
-    return Outputs(
-        corrected=corrected,
-        energy=energy_dataframe(corrected),
-        partner=partner_telemetry(corrected),
-        dead_letters=enrich.dead_letters(reported),
-        quality=slots.quality_events(classified),
-        metrics=enrich.not_found_metrics(reported, deployment),
-        state=State(
-            slots=slots.slot_state(classified, state.slots),
-            ct=ct.ct_state(decisions, state.ct),
-            misses=throttle.miss_state(
-                throttle.reported_misses(misses, state.misses, jitter), state.misses
-            ),
-        ),
-    )
+    looked_up = enrich.lookup_systems(slots.energy_delta(classified), systems)
+    looked_up = ct.ess_lookup(looked_up, ess).drop("ess_imported_ws", "ess_exported_ws")
+    looked_up = stage(looked_up, "looked_up")
+    return Outputs(classified, looked_up, state, jitter, deployment, local_mode)
 
 
 def daily_summary(energy: DataFrame) -> DataFrame:

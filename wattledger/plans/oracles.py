@@ -342,7 +342,7 @@ FROM corrected""",
     "partner_telemetry": _sql(
         f"""SELECT shost AS partition_key, timestamp_utc, sid AS system_id, site AS site_id,
   ok::INT AS n_records,
-  CASE WHEN ok THEN ([2080, 2096, 0, 784, 49152, 2080])[e % 6 + 1] END AS inverter_state,
+  CASE WHEN ok THEN ([2080, 2096, 0, 784, 49152, 2080])[k.e % 6 + 1] END AS inverter_state,
   CASE WHEN ok THEN coalesce(mode, 'SAFETY_SHUTDOWN') END AS sys_mode,
   CASE WHEN ok THEN record_ts END AS "current_timestamp",
   CASE WHEN ok THEN record_ts - seconds END AS previous_timestamp,

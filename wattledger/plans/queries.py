@@ -31,7 +31,8 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slots.slot_classify(_readings(spark, sf_dir))
+    hot = daily.hot_devices(derived.record_sets(spark, sf_dir))
+    return slots.slot_classify(_readings(spark, sf_dir), hot=hot)
 
 
 def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,12 +16,23 @@ from wattledger.sources.decode import record_json
 
 BASE_US = 1_704_067_200_000_000
 
-_EM_SPACE = " "
+_EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+)
+_EM_SPACE = "\u2003"
+
+
+def _spread(table: DataFrame) -> DataFrame:
+    """A table read by fewer tasks than there are cores is spread over them; the records
+    built from it are far larger than its rows."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the device `d`, its compressed time `us` and the meter increment `c`."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    table = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return _spread(table).select(
         F.col("event_id").alias("e"),
         F.expr("if(event_id % 3 = 0, 0L, user_id)").alias("d"),
         F.expr(
