@@ -6,7 +6,7 @@ import pytest
 from fixtures import C1, E1, F1, SERIES, ess
 from machines import ct_machine
 
-from wattledger.operators import ct
+from wattledger.operators import ct, skew
 from wattledger.schema import CT_STATE, ESS_ENERGY
 
 ROW = (
@@ -54,24 +54,28 @@ def result_flags(df):
     }
 
 
-@pytest.mark.parametrize("interval", [300, 3600, 21600])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_flags_equal_the_sequential_rule(spark, seed, interval):
+CUTS = [skew.NO_HOT_KEYS, skew.HotKeys(("s0",), 60), skew.HotKeys(None, 33)]
+
+
+@pytest.mark.parametrize("hot", CUTS)
+@pytest.mark.parametrize("seed, interval", [(1, 300), (1, 21600), (2, 3600), (2, 21600)])
+def test_flags_equal_the_sequential_rule(spark, seed, interval, hot):
     rows = random_rows(seed)
     df = spark.createDataFrame(rows, ROW)
     flags, states = expected_flags(rows, interval)
-    assert result_flags(ct.ct_inversion(df, interval=interval)) == flags
+    assert result_flags(ct.ct_inversion(df, interval=interval, hot=hot)) == flags
     after = ct.ct_state(ct.ct_decisions(df, interval=interval)).collect()
     assert {r["system_id"]: (r["swapped"], r["valid_until"]) for r in after} == states
 
 
-def test_runs_with_state_equal_one_run(spark):
+@pytest.mark.parametrize("hot", CUTS)
+def test_runs_with_state_equal_one_run(spark, hot):
     rows = random_rows(3)
     flags, states = expected_flags(rows, 21600)
     state, got = None, {}
     for lo, hi in [(0, 40), (40, 45), (45, 400), (400, 10**9)]:
         df = spark.createDataFrame([r for r in rows if lo <= r[1] < hi], ROW)
-        got |= result_flags(ct.ct_inversion(df, state))
+        got |= result_flags(ct.ct_inversion(df, state, hot=hot))
         after = ct.ct_state(ct.ct_decisions(df, state), state).collect()
         state = spark.createDataFrame(after, CT_STATE)
     assert got == flags

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.timeslots import slot_floor
 from wattledger.operators.readings import ARRIVAL
+from wattledger.operators.skew import SAVED_SEQ, HotKeys, find_hot_keys, previous_max
 from wattledger.operators.throttle import greedy_actions
 from wattledger.schema import CT_STATE, SLOT_SECONDS
 
@@ -185,45 +186,64 @@ def ct_state(decisions: DataFrame, state: DataFrame | None = None) -> DataFrame:
     )
 
 
+def _decision_rows(decisions: DataFrame, state: DataFrame | None) -> DataFrame:
+    """Decisions as rows that follow the reading they were made on; saved ones come first."""
+
+    def decision(seq: Column, pos: Column, swapped: Column, until: Column) -> list[Column]:
+        fields = [
+            seq.cast("bigint").alias(ARRIVAL[0]),
+            pos.cast("int").alias(ARRIVAL[1]),
+            swapped.alias("swapped"),
+            until.alias("until"),
+        ]
+        return [*fields[:2], F.struct(*fields).alias("_decision"), F.lit(1).alias("_kind")]
+
+    made = decisions.select(
+        F.col("decided_system").alias("system_id"), F.explode("decisions").alias("d")
+    ).select("system_id", *decision(*[F.col(f"d.{c}") for c in (*ARRIVAL, "swapped", "until")]))
+    if state is None:
+        return made
+    saved = state.select(
+        "system_id",
+        *decision(F.lit(SAVED_SEQ), F.lit(0), F.col("swapped"), F.col("valid_until")),
+    )
+    return made.unionByName(saved)
+
+
 def ct_inversion(
     rows: DataFrame,
     state: DataFrame | None = None,
     interval: int = CHECK_INTERVAL_SECONDS,
     decisions: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add `swapped` and `checked` (whether the reference meter was asked) to each reading.
 
-    `rows` is the output of `ess_lookup` and is read twice; pass a table, or stage it.
+    `rows` is the output of `ess_lookup` and is read more than once; pass a table, or stage it.
     Equal or missing counters are never comparable: not swapped, nothing decided. A check
     without a reference reading keeps the decision in force and does not extend it; one with
     equal reference counters leaves it for later readings but does not apply it.
+
+    The decision in force is the latest one before the reading, a running maximum. `hot`
+    lists systems too large for one task; they are looked up when not given.
     """
     if decisions is None:
         decisions = ct_decisions(rows, state, interval)
-    if state is not None:
-        # Systems whose readings decide nothing in this run still follow the saved decision.
-        saved = state.select(
-            F.col("system_id").alias("decided_system"),
-            F.col("swapped").alias("start_swapped"),
-            F.col("valid_until").alias("start_until"),
-            F.array().cast(f"array<{_DECISION}>").alias("decisions"),
-        ).join(decisions.select("decided_system"), "decided_system", "left_anti")
-        decisions = decisions.unionByName(saved)
-
-    here = F.struct(*ARRIVAL)
-    before = F.filter(
-        "decisions", lambda d: F.struct(*[d[c].alias(c) for c in ARRIVAL]) < here
-    )
-    joined = (
+    if hot is None:
+        hot = find_hot_keys(rows, "system_id")
+    both = (
         _with_sign(rows)
-        .join(decisions, F.col("system_id") == F.col("decided_system"), "left")
-        .withColumn("_last", F.try_element_at(before, F.lit(-1)))
-        .withColumn("_swapped", F.coalesce("_last.swapped", "start_swapped"))
-        .withColumn("_until", F.coalesce("_last.until", "start_until"))
+        .withColumn("_kind", F.lit(0))
+        .unionByName(_decision_rows(decisions, state), allowMissingColumns=True)
     )
+    joined = previous_max(
+        both, "system_id", F.col("_decision"), "_last", hot, (*ARRIVAL, "_kind")
+    ).where("_kind = 0")
+
     comparable = F.col("meter_sign") != 0
-    due = F.col("_until").isNull() | (F.col("_ts") >= F.col("_until"))
-    in_force = F.coalesce("_swapped", F.lit(False))
+    until = F.col("_last.until")
+    due = until.isNull() | (F.col("_ts") >= until)
+    in_force = F.coalesce("_last.swapped", F.lit(False))
     swapped = (
         F.when(~comparable, F.lit(False))
         .when(~due | (F.col("ess_outcome") == MISSING), in_force)
@@ -233,17 +253,7 @@ def ct_inversion(
     return (
         joined.withColumn("swapped", swapped)
         .withColumn("checked", comparable & due)
-        .drop(
-            "meter_sign",
-            "_ts",
-            "_last",
-            "_swapped",
-            "_until",
-            "decided_system",
-            "start_swapped",
-            "start_until",
-            "decisions",
-        )
+        .drop("meter_sign", "_ts", "_kind", "_decision", "_last")
     )
 
 

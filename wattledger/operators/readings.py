@@ -96,4 +96,9 @@ def registered(enriched: DataFrame) -> DataFrame:
 
 def unregistered(enriched: DataFrame) -> DataFrame:
     """Readings of unregistered systems, which are never corrected."""
-    return enriched.where("not is_registered").withColumn("swapped", F.lit(False))
+    return pass_unregistered(enriched.where("not is_registered"))
+
+
+def pass_unregistered(enriched: DataFrame) -> DataFrame:
+    """Mark readings of unregistered systems as not swapped; the others stay open (NULL)."""
+    return enriched.withColumn("swapped", F.when(~F.col("is_registered"), False))

@@ -44,6 +44,9 @@ class HotKeys:
 
 NO_HOT_KEYS = HotKeys((), 1)
 
+# Arrival number of state saved by earlier runs: before every new row.
+SAVED_SEQ = -(1 << 62)
+
 
 def find_hot_keys(
     df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, fraction: float = 1.0
@@ -83,14 +86,20 @@ def find_hot_keys(
 
 
 def previous_max(
-    df: DataFrame, key: str, value: Column, name: str, hot: HotKeys = NO_HOT_KEYS
+    df: DataFrame,
+    key: str,
+    value: Column,
+    name: str,
+    hot: HotKeys = NO_HOT_KEYS,
+    order: tuple[str, ...] = ARRIVAL,
 ) -> DataFrame:
-    """Add `name`: the maximum of `value` over the rows of the key that arrived earlier."""
+    """Add `name`: the maximum of `value` over the rows of the key that arrived earlier.
+
+    `order` starts with the arrival columns.
+    """
     if hot.keys == ():
         window = (
-            Window.partitionBy(key)
-            .orderBy(*ARRIVAL)
-            .rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         )
         return df.withColumn(name, F.max(value).over(window))
 
@@ -110,7 +119,7 @@ def previous_max(
     )
     within_chunk = (
         Window.partitionBy(key, _CHUNK)
-        .orderBy(*ARRIVAL)
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # The join and the window share one exchange on (key, chunk).

@@ -13,14 +13,11 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.timeslots import iso_utc, slot_floor
 from wattledger.operators.readings import ARRIVAL
-from wattledger.operators.skew import HotKeys, find_hot_keys, previous_max
+from wattledger.operators.skew import SAVED_SEQ, HotKeys, find_hot_keys, previous_max
 from wattledger.schema import SLOT_SECONDS, SLOT_STATE
 
 FIRST, DUPLICATE, LATE, GAP, EMIT = "FIRST", "DUPLICATE", "LATE", "GAP", "EMIT"
 
-# Saved state sorts before every new reading.
-_STATE_SEQ = -(1 << 62)
-
 
 def _accepted_rank() -> Column:
     """Struct whose maximum is the last accepted reading; NULL without a usable time."""
@@ -42,7 +39,7 @@ def _with_slots(readings: DataFrame) -> DataFrame:
 def _state_rows(state: DataFrame) -> DataFrame:
     return state.select(
         *[f.name for f in SLOT_STATE],
-        F.lit(_STATE_SEQ).cast("bigint").alias(ARRIVAL[0]),
+        F.lit(SAVED_SEQ).cast("bigint").alias(ARRIVAL[0]),
         F.lit(0).alias(ARRIVAL[1]),
         F.lit(True).alias("_saved"),
     )

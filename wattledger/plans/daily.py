@@ -43,11 +43,14 @@ def hot_devices(record_sets: DataFrame) -> HotKeys:
 
 
 def split_and_correct(
-    enriched: DataFrame, state: DataFrame | None = None, decisions: DataFrame | None = None
+    enriched: DataFrame,
+    state: DataFrame | None = None,
+    decisions: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Correct registered systems, pass unregistered ones, and unite both."""
     known = readings.registered(enriched)
-    corrected = ct.ct_correct(ct.ct_inversion(known, state, decisions=decisions))
+    corrected = ct.ct_correct(ct.ct_inversion(known, state, decisions=decisions, hot=hot))
     others = readings.unregistered(enriched).withColumn("checked", F.lit(False))
     return corrected.unionByName(others)
 

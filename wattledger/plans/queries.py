@@ -12,7 +12,7 @@ from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.plans import daily
 from wattledger.session import stage
 from wattledger.sources import derived
-from wattledger.sources.decode import decode_with_quarantine
+from wattledger.sources.decode import decode_flagged
 
 # Clock of the runs: 18 hours after the first upload, so that the last ones lie too far ahead.
 NOW = derived.BASE_US // 1_000_000 + 18 * 3600
@@ -63,21 +63,20 @@ def _job(spark: SparkSession, sf_dir: str) -> daily.Outputs:
 
 
 def decode_record_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = decode_with_quarantine(derived.payloads(spark, sf_dir))
+    decoded = decode_flagged(derived.payloads(spark, sf_dir))
     channels = F.flatten(F.transform("record", lambda r: r["channel"]))
-    return good.select(
+    exported = F.aggregate(
+        "channels",
+        F.lit(0).cast("bigint"),
+        lambda acc, c: acc + F.coalesce(c["exportedEnergyWs"], F.lit(0)),
+    )
+    return decoded.withColumn("channels", channels).select(
         "arrival_seq",
-        F.lit("decoded").alias("status"),
+        F.when(F.col("malformed"), "malformed").otherwise("decoded").alias("status"),
         F.col("sensorId").alias("sensor_id"),
         F.size("record").alias("n_records"),
-        F.size(channels).alias("n_channels"),
-        F.aggregate(
-            channels,
-            F.lit(0).cast("bigint"),
-            lambda acc, c: acc + F.coalesce(c["exportedEnergyWs"], F.lit(0)),
-        ).alias("exported_sum"),
-    ).unionByName(
-        bad.select("arrival_seq", F.lit("malformed").alias("status")), allowMissingColumns=True
+        F.size("channels").alias("n_channels"),
+        exported.alias("exported_sum"),
     )
 
 
@@ -208,11 +207,8 @@ def unmatched_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registration_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = enrich.enrich_systems(_readings(spark, sf_dir), derived.systems(spark, sf_dir))
-    columns = [*ARRIVAL, "system_host_rcpn", "is_registered"]
-    return (
-        readings.unregistered(known)
-        .select(*columns, "swapped")
-        .unionByName(readings.registered(known).select(*columns), allowMissingColumns=True)
+    return readings.pass_unregistered(known).select(
+        *ARRIVAL, "system_host_rcpn", "is_registered", "swapped"
     )
 
 

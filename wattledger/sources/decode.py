@@ -118,49 +118,53 @@ def _typed_record(record: Column) -> Column:
     )
 
 
-def _parsed(payloads: DataFrame, payload: str) -> DataFrame:
+def decode_flagged(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Add `sensorId`, `record` and `malformed`; a malformed payload has no values."""
     parsed = F.from_json(
         F.col(payload),
         _PAYLOAD_JSON,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
-    return payloads.withColumn("_parsed", parsed)
-
-
-def _malformed() -> Column:
-    parsed = F.col("_parsed")
+    value = F.col("_parsed")
+    malformed = (
+        value.isNull()
+        | value[_CORRUPT].isNotNull()
+        | F.coalesce(F.exists(value["record"], _bad_record), F.lit(False))
+    )
+    # Exploding one value keeps filters on `malformed` above the parser, which would
+    # otherwise run once more for each of them.
     return (
-        parsed.isNull()
-        | parsed[_CORRUPT].isNotNull()
-        | F.coalesce(F.exists(parsed["record"], _bad_record), F.lit(False))
+        payloads.select("*", F.explode(F.array(parsed)).alias("_parsed"))
+        .withColumn("malformed", malformed)
+        .withColumn("sensorId", F.when(~F.col("malformed"), value["sensorId"]))
+        .withColumn(
+            "record", F.when(~F.col("malformed"), F.transform(value["record"], _typed_record))
+        )
+        .drop("_parsed")
     )
 
 
 def decode_record_sets(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Replace a JSON payload column by `sensorId` and `record`; a malformed payload fails the job."""
-    checked = F.when(
-        _malformed(), F.raise_error(F.lit("malformed record set payload")).cast("string")
-    ).otherwise(F.col("_parsed.sensorId"))
+    failure = F.raise_error(F.lit("malformed record set payload")).cast("string")
     return (
-        _parsed(payloads, payload)
-        .withColumn("sensorId", checked)
-        .withColumn("record", F.transform(F.col("_parsed.record"), _typed_record))
-        .drop("_parsed", payload)
+        decode_flagged(payloads, payload)
+        .withColumn("sensorId", F.when(F.col("malformed"), failure).otherwise(F.col("sensorId")))
+        .withColumn("record", F.when(F.col("malformed"), F.lit(None)).otherwise(F.col("record")))
+        .drop("malformed", payload)
     )
 
 
 def decode_with_quarantine(
     payloads: DataFrame, payload: str = "payload"
 ) -> tuple[DataFrame, DataFrame]:
-    """As `decode_record_sets`, with malformed payloads set aside in a second DataFrame."""
-    parsed = _parsed(payloads, payload).withColumn("_malformed", _malformed())
-    good = (
-        parsed.where(~F.col("_malformed"))
-        .withColumn("sensorId", F.col("_parsed.sensorId"))
-        .withColumn("record", F.transform(F.col("_parsed.record"), _typed_record))
-        .drop("_parsed", "_malformed", payload)
-    )
-    bad = parsed.where(F.col("_malformed")).drop("_parsed", "_malformed")
+    """As `decode_record_sets`, with malformed payloads set aside in a second DataFrame.
+
+    Each of the two reads the payloads.
+    """
+    flagged = decode_flagged(payloads, payload)
+    good = flagged.where("not malformed").drop("malformed", payload)
+    bad = flagged.where("malformed").drop("malformed", "sensorId", "record")
     return good, bad
 
 
