@@ -201,3 +201,25 @@ def test_sinks_write_by_day(spark, acceptance, tmp_path):
         assert table.count() == 2
         assert {str(r["event_date"]) for r in table.collect()} == {"2021-03-24"}
         assert {r["partition_key"] for r in table.collect()} == {C1, E1}
+
+
+def test_strict_fails_on_missing_counters(spark):
+    rows = [("s", [record(t, channel("a", None, 1))]) for t in (300, 600)]
+    known = [("a", "s", "t", True, "Z", None)]
+    row = job(spark, rows, known).energy.first()
+    assert row["delta_data"]["inverter_energy_imported_ws"] is None
+    assert row["rgm_data"]["is_inverter_output_swapped"] is False
+    with pytest.raises(Exception, match="missing counter of a"):
+        job(spark, rows, known, strict=True).energy.collect()
+
+
+def test_state_can_be_expired(spark, acceptance):
+    kept = daily.expire(acceptance.state, 1616544301)
+    assert (kept.slots.count(), kept.ct.count()) == (0, 2)
+    assert daily.expire(daily.State(), 0) == daily.State()
+
+
+def test_messages_are_keyed_by_device(acceptance):
+    rows = sinks.keyed_messages(acceptance.energy).collect()
+    assert {r["key"] for r in rows} == {C1, E1}
+    assert all('"timestamp_utc":1616544299' in r["value"] for r in rows)

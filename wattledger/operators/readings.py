@@ -90,6 +90,16 @@ def valid_records(records: DataFrame, record: str = "record") -> DataFrame:
     return records.where(has_inverter_with_id(F.col(f"{record}.channel")))
 
 
+def require_counters(rows: DataFrame) -> DataFrame:
+    """Fail on a reading of which a counter or a delta is missing."""
+    missing = F.col("raw_imported_ws").isNull() | F.col("raw_exported_ws").isNull()
+    missing = missing | F.col("delta_imported_ws").isNull() | F.col("delta_exported_ws").isNull()
+    failure = F.raise_error(
+        F.concat(F.lit("missing counter of "), F.coalesce("host_rcpn", F.lit("null")))
+    ).cast("boolean")
+    return rows.where(F.when(missing, failure).otherwise(True))
+
+
 def registered(enriched: DataFrame) -> DataFrame:
     return enriched.where("is_registered")
 

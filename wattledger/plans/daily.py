@@ -62,6 +62,20 @@ def _narrowed(classified: DataFrame) -> DataFrame:
     )
 
 
+def expire(state: State, before: int) -> State:
+    """Forget devices and systems last heard of before a time. Off by default: a device that
+    returns later starts over with a first reading."""
+
+    def keep(df: DataFrame | None, column: str) -> DataFrame | None:
+        return None if df is None else df.where(F.col(column) >= before)
+
+    return State(
+        slots=keep(state.slots, "slot"),
+        ct=keep(state.ct, "valid_until"),
+        misses=keep(state.misses, "expires_at"),
+    )
+
+
 class Outputs:
     """The job's outputs, planned when first asked for.
 
@@ -76,6 +90,7 @@ class Outputs:
         jitter: tuple[int, int] | None,
         deployment: str,
         local_mode: bool,
+        strict: bool,
     ):
         self._classified = classified
         self._looked_up = looked_up
@@ -83,11 +98,14 @@ class Outputs:
         self._jitter = jitter
         self._deployment = deployment
         self._local_mode = local_mode
+        self._strict = strict
 
     @cached_property
     def _enriched(self) -> DataFrame:
-        matched = enrich.matched(self._looked_up)
-        return matched if self._local_mode else readings.valid_records(matched)
+        rows = enrich.matched(self._looked_up)
+        if not self._local_mode:
+            rows = readings.valid_records(rows)
+        return readings.require_counters(rows) if self._strict else rows
 
     @cached_property
     def _decisions(self) -> DataFrame:
@@ -146,13 +164,14 @@ def run(
     jitter: tuple[int, int] | None = None,
     deployment: str = "dev",
     local_mode: bool = False,
+    strict: bool = False,
 ) -> Outputs:
     """Run the job up to the two tables its outputs are made from.
 
     They are staged in the shared folder: the classified readings, and the enriched deltas,
     which the check of inverted meters reads twice. `processed_at` (whole seconds) is taken
     from the record sets when they have it. Local mode leaves out the time range and the
-    validation.
+    validation. Strict fails on readings without counters, which otherwise pass with NULLs.
     """
     if hot is None:
         hot = hot_devices(record_sets)
@@ -163,7 +182,7 @@ def run(
     looked_up = enrich.lookup_systems(slots.energy_delta(classified), systems)
     looked_up = ct.ess_lookup(looked_up, ess).drop("ess_imported_ws", "ess_exported_ws")
     looked_up = stage(looked_up, "looked_up")
-    return Outputs(classified, looked_up, state, jitter, deployment, local_mode)
+    return Outputs(classified, looked_up, state, jitter, deployment, local_mode, strict)
 
 
 def daily_summary(energy: DataFrame) -> DataFrame:

@@ -50,11 +50,11 @@ raw AS (
     CASE WHEN has_solar THEN NULL WHEN has_second THEN imp + 11 ELSE first_imp END AS ri,
     CASE WHEN has_solar THEN NULL WHEN has_second THEN exp + 13 ELSE first_exp END AS re,
     CASE WHEN has_solar THEN NULL ELSE host END AS rh,
-    CASE WHEN has_solar THEN NULL WHEN has_second THEN e % 5000 - 499
-         ELSE e % 5000 - 500 END AS power,
+    CAST(CASE WHEN has_solar THEN NULL WHEN has_second THEN e % 5000 - 499
+              ELSE e % 5000 - 500 END AS INTEGER) AS power,
     CASE WHEN has_solar OR e % 53 = 0 THEN NULL
          ELSE CAST(220 + (e % 40) * 0.25 AS FLOAT) END AS voltage,
-    CASE WHEN has_solar OR e % 59 = 0 THEN NULL ELSE e % 300 - 150 END AS reactive
+    CAST(CASE WHEN has_solar OR e % 59 = 0 THEN NULL ELSE e % 300 - 150 END AS INTEGER) AS reactive
   FROM usable WHERE kept
 ),
 readings AS (
@@ -350,7 +350,8 @@ FROM corrected""",
   CASE WHEN ok THEN de END AS delta_exported_energy_ws,
   CASE WHEN ok THEN di END AS delta_imported_energy_ws,
   CASE WHEN ok THEN re END AS exported_energy_ws, CASE WHEN ok THEN ri END AS imported_energy_ws,
-  CASE WHEN ok THEN 'INVERTER' END AS device_type, o.device_id, o.power AS real_power_w,
+  CASE WHEN ok THEN 'INVERTER' END AS device_type, o.device_id,
+  CAST(o.power AS INTEGER) AS real_power_w,
   CASE WHEN ok THEN true END AS is_revenue_grade
 FROM (
   SELECT *, mode IS DISTINCT FROM 'HOLIDAY' AND ri IS NOT NULL AND re IS NOT NULL AS ok

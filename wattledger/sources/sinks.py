@@ -46,3 +46,11 @@ def write_dead_letters(dead_letters: DataFrame, path: str, mode: str = "append")
 
 def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).parquet(path)
+
+
+def keyed_messages(df: DataFrame, key: str = "partition_key") -> DataFrame:
+    """Rows as (key, value) messages for `format("kafka")`; the key keeps a device's order."""
+    fields = [c for c in df.columns if c != key]
+    return df.select(
+        F.col(key).cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value")
+    )

@@ -12,6 +12,7 @@ it did not read. Repeating a batch after a failure therefore gives the same outc
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -39,7 +40,8 @@ _STATES = {"slots": SLOT_STATE, "ct": CT_STATE, "misses": MISS_STATE}
 class MicroBatchJob:
     """What one micro-batch does. `systems` and `ess` are called anew for each batch.
 
-    `outputs` names the tables to write under `path`.
+    `outputs` names the tables to write under `path`. State is kept for ever unless
+    `state_max_age` (seconds before the run) is given. `options` go to the batch job.
     """
 
     path: str
@@ -47,6 +49,7 @@ class MicroBatchJob:
     ess: Callable[[SparkSession], DataFrame]
     now: int | None = None
     outputs: tuple[str, ...] = tuple(WRITERS)
+    state_max_age: int | None = None
     options: dict = field(default_factory=dict)
 
     def _state_path(self, name: str, batch_id: int) -> str:
@@ -80,9 +83,12 @@ class MicroBatchJob:
             WRITERS[name](
                 getattr(result, name), f"{self.path}/{name}/batch_id={batch_id}", "overwrite"
             )
+        after = result.state
+        if self.state_max_age is not None:
+            after = daily.expire(after, (self.now or int(time.time())) - self.state_max_age)
         for name in _STATES:
             (
-                getattr(result.state, name)
+                getattr(after, name)
                 .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                 .write.mode("overwrite")
                 .parquet(self._state_path(name, batch_id))
