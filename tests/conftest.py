@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -22,8 +21,6 @@ def spark():
             "spark.default.parallelism": "4",
         },
     )
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wattledger-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

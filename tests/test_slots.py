@@ -5,7 +5,6 @@ import random
 import pytest
 from fixtures import C1, E1, F1, channel, record, second_day, series, uploads
 from machines import slot_machine
-from pyspark.sql import functions as F
 
 from wattledger.operators import skew, slots
 from wattledger.plans.daily import hot_devices, to_readings

@@ -163,6 +163,7 @@ def ct_decisions(
             candidates.cast(f"array<{_DECISION}>"),
             F.col("start_until"),
             lambda c, limit: c["at"] >= limit,
+            lambda c: c["until"],
             _DECISION,
         ).alias("decisions"),
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wattledger.operators.readings import ARRIVAL
 
-ROWS_PER_TASK = 5_000_000
+ROWS_PER_TASK = 1_000_000
 LISTED_KEYS = 10_000
 
 _CHUNK = "_chunk"

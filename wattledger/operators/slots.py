@@ -51,7 +51,8 @@ def slot_classify(
     """Add `slot`, `slot_class` and `previous` (the last accepted reading before the row).
 
     `readings` needs host_rcpn, event_timestamp, raw_imported_ws, raw_exported_ws and the
-    arrival columns. A reading without a usable time gets no class. `state` holds the last accepted reading per host of earlier runs.
+    arrival columns. A reading without a usable time gets no class. `state` holds the last
+    accepted reading per host of earlier runs.
     `hot` lists devices too large for one task; they are looked up when not given.
     """
     if hot is None:

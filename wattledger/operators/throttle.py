@@ -18,13 +18,15 @@ from wattledger.schema import MISS_STATE
 MISS_TTL_SECONDS = 15 * 60
 
 
-def greedy_actions(candidates: Column, start: Column, expired, element: str) -> Column:
+def greedy_actions(
+    candidates: Column, start: Column, acts_after, until, element: str
+) -> Column:
     """Candidates that act, in order.
 
-    `candidates` is an array of structs in order of arrival, with the end of their own
-    effect in `until`. `expired(candidate, limit)` says whether the limit no longer holds;
-    `start` is the limit before the first candidate, NULL for none. `element` is the type
-    of a candidate.
+    `candidates` is an array in order of arrival, `element` the type of its entries.
+    `acts_after(candidate, limit)` says whether the limit no longer holds, and
+    `until(candidate)` is the limit an action sets; `start` is the limit before the first
+    candidate, NULL for none.
     """
     empty = F.struct(
         start.cast("bigint").alias("limit"),
@@ -32,11 +34,11 @@ def greedy_actions(candidates: Column, start: Column, expired, element: str) ->
     )
 
     def step(acc: Column, candidate: Column) -> Column:
-        acts = acc["limit"].isNull() | expired(candidate, acc["limit"])
+        acts = acc["limit"].isNull() | acts_after(candidate, acc["limit"])
         return F.when(
             acts,
             F.struct(
-                candidate["until"].alias("limit"),
+                until(candidate).alias("limit"),
                 F.array_append(acc["acted"], candidate).alias("acted"),
             ),
         ).otherwise(acc)
@@ -63,60 +65,43 @@ def reported_misses(
     jitter: tuple[int, int] | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Per host the misses to report, as (raw_host_rcpn, reported, expires_at).
+    """Per host the times of the misses to report, as (raw_host_rcpn, reported, expires_at).
 
-    `processed_at` is in whole seconds, so a host has at most one candidate per second of
-    the run. `state` holds the expiry per host of earlier runs.
+    `processed_at` is in whole seconds, so the fold of a host sees at most one number per
+    second of the run. `state` holds the expiry per host of earlier runs; `expires_at` is
+    the expiry after this one.
     """
-    host, at = F.col("raw_host_rcpn"), F.col("processed_at")
-    per_second = (
-        misses.groupBy(host, at)
-        .agg(F.min(F.struct(*ARRIVAL)).alias("first"))
-        .withColumn("until", at + jittered_ttl(host, at, jitter, seed))
-    )
+    host = F.col("raw_host_rcpn")
     if state is None:
         state = misses.sparkSession.createDataFrame([], MISS_STATE)
+
+    def until(at: Column) -> Column:
+        return at + jittered_ttl(host, at, jitter, seed)
+
     per_host = (
-        per_second.groupBy(host)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        at.alias("at"),
-                        F.col(f"first.{ARRIVAL[0]}"),
-                        F.col(f"first.{ARRIVAL[1]}"),
-                        F.col("until"),
-                    )
-                )
-            ).alias("candidates")
-        )
+        misses.select(host, "processed_at")
+        .distinct()
+        .groupBy(host)
+        .agg(F.sort_array(F.collect_list("processed_at")).alias("candidates"))
         .join(
-            state.select(F.col("host_rcpn").alias("_host"), "expires_at"),
+            state.select(F.col("host_rcpn").alias("_host"), F.col("expires_at").alias("_start")),
             host.eqNullSafe(F.col("_host")),
             "left",
         )
     )
-    element = f"struct<at:bigint,{ARRIVAL[0]}:bigint,{ARRIVAL[1]}:int,until:bigint>"
-    return per_host.select(
+    reported = greedy_actions(
+        F.col("candidates"), F.col("_start"), lambda at, limit: at > limit, until, "bigint"
+    )
+    return per_host.select(host, "_start", reported.alias("reported")).select(
         host,
-        greedy_actions(
-            F.col("candidates"),
-            F.col("expires_at"),
-            lambda c, limit: c["at"] > limit,
-            element,
-        ).alias("reported"),
-        "expires_at",
+        "reported",
+        F.coalesce(until(F.try_element_at("reported", F.lit(-1))), "_start").alias("expires_at"),
     )
 
 
 def miss_state(reported: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Expiry per host after a run, for the next run."""
-    latest = reported.select(
-        F.col("raw_host_rcpn").alias("host_rcpn"),
-        F.coalesce(F.try_element_at("reported", F.lit(-1))["until"], F.col("expires_at")).alias(
-            "expires_at"
-        ),
-    )
+    latest = reported.select(F.col("raw_host_rcpn").alias("host_rcpn"), "expires_at")
     if state is None:
         return latest
     return (
@@ -130,14 +115,21 @@ def suppress_misses(
     jitter: tuple[int, int] | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Keep the misses to report: one per host, then none until its entry has expired."""
-    kept = reported_misses(misses, state, jitter, seed).select(
-        F.col("raw_host_rcpn").alias("_host"), F.inline("reported")
+    """Keep the misses to report: one per host, then none until its entry has expired.
+
+    Of several misses of a host in one second the first to arrive is kept.
+    """
+    times = reported_misses(misses, state, jitter, seed).select(
+        F.col("raw_host_rcpn").alias("_host"), F.explode("reported").alias("_at")
     )
-    return misses.join(
-        kept.select("_host", *[F.col(c).alias(f"_{c}") for c in ARRIVAL]),
+    in_time = misses.join(
+        times,
         F.col("raw_host_rcpn").eqNullSafe(F.col("_host"))
-        & (F.col(ARRIVAL[0]) == F.col(f"_{ARRIVAL[0]}"))
-        & (F.col(ARRIVAL[1]) == F.col(f"_{ARRIVAL[1]}")),
+        & (F.col("processed_at") == F.col("_at")),
         "left_semi",
     )
+    return (
+        in_time.groupBy("raw_host_rcpn", "processed_at")
+        .agg(F.min_by(F.struct(*misses.columns), F.struct(*ARRIVAL)).alias("_first"))
+        .select("_first.*")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +25,17 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by the cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder all executors can reach, as named by the cluster in `spark.checkpoint.dir`.
+
+    Only a local session, which has one machine, may go without: it gets a new folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wattledger-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
