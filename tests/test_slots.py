@@ -9,6 +9,7 @@ from machines import slot_machine
 from wattledger.operators import skew, slots
 from wattledger.plans.daily import hot_devices, to_readings
 from wattledger.schema import SLOT_STATE
+from wattledger.session import stage
 
 READING = (
     "host_rcpn string, arrival_seq bigint, record_pos int, event_timestamp bigint, "
@@ -60,12 +61,13 @@ def cuts(rows):
     ]
 
 
+@pytest.mark.parametrize("table", [None, lambda df: stage(df, "chunks")])
 @pytest.mark.parametrize("cut", range(4))
 @pytest.mark.parametrize("seed", [1, 2])
-def test_classes_equal_the_sequential_rule(spark, seed, cut):
+def test_classes_equal_the_sequential_rule(spark, seed, cut, table):
     rows = random_rows(seed)
     df = spark.createDataFrame(rows, READING)
-    got = result_classes(slots.slot_classify(df, hot=cuts(rows)[cut]))
+    got = result_classes(slots.slot_classify(df, hot=cuts(rows)[cut], materialize=table))
     assert got == expected_classes(rows)
     assert {c for c, _ in got.values()} == {"FIRST", "DUPLICATE", "LATE", "GAP", "EMIT"}
 

@@ -7,6 +7,7 @@ is scanned on its own, starting from the maximum of the chunks before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -92,10 +93,13 @@ def previous_max(
     name: str,
     hot: HotKeys = NO_HOT_KEYS,
     order: tuple[str, ...] = ARRIVAL,
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add `name`: the maximum of `value` over the rows of the key that arrived earlier.
 
-    `order` starts with the arrival columns.
+    `order` starts with the arrival columns. With hot keys the rows are read twice, for the
+    maxima of the chunks and for the scan. When that is dear, `materialize` may turn the
+    scanned rows, in which `name` knows only the row's own chunk, into a table.
     """
     if hot.keys == ():
         window = (
@@ -104,6 +108,14 @@ def previous_max(
         return df.withColumn(name, F.max(value).over(window))
 
     chunked = df.withColumn(_CHUNK, hot.chunk(key))
+    within_chunk = (
+        Window.partitionBy(key, _CHUNK)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    if materialize is not None:
+        chunked = materialize(chunked.withColumn(name, F.max(value).over(within_chunk)))
+
     earlier_chunks = (
         Window.partitionBy(key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -117,18 +129,14 @@ def previous_max(
             F.max("_max").over(earlier_chunks).alias("_carried"),
         )
     )
-    within_chunk = (
-        Window.partitionBy(key, _CHUNK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # The join and the window share one exchange on (key, chunk).
+    # Without a table, the join and the window share one exchange on (key, chunk).
+    in_chunk = F.col(name) if materialize is not None else F.max(value).over(within_chunk)
     return (
         chunked.join(
             carried,
             (F.col(key) == F.col("_key")) & (F.col(_CHUNK) == F.col("_key_chunk")),
             "left",
         )
-        .withColumn(name, F.greatest("_carried", F.max(value).over(within_chunk)))
+        .withColumn(name, F.greatest("_carried", in_chunk))
         .drop(_CHUNK, "_key", "_key_chunk", "_carried")
     )

@@ -8,6 +8,8 @@ needs no sequential pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,10 @@ def _state_rows(state: DataFrame) -> DataFrame:
 
 
 def slot_classify(
-    readings: DataFrame, state: DataFrame | None = None, hot: HotKeys | None = None
+    readings: DataFrame,
+    state: DataFrame | None = None,
+    hot: HotKeys | None = None,
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add `slot`, `slot_class` and `previous` (the last accepted reading before the row).
 
@@ -54,6 +59,7 @@ def slot_classify(
     arrival columns. A reading without a usable time gets no class. `state` holds the last
     accepted reading per host of earlier runs.
     `hot` lists devices too large for one task; they are looked up when not given.
+    `materialize` is as in `previous_max`.
     """
     if hot is None:
         hot = find_hot_keys(readings, "host_rcpn")
@@ -62,7 +68,9 @@ def slot_classify(
         rows = rows.withColumn("_saved", F.lit(False)).unionByName(
             _state_rows(state), allowMissingColumns=True
         )
-    rows = previous_max(rows, "host_rcpn", _accepted_rank(), "previous", hot)
+    rows = previous_max(
+        rows, "host_rcpn", _accepted_rank(), "previous", hot, materialize=materialize
+    )
     if state is not None:
         rows = rows.where("not _saved").drop("_saved")
     before, slot = F.col("previous.slot"), F.col("slot")

@@ -62,6 +62,19 @@ def _narrowed(classified: DataFrame) -> DataFrame:
     )
 
 
+def _classify(rows: DataFrame, state: DataFrame | None, hot: HotKeys) -> DataFrame:
+    """Classified readings that are cheap to read again, from one pass over the uploads."""
+    if hot.keys == ():
+        return stage(_narrowed(slots.slot_classify(rows, state, hot)), "classified")
+
+    def table(chunks: DataFrame) -> DataFrame:
+        # A reading not accepted within its chunk is not accepted at all.
+        accepted = F.col("previous").isNull() | (F.col("slot") > F.col("previous.slot"))
+        return stage(chunks.withColumn("record", F.when(accepted, F.col("record"))), "chunks")
+
+    return _narrowed(slots.slot_classify(rows, state, hot, table))
+
+
 def expire(state: State, before: int) -> State:
     """Forget devices and systems last heard of before a time. Off by default: a device that
     returns later starts over with a first reading."""
@@ -178,7 +191,7 @@ def run(
     rows = to_readings(record_sets, now, local_mode)
     if "processed_at" not in rows.columns:
         rows = rows.withColumn("processed_at", F.unix_timestamp())
-    classified = stage(_narrowed(slots.slot_classify(rows, state.slots, hot)), "classified")
+    classified = _classify(rows, state.slots, hot)
     looked_up = enrich.lookup_systems(slots.energy_delta(classified), systems)
     looked_up = ct.ess_lookup(looked_up, ess).drop("ess_imported_ws", "ess_exported_ws")
     looked_up = stage(looked_up, "looked_up")
