@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.functions.channels import has_inverter_with_id
 from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.operators.skew import HotKeys, find_hot_keys
 from wattledger.plans.outputs import energy_dataframe, partner_telemetry
@@ -117,7 +118,7 @@ class Outputs:
     def _enriched(self) -> DataFrame:
         rows = enrich.matched(self._looked_up)
         if not self._local_mode:
-            rows = readings.valid_records(rows)
+            rows = rows.where("is_valid")
         return readings.require_counters(rows) if self._strict else rows
 
     @cached_property
@@ -194,6 +195,8 @@ def run(
     classified = _classify(rows, state.slots, hot)
     looked_up = enrich.lookup_systems(slots.energy_delta(classified), systems)
     looked_up = ct.ess_lookup(looked_up, ess).drop("ess_imported_ws", "ess_exported_ws")
+    # Judged here, so that the checks of meters need not read the records.
+    looked_up = looked_up.withColumn("is_valid", has_inverter_with_id(F.col("record.channel")))
     looked_up = stage(looked_up, "looked_up")
     return Outputs(classified, looked_up, state, jitter, deployment, local_mode, strict)
 
