@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.channels import has_inverter_with_id
 from wattledger.operators import ct, enrich, readings, slots, throttle
-from wattledger.operators.skew import HotKeys, find_hot_keys
+from wattledger.operators.skew import NO_HOT_KEYS, ROWS_PER_TASK, HotKeys, find_hot_keys
 from wattledger.plans.outputs import energy_dataframe, partner_telemetry
 from wattledger.session import stage
 
@@ -135,7 +135,10 @@ class Outputs:
 
     @cached_property
     def corrected(self) -> DataFrame:
-        return split_and_correct(self._enriched, self._before.ct, self._decisions)
+        # In a small table no system can be too large; counting it reads file footers only.
+        small = self._looked_up.count() <= ROWS_PER_TASK
+        hot = NO_HOT_KEYS if small else None
+        return split_and_correct(self._enriched, self._before.ct, self._decisions, hot)
 
     @cached_property
     def energy(self) -> DataFrame:
