@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, radix_dedup, sharding
+from . import cover_tree, html_text, mixing, ngram_join, packing, pii, quality, radix_dedup, sharding, toxicity
 from .common import documents, tune
 
 
@@ -31,6 +31,34 @@ def op3_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_by_source(documents(spark, sf_dir))
 
 
+def op4_kk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir)).drop("row")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def _query(f):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
@@ -45,10 +73,40 @@ QUERIES = {
         op1_slots,
         op2_radix_dedup,
         op3_flow_mix,
+        op4_kk_pack,
+        op5_cover_tree,
+        op6_quality,
+        op7_line_blocks,
+        op8_toxic_spans,
+        op9_ngram_join,
+        op10_pii,
     )
 }
 
 ORACLES = {
+    "op5_cover_tree": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+              AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+        ), link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+              ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+            WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+        ), reach AS (
+            SELECT a AS start, b AS node FROM link
+            UNION
+            SELECT r.start, l.b FROM reach r JOIN link l ON r.node = l.a
+        ), comp AS (
+            SELECT start, min(node) AS low FROM reach GROUP BY start
+        ), n AS (
+            SELECT a, count(*) AS n_links FROM link GROUP BY a
+        )
+        SELECT e.vec_id, coalesce(n_links, 0) AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+               e.vec_id = least(e.vec_id, coalesce(low, e.vec_id)) AS kept
+        FROM embeddings e LEFT JOIN comp ON comp.start = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+    """,
     "op2_radix_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
