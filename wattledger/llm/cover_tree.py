@@ -25,6 +25,8 @@ THRESHOLD = 0.98
 #: Vectors of a cell, and most centres that are sent to all executors; with more vectors the cells grow, and are
 #: compared in blocks of CELL.
 CELL, CENTRES = 1_500, 20_000
+#: Points among which the next centres of a level are chosen at once.
+BATCH = 128
 #: Slack for rounding in bounds; the last test is exact.
 SLACK = 1e-7
 
@@ -58,13 +60,23 @@ class CoverTree:
             centres, parents, above = list(centres), list(range(len(centres))), at.copy()
             far = np.flatnonzero(distance > radius)
             while len(far):
-                new = far[0]
-                d = apart(points[far], points[new : new + 1])[:, 0]
-                d[0] = 0.0
-                near = d <= radius
-                at[far[near]], distance[far[near]] = len(centres), d[near]
-                centres.append(int(new))
-                parents.append(int(above[new]))
+                # The next centres: some far points, each left out if an earlier one of them covers it.
+                some = far[:BATCH]
+                close = apart(points[some], points[some]) <= radius
+                covered, chosen = np.zeros(len(some), bool), []
+                for k in range(len(some)):
+                    if not covered[k]:
+                        chosen.append(k)
+                        covered |= close[k]
+                new = some[chosen]
+                d = apart(points[far], points[new])
+                d[chosen, np.arange(len(new))] = 0.0
+                nearest = d.argmin(axis=1)
+                best = d[np.arange(len(far)), nearest]
+                near = best <= radius
+                at[far[near]], distance[far[near]] = len(centres) + nearest[near], best[near]
+                centres += new.tolist()
+                parents += above[new].tolist()
                 far = far[~near]
             levels.append((centres, parents))
             ancestry.append(at.copy())
@@ -83,40 +95,29 @@ class CoverTree:
 
 
 def close_pairs(a: CoverTree, b: CoverTree, limit: float) -> np.ndarray:
-    """All pairs of points (place in a, place in b) within `limit`."""
-    i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
+    """All pairs of points (place in a, place in b) within `limit`.
+
+    Alive pairs of nodes are a matrix; a level's distances are taken for the rows that have alive pairs.
+    """
+    alive = np.ones((1, 1), bool)
     for k in range(max(len(a.levels), len(b.levels))):
         one, two = a.levels[min(k, len(a.levels) - 1)], b.levels[min(k, len(b.levels) - 1)]
-        if k:
-            i, j = _children(i, j, one, two, k < len(a.levels), k < len(b.levels))
-        keep = []
-        for s in range(0, len(i), 1 << 16):
-            x, y = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
-            cos = np.einsum("ij,ij->i", a.points[one.centres[x]], b.points[two.centres[y]])
-            keep.append(np.sqrt(np.maximum(0, 2 - 2 * cos)) <= limit + SLACK + one.radius[x] + two.radius[y])
-        keep = np.concatenate([*keep, np.zeros(0, bool)])
-        i, j = i[keep], j[keep]
-        if not len(i):
+        if 0 < k < len(a.levels):
+            alive = alive[one.parents]
+        if 0 < k < len(b.levels):
+            alive = alive[:, two.parents]
+        count = np.count_nonzero(alive)
+        if not count:
             break
-    return np.stack([i, j], axis=1)
-
-
-def _children(i, j, one: Level, two: Level, down_a: bool, down_b: bool):
-    """Pairs of children of pairs of nodes; a tree that has ended stays where it is."""
-
-    def lists(level, down, n):
-        if not down:
-            return np.arange(n), np.arange(n + 1)
-        order = np.argsort(level.parents, kind="stable")
-        return order, np.searchsorted(level.parents[order], np.arange(n + 1))
-
-    ka, ea = lists(one, down_a, int(i.max()) + 1 if len(i) else 0)
-    kb, eb = lists(two, down_b, int(j.max()) + 1 if len(j) else 0)
-    na, nb = ea[i + 1] - ea[i], eb[j + 1] - eb[j]
-    total = na * nb
-    pair = np.repeat(np.arange(len(i)), total)
-    inner = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-    return ka[ea[i][pair] + inner // nb[pair]], kb[eb[j][pair] + inner % nb[pair]]
+        x, y = a.points[one.centres], b.points[two.centres]
+        if count * 8 < alive.size:
+            i, j = np.nonzero(alive)
+            cos = np.einsum("ij,ij->i", x[i], y[j])
+            bound = limit + SLACK + one.radius[i] + two.radius[j]
+            alive[i, j] = np.sqrt(np.maximum(0, 2 - 2 * cos)) <= bound
+        else:
+            alive &= apart(x, y) <= limit + SLACK + one.radius[:, None] + two.radius[None, :]
+    return np.argwhere(alive)
 
 
 LINKS = "node long, links long, parent long"
