@@ -43,7 +43,8 @@ def duplicate_groups(rows: DataFrame) -> DataFrame:
         )
         if groups.isEmpty():
             break
-        split = alive.withColumn("digit", F.substring("rest", 1, width)).join(groups, ["grp", "digit"])
+        # Sorted and merged at every size: the groups have no bound that would let them be sent to all executors.
+        split = alive.withColumn("digit", F.substring("rest", 1, width)).join(groups.hint("merge"), ["grp", "digit"])
         ended = F.length("digit") < width
         split = stage(
             split.select(
