@@ -102,6 +102,8 @@ def close_pairs(a: CoverTree, b: CoverTree, limit: float) -> np.ndarray:
     alive = np.ones((1, 1), bool)
     for k in range(max(len(a.levels), len(b.levels))):
         one, two = a.levels[min(k, len(a.levels) - 1)], b.levels[min(k, len(b.levels) - 1)]
+        if k and alive.shape == (len(one.centres), len(two.centres)):
+            continue  # no new centres, so no bound has changed
         if 0 < k < len(a.levels):
             alive = alive[one.parents]
         if 0 < k < len(b.levels):
@@ -116,7 +118,8 @@ def close_pairs(a: CoverTree, b: CoverTree, limit: float) -> np.ndarray:
             bound = limit + SLACK + one.radius[i] + two.radius[j]
             alive[i, j] = np.sqrt(np.maximum(0, 2 - 2 * cos)) <= bound
         else:
-            alive &= apart(x, y) <= limit + SLACK + one.radius[:, None] + two.radius[None, :]
+            bound = limit + SLACK + one.radius[:, None] + two.radius[None, :]
+            alive &= x @ y.T >= 1 - bound * bound / 2
     return np.argwhere(alive)
 
 
