@@ -102,7 +102,8 @@ def close_pairs(a: CoverTree, b: CoverTree, limit: float) -> np.ndarray:
     alive = np.ones((1, 1), bool)
     for k in range(max(len(a.levels), len(b.levels))):
         one, two = a.levels[min(k, len(a.levels) - 1)], b.levels[min(k, len(b.levels) - 1)]
-        if k and alive.shape == (len(one.centres), len(two.centres)):
+        last = k >= min(len(a.levels), len(b.levels)) - 1  # lists points in another order
+        if k and not last and alive.shape == (len(one.centres), len(two.centres)):
             continue  # no new centres, so no bound has changed
         if 0 < k < len(a.levels):
             alive = alive[one.parents]
