@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from .common import uniform
 
-#: Labelled rows per class that a classifier is fitted on. More rows than this are not looked at in fitting.
-ROWS_PER_CLASS = 2_000
-#: Texts in the sample are whole up to this many characters together per class; then the sample ends.
-CHARS_PER_CLASS = 6_000_000
+#: Labelled rows that a classifier is fitted on, by class. Rows beyond them are not looked at in fitting.
+ROWS_BY_CLASS = {0: 1_000, 1: 1_000}
+#: The texts of a class's sample are whole, and the sample ends at this many characters for each of its rows.
+CHARS_PER_ROW = 4_000
 
 
 def remainder(modulus: int) -> Column:
@@ -19,8 +19,8 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows: int = ROWS_PER_CLASS) -> pd.DataFrame:
-    """text, y and weight of at most `rows` training documents of each class, those of smallest hash.
+def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows: dict[int, int]) -> pd.DataFrame:
+    """text, y and weight of at most `rows` training documents by class, those of smallest hash.
 
     Equal texts count once. A row's weight stands for all labelled training rows of its class, so that the share of
     the classes is that of all rows.
@@ -30,15 +30,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows:
     count = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = None
     for y in count:
-        part = known.where(F.col("y") == y).orderBy("u", "doc_id").limit(rows)
+        part = known.where(F.col("y") == y).orderBy("u", "doc_id").limit(rows[y])
         chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
         return pd.DataFrame({"text": [], "y": [], "weight": []})
-    # At most 2 * rows ids, so the side that is sent to all executors has a fixed bound.
+    # As many ids as `rows` says, so the side that is sent to all executors has a fixed bound.
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     both = texts.join(F.broadcast(chosen), "doc_id")
     size = F.sum(F.length("text")).over(_by_class())
-    both = both.withColumn("so_far", size).where(F.col("so_far") <= CHARS_PER_CLASS)
+    limit = F.when(F.col("y") == 1, rows[1] * CHARS_PER_ROW).otherwise(rows[0] * CHARS_PER_ROW)
+    both = both.withColumn("so_far", size).where(F.col("so_far") <= limit)
     found = both.select("text", "y", "u", "doc_id").toPandas().sort_values(["u", "doc_id"], ignore_index=True)
     found = found.drop_duplicates(["text", "y"], ignore_index=True)
     n = found["y"].map(found["y"].value_counts())

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import ROWS_PER_CLASS, remainder, sample
+from .labelled import ROWS_BY_CLASS, remainder, sample
 
 #: Tokens are kept by hash. A vector has DIMENSIONS numbers; an index vector has NONZERO of them set to 1 or -1.
 TOKENS, DIMENSIONS, NONZERO, REACH = 1 << 13, 64, 2, 2
@@ -242,14 +242,14 @@ def fit(rows: pd.DataFrame, sums: np.ndarray, counts: np.ndarray, total: int) ->
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> Network:
+def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLASS) -> Network:
     return fit(sample(docs, labels, "quality", remainder(3) != 1, rows), *corpus_statistics(docs))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLASS) -> DataFrame:
     """One row per document: doc_id, held_out, score (that label 1 holds), predicted.
 
-    Word vectors come from all texts, the network from at most `rows` labelled rows of each class. Null and empty
+    Word vectors come from all texts, the network from at most `rows` labelled rows by class. Null and empty
     texts pool to zeros and are scored like that.
     """
     net = train(docs, labels, rows)

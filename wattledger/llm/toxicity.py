@@ -22,9 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import whole
-from .labelled import ROWS_PER_CLASS, remainder, sample
+from .labelled import remainder, sample
 
 WORD = re.compile(r"\w+")
+#: Labelled rows that are looked at, by class: clean ones are needed to tell rare words from toxic ones.
+ROWS_BY_CLASS = {0: 5_000, 1: 1_500}
+#: Of these, rows by class whose tokens the field is fitted on; all of them calibrate it.
+FIELD_ROWS = {0: 500, 1: 1_000}
 #: Weights are kept by hash.
 WEIGHTS = 1 << 18
 STEPS, RATE, DECAY = 40, 0.3, 1e-4
@@ -42,23 +46,20 @@ def features(word: str) -> tuple[int, int, int]:
     return tuple(zlib.crc32(x.encode()) % WEIGHTS for x in (word, "^" + word[:4], word[-4:] + "$"))
 
 
-def toxic_words(docs: list[list[str]], y: np.ndarray, least: int = 4) -> set[str]:
+def toxic_words(texts: list[str], y: np.ndarray, least: int = 4) -> set[str]:
     """Words that mark toxic documents beyond chance.
 
     Counted once per family of documents that begin alike, as near copies are no further evidence. The chance that a
     word falls into toxic documents so often must be below one in the number of words, and most of its documents
     must be toxic.
     """
+    families: dict[int, dict[str, list[int]]] = {0: {}, 1: {}}
+    for i, (text, label) in enumerate(zip(texts, y)):
+        families[label].setdefault(" ".join(tokens(text[:200])[:3]), []).append(i)
     seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    families: dict[int, set] = {0: set(), 1: set()}
-    counted = set()
-    for words, label in zip(docs, y):
-        family = " ".join(words[:3])
-        families[label].add(family)
-        for w in set(words):
-            if (w, family, label) not in counted:
-                counted.add((w, family, label))
-                seen[label][w] += 1
+    for label, members in families.items():
+        for group in members.values():
+            seen[label].update({w for i in group for w in tokens(texts[i])})
     share = len(families[1]) / max(1, len(families[0]) + len(families[1]))
     limit = math.log(1e-2 / max(1, len(seen[0].keys() | seen[1].keys())))
     out = set()
@@ -74,7 +75,7 @@ def toxic_words(docs: list[list[str]], y: np.ndarray, least: int = 4) -> set[str
 
 
 def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, pairs: bool = False):
-    """Probability of the toxic state of each token, and expected transitions (2 by 2) if asked for.
+    """Probability of the toxic state of each token, and expected transitions if asked for.
 
     `scores` holds, document after document, by how much the toxic state is preferred at a token; `transitions` the
     log weights from state to state. Documents run side by side, longest first, so that step t works on all that have
@@ -113,9 +114,9 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
     inner[start[length > 0]] = False
     i = np.flatnonzero(inner)
     f, b = forward[i - 1], s[i] * backward[i]
-    joint = np.stack([np.full(len(i), a[0, 0]), a[0, 1] * b, a[1, 0] * f, a[1, 1] * f * b])
-    joint /= joint.sum(axis=0)
-    return p, joint.sum(axis=1).reshape(2, 2)
+    every = a[0, 0] + a[0, 1] * b + a[1, 0] * f + a[1, 1] * f * b
+    expected = [a[0, 0] / every, a[0, 1] * b / every, a[1, 0] * f / every, a[1, 1] * f * b / every]
+    return p, np.array([x.sum() for x in expected])
 
 
 def evidence(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -152,10 +153,13 @@ class Field:
             self._known.clear()
         return np.array(list(map(self._known.__getitem__, words)), np.float64)
 
-    def documents(self, scores: list[np.ndarray]) -> np.ndarray:
+    def evidence(self, scores: list[np.ndarray]) -> np.ndarray:
         lengths = np.array([len(s) for s in scores], np.int64)
         p, _ = marginals(np.concatenate([*scores, np.zeros(0)]), lengths, self.transitions)
-        z = self.slope * evidence(p, lengths) + self.base
+        return evidence(p, lengths)
+
+    def documents(self, scores: list[np.ndarray]) -> np.ndarray:
+        z = self.slope * np.clip(self.evidence(scores), -20, 20) + self.base
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
     def spans(self, text: str, least: float = 0.5) -> list[tuple[int, int, float]]:
@@ -190,21 +194,23 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 def fit(rows: pd.DataFrame) -> Field:
     """Fit on rows of text, y and weight. Without rows of both classes every token is clean."""
-    docs = [list(map(sys.intern, tokens(t))) for t in rows["text"]]
-    y = rows["y"].to_numpy(np.int64)
+    texts, y = rows["text"].tolist(), rows["y"].to_numpy(np.int64)
     weight = rows["weight"].to_numpy(np.float64)
-    bad = toxic_words(docs, y) if len(set(y.tolist())) == 2 else set()
+    bad = toxic_words(texts, y) if len(set(y.tolist())) == 2 else set()
     weights, transitions = np.zeros(WEIGHTS), np.log(np.array([[0.9, 0.1], [0.5, 0.5]]))
     bias = features("")[0]
     if not bad:
         weights[bias] = -30.0
         rate = float(np.average(y, weights=weight)) if len(y) else 0.0
         return Field(weights, transitions, 0.0, math.log((rate + 1e-3) / (1 - rate + 1e-3)))
+    used = np.concatenate([np.flatnonzero(y == label)[:n] for label, n in FIELD_ROWS.items()])
+    docs = [list(map(sys.intern, tokens(texts[i]))) for i in used]
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
-    flat = np.fromiter((vocabulary[w] for d in docs for w in d), np.int64)
+    flat = np.fromiter((vocabulary[w] for d in docs for w in d), np.int32)
     lengths = np.array([len(d) for d in docs], np.int64)
+    del docs
     is_bad = np.array([w in bad for w in vocabulary], bool)
-    gold = (is_bad[flat] & np.repeat(y == 1, lengths)).astype(np.float64)
+    gold = (is_bad[flat] & np.repeat(y[used] == 1, lengths)).astype(np.float64)
     index = np.array([features(w) for w in vocabulary], np.int64)
     first = (np.cumsum(lengths) - lengths)[lengths > 0]
     inner = np.ones(len(flat), bool)
@@ -218,20 +224,20 @@ def fit(rows: pd.DataFrame) -> Field:
     for step in range(1, STEPS + 1):
         scores = theta[index].sum(axis=1)
         p, expected = marginals(scores[flat], lengths, theta[links].reshape(2, 2), pairs=True)
-        by = np.concatenate([np.bincount(flat, weights=p, minlength=len(vocabulary)), expected.ravel()]) - observed
+        by = np.concatenate([np.bincount(flat, weights=p, minlength=len(vocabulary)), expected]) - observed
         gradient = np.bincount(index.ravel(), weights=np.repeat(by[:-4], 3), minlength=WEIGHTS + 4)
         gradient[links] = by[-4:]
         gradient = gradient / scale + DECAY * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     weights, transitions = theta[:WEIGHTS], theta[links].reshape(2, 2)
-    scores = weights[index].sum(axis=1)
-    p, _ = marginals(scores[flat], lengths, transitions)
-    slope, base = _calibrate(evidence(p, lengths), y, weight / weight.mean())
+    model = Field(weights, transitions, 1.0, 0.0)
+    seen = [model.evidence([model.scores(tokens(t)) for t in texts[i : i + 500]]) for i in range(0, len(texts), 500)]
+    slope, base = _calibrate(np.concatenate(seen), y, weight / weight.mean())
     return Field(weights, transitions, slope, base)
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> Field:
+def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLASS) -> Field:
     return fit(sample(docs, labels, "toxic", remainder(5) != 0, rows))
 
 
@@ -270,11 +276,11 @@ def _scored(docs: DataFrame, field: Field) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLASS) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     Null and empty texts have no tokens and get the score of a text without evidence. Fitted on at most `rows` rows
-    of each class, scored on all.
+    by class, scored on all.
     """
     field = train(docs, labels, rows)
     held_out = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
@@ -283,7 +289,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLA
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLASS) -> DataFrame:
     """The documents that score below 0.5, with all their columns."""
     field = train(docs, labels, rows)
     scored = _scored(docs.select(whole(docs).alias("doc"), "text"), field)
