@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +41,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Lists that take note of staged tables, innermost last.
+_records: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Paths of the tables staged within the block, for `discard` once nothing reads them any more."""
+    paths: list[str] = []
+    _records.append(paths)
+    try:
+        yield paths
+    finally:
+        _records[:] = [r for r in _records if r is not paths]
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete staged tables, through the file system that holds them. Tables already gone are fine."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a parquet table in the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, keeps column pruning for
-    the readers, and lets several outputs share one computation. The cluster owns
-    the clean-up of that folder.
+    the readers, and lets several outputs share one computation. Whoever runs the block
+    around it (`recorded`) discards the table; otherwise it stays in the shared folder.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/wattledger/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{shared_folder(spark)}/wattledger/{uuid.uuid4().hex}"
+    for record in _records:
+        record.append(folder)
+    df.write.parquet(f"{folder}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
