@@ -87,9 +87,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows = numbered(
-        docs, "documents", doc_id=F.col("doc_id").cast("long"), text=one_space(F.col("text")), doc=whole(docs)
-    )
-    groups = duplicate_groups(rows.select("row", "doc_id", "text"))
+    rows = numbered(docs, "documents", doc=whole(docs))
+    text = one_space(F.col("doc.text")).alias("text")
+    groups = duplicate_groups(rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), text))
     gone = groups.where("keep_row <> row").select("row")
     return rows.join(gone, "row", "left_anti").select("doc.*")
