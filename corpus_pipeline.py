@@ -6,35 +6,52 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattledger.llm import mixing, ngram_join, packing, radix_dedup, toxicity
 from wattledger.llm.common import documents, stage, tune
+from wattledger.session import discard, recorded
 
+#: Tables that the stage before has staged. Its result is written when the next stage begins, so they can go.
+_staged: list[str] = []
 
+
+def _stage_of(function):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        tune(spark)
+        discard(spark, _staged)
+        with recorded() as paths:
+            out = function(spark, docs, sf_dir)
+        _staged[:] = paths
+        return out
+
+    run.__name__, run.__doc__ = function.__name__, function.__doc__
+    return run
+
+
+@_stage_of
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
-    tune(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@_stage_of
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one stays."""
-    tune(spark)
     return radix_dedup.drop_exact_duplicates(docs)
 
 
+@_stage_of
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar word 5-grams one stays."""
-    tune(spark)
     return ngram_join.one_of_each(docs)
 
 
+@_stage_of
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources get their target weights; a document comes once for each pass over it."""
-    tune(spark)
     return mixing.mixed_documents(docs)
 
 
+@_stage_of
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their place in a sequence; a document repeated by the mix is packed each time."""
-    tune(spark)
     return packing.pack_documents(docs)
 
 
@@ -51,7 +68,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), []
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+        out = function(spark, docs, sf_dir)
+        with recorded() as written:
+            docs = stage(out, name.replace(" ", "-"))
+        discard(spark, before)
+        before = written
     return STAGES[-1][1](spark, docs, sf_dir)
