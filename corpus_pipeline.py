@@ -18,7 +18,8 @@ def _stage_of(function):
         discard(spark, _staged)
         with recorded() as paths:
             out = function(spark, docs, sf_dir)
-        _staged[:] = paths
+        # Nothing says when the result of the last stage has been read, so its tables stay.
+        _staged[:] = [] if function.__name__ == "packed_sequences" else paths
         return out
 
     run.__name__, run.__doc__ = function.__name__, function.__doc__
