@@ -9,6 +9,7 @@ seeded order.
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -70,20 +71,21 @@ def route(capacity: dict[tuple, int], quotas: dict, costs: Sequence[int] = PASS_
         k = used[p] // capacity[p] if capacity[p] else width
         return (costs[k], (k + 1) * capacity[p] - used[p]) if k < width else (None, 0)
 
+    ticks = itertools.count()  # so that equal entries of a heap are never compared further
     order = sorted(need, key=lambda s: (s is None, str(s)))
     open_ = {s for s in order if need[s] > 0}
     while open_:
         # Cheapest price at which each open source can be reached: from a pattern with tokens left, over
         # patterns whose flow another source can hand on in exchange. Handing on costs nothing.
         best, heap, back = {}, [], {}
+        seen, missing = set(), object()  # None is a source
         for p in sorted(capacity, key=str):
             cost, left = price(p)
             if cost is not None and left > 0:
-                heapq.heappush(heap, (cost, str(p), p, None))
-        seen = set()
-        found = None
-        while heap and found is None:
-            cost, _, p, via = heapq.heappop(heap)
+                heapq.heappush(heap, (cost, str(p), next(ticks), p, missing))
+        found = missing
+        while heap and found is missing:
+            cost, _, _, p, via = heapq.heappop(heap)
             if p in seen:
                 continue
             seen.add(p)
@@ -97,14 +99,14 @@ def route(capacity: dict[tuple, int], quotas: dict, costs: Sequence[int] = PASS_
                     break
                 for q in members[s]:  # s is full: it may take from p instead of from q, and q goes on
                     if q not in seen and flow.get((q, s), 0) > 0:
-                        heapq.heappush(heap, (cost, str(q), q, s))
-        if found is None:
+                        heapq.heappush(heap, (cost, str(q), next(ticks), q, s))
+        if found is missing:
             break
         path, s = [], found
         while True:
             p = best[s]
             path.append((p, s))
-            if back[p] is None:
+            if back[p] is missing:
                 break
             s = back[p]
             path.append((p, s))

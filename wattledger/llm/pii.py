@@ -119,7 +119,7 @@ _SPELLED = re.compile(rf"(?i)(?<!\w){_NAME}(?:[\x20,.-]{{1,2}}{_DIGIT}+(?!\w)){{
 _SPELLED_HINT = re.compile(
     "(?:" + "|".join(rf"{n}(?<!\w{n})" for n in DIGIT_NAMES) + rf")(?:[\x20,.-]{{1,2}}{_DIGIT}+(?!\w)){{3}}"
 )
-_PLUS = re.compile(r"(?i)(?<!\w)plus(?=[\x20-]?[0-9])")
+_PLUS = re.compile(r"(?i)(?<!\w)plus[\x20-]?(?=[0-9])")
 _ONE_NAME = re.compile(rf"(?i){_NAME}")
 
 
