@@ -6,6 +6,7 @@ import pytest
 from compare import differences, duckdb_over
 
 import __spark_entry__ as entry_points
+from wattledger.plans.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def con():
     return duckdb_over(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, con, name):
     result = entry_points.queries()[name](spark, SF_DIR)
     assert differences(result, con, entry_points.oracle_sql()[name]) == []

@@ -135,7 +135,7 @@ def ct_decisions(
                 F.col("swapped").alias("start_swapped"),
                 F.col("valid_until").alias("start_until"),
             ),
-            F.col("system_id") == F.col("_state_system"),
+            F.col("system_id").eqNullSafe(F.col("_state_system")),
             "left",
         )
     )

@@ -17,16 +17,17 @@ MISS_METRIC = "delta.rgm.resourceNotFoundCount"
 def latest_systems(systems: DataFrame) -> DataFrame:
     """One normalised row per host.
 
-    With an `updated_at` column the latest version of a host wins. A blank time zone
-    becomes UNKNOWN and a missing registration flag means unregistered.
+    With an `updated_at` column the latest version of a host wins, and of equal ones (or
+    without that column) the one with the greatest values. A blank time zone becomes UNKNOWN
+    and a missing registration flag means unregistered.
     """
-    if "updated_at" in systems.columns:
-        fields = [c for c in systems.columns if c not in ("host_rcpn", "updated_at")]
-        systems = (
-            systems.groupBy("host_rcpn")
-            .agg(F.max(F.struct("updated_at", *fields)).alias("_latest"))
-            .select("host_rcpn", *[F.col(f"_latest.{c}") for c in fields])
-        )
+    order = ["updated_at"] if "updated_at" in systems.columns else []
+    fields = [c for c in systems.columns if c not in ("host_rcpn", *order)]
+    systems = (
+        systems.groupBy("host_rcpn")
+        .agg(F.max(F.struct(*order, *fields)).alias("_latest"))
+        .select("host_rcpn", *[F.col(f"_latest.{c}") for c in fields])
+    )
     zone = F.col("timezone")
     return systems.select(
         "host_rcpn",

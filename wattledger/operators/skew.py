@@ -37,10 +37,15 @@ class HotKeys:
             return number
         if not self.keys:
             return F.lit(0).cast("bigint")
-        return F.when(F.col(key).isin(*self.keys), number).otherwise(F.lit(0).cast("bigint"))
+        return F.when(self._listed(key), number).otherwise(F.lit(0).cast("bigint"))
+
+    def _listed(self, key: str) -> Column:
+        """Whether a row's key is cut; NULL is a key like any other."""
+        named = F.coalesce(F.col(key).isin(*[k for k in self.keys if k is not None]), F.lit(False))
+        return named | F.col(key).isNull() if None in self.keys else named
 
     def select(self, df: DataFrame, key: str) -> DataFrame:
-        return df if self.keys is None else df.where(F.col(key).isin(*self.keys))
+        return df if self.keys is None else df.where(self._listed(key))
 
 
 NO_HOT_KEYS = HotKeys((), 1)
@@ -134,7 +139,7 @@ def previous_max(
     return (
         chunked.join(
             carried,
-            (F.col(key) == F.col("_key")) & (F.col(_CHUNK) == F.col("_key_chunk")),
+            F.col(key).eqNullSafe(F.col("_key")) & (F.col(_CHUNK) == F.col("_key_chunk")),
             "left",
         )
         .withColumn(name, F.greatest("_carried", in_chunk))

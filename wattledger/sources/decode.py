@@ -146,11 +146,11 @@ def decode_flagged(payloads: DataFrame, payload: str = "payload") -> DataFrame:
 
 def decode_record_sets(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Replace a JSON payload column by `sensorId` and `record`; a malformed payload fails the job."""
-    failure = F.raise_error(F.lit("malformed record set payload")).cast("string")
+    # In a filter, so that it fails whichever columns are read later.
+    failure = F.raise_error(F.lit("malformed record set payload")).cast("boolean")
     return (
         decode_flagged(payloads, payload)
-        .withColumn("sensorId", F.when(F.col("malformed"), failure).otherwise(F.col("sensorId")))
-        .withColumn("record", F.when(F.col("malformed"), F.lit(None)).otherwise(F.col("record")))
+        .where(F.when(F.col("malformed"), failure).otherwise(True))
         .drop("malformed", payload)
     )
 

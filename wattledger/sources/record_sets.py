@@ -29,11 +29,14 @@ def stream_record_sets(
     max_files_per_trigger: int = 1000,
     schema: T.StructType = RECORD_SETS,
     fmt: str = "parquet",
+    started: str | None = None,
 ) -> DataFrame:
     """Record sets as they arrive in a folder.
 
-    `start` is "earliest", "latest" (files changed after the query is built) or an
-    ISO timestamp. `max_files_per_trigger` bounds the size of a micro-batch.
+    `start` is "earliest", "latest" (files changed after the query is first built) or an
+    ISO timestamp. `max_files_per_trigger` bounds the size of a micro-batch. `started` names a
+    folder, best beside the checkpoint, that keeps the time of the first "latest": a restart
+    reads it back, so files that arrive while the job is down are not lost.
     """
     stream = (
         spark.readStream.format(fmt)
@@ -45,13 +48,23 @@ def stream_record_sets(
         return stream
     if start == "latest":
         # Fixed when the stream is built, so that later micro-batches use the same start.
-        since = spark.sql("select current_timestamp() as t").first()["t"]
+        since = _first_start(spark, started)
     else:
         since = start
     changed = F.col("_metadata.file_modification_time")
     return stream.where(changed >= F.lit(since).cast("timestamp"))
 
 
+def _first_start(spark: SparkSession, folder: str | None):
+    now = spark.sql("select current_timestamp() as t")
+    if folder is None:
+        return now.first()["t"]
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        now.write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder).first()["t"]
+
+
 def kafka_start_options(start: str = "earliest", max_offsets_per_trigger: int = 1_000_000) -> dict:
     """Options for `readStream.format("kafka")`; `start` as in `stream_record_sets`, with
     epoch milliseconds for a point in time. Needs the Kafka package on the classpath."""
