@@ -184,6 +184,17 @@ def test_quality_on_held_out_rows(spark, docs_of):
     assert np.mean([r.predicted == (r.doc_id in good) for r in held]) > 0.95
 
 
+def test_pooling_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    lengths = np.array([0, 5, 0, 9, 1, 40, 0])
+    flat, table, rarity = rng.integers(1, 50, lengths.sum()), rng.normal(size=(50, 4)), rng.random(50) + 0.1
+    ends = np.cumsum(lengths)
+    want = [np.average(table[flat[e - n : e]], axis=0, weights=rarity[flat[e - n : e]]) if n else np.zeros(4) for e, n in zip(ends, lengths)]
+    for size in (1, 10, 1000):
+        monkeypatch.setattr(Q, "POOLED_AT_ONCE", size)
+        assert np.allclose(Q.pooled(flat, lengths, table, rarity), want)
+
+
 def test_context_sums_against_neighbours():
     places, signs = Q.index_vectors()
     flat = np.array([5, 9, 5, 7, 0, 0, 3, 5, 0, 0])

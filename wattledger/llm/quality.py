@@ -27,7 +27,7 @@ TOKENS, DIMENSIONS, NONZERO, REACH = 1 << 13, 64, 2, 2
 HIDDEN, EPOCHS, RATE, DECAY, SEED = 24, 60, 0.01, 1e-3, 7
 #: Part of the fitted rows that is kept for choosing the epoch and the temperature.
 HELD_BACK = 4
-TOKENS_AT_ONCE, REMEMBERED = 1_000_000, 500_000
+TOKENS_AT_ONCE, POOLED_AT_ONCE, REMEMBERED = 1_000_000, 50_000, 500_000
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -155,12 +155,16 @@ def word_vectors(sums: np.ndarray, counts: np.ndarray, total: int) -> tuple[np.n
 def pooled(flat: np.ndarray, lengths: np.ndarray, table: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Mean row of `table` over each document's tokens, weighted by rarity; zeros for a document without tokens."""
     out = np.zeros((len(lengths), table.shape[1]))
-    has = np.flatnonzero(lengths)
-    if len(has):
-        start = (np.cumsum(lengths) - lengths)[has]
-        weighted = table * rarity[:, None]
-        sums = np.add.reduceat(weighted[flat], start, axis=0)
-        out[has] = sums / np.add.reduceat(rarity[flat], start)[:, None]
+    weighted, has = table * rarity[:, None], np.flatnonzero(lengths)
+    end = np.cumsum(lengths)
+    start = end - lengths
+    while len(has):
+        # Some documents at a time, as a row is looked up for every token.
+        some = has[: max(1, np.searchsorted(end[has], start[has[0]] + POOLED_AT_ONCE))]
+        has = has[len(some) :]
+        first, tokens = start[some[0]], flat[start[some[0]] : end[some[-1]]]
+        at = start[some] - first
+        out[some] = np.add.reduceat(weighted[tokens], at, axis=0) / np.add.reduceat(rarity[tokens], at)[:, None]
     return out
 
 
