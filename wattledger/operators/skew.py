@@ -134,12 +134,15 @@ def previous_max(
             F.max("_max").over(earlier_chunks).alias("_carried"),
         )
     )
-    # Without a table, the join and the window share one exchange on (key, chunk).
+    # Without a table, the join and the window share one exchange on (key, chunk). A NULL-safe
+    # join would need another, so it is taken only where NULL is among the cut keys.
+    null_is_cut = hot.keys is None or None in hot.keys
+    same_key = F.col(key).eqNullSafe(F.col("_key")) if null_is_cut else F.col(key) == F.col("_key")
     in_chunk = F.col(name) if materialize is not None else F.max(value).over(within_chunk)
     return (
         chunked.join(
             carried,
-            F.col(key).eqNullSafe(F.col("_key")) & (F.col(_CHUNK) == F.col("_key_chunk")),
+            same_key & (F.col(_CHUNK) == F.col("_key_chunk")),
             "left",
         )
         .withColumn(name, F.greatest("_carried", in_chunk))
