@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from wattledger.operators.skew import HotKeys
+
+
+def cut_every(keys, width, until=5_000):
+    """Cuts of the keys at every `width` arrival numbers."""
+    return HotKeys(tuple((key, tuple(range(width, until, width))) for key in keys))
+
 
 def slot_machine(rows, state=None):
     """`rows` of (slot, t, imp, exp) of one device; gives (class, previous accepted row)."""

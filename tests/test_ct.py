@@ -4,7 +4,7 @@ import random
 
 import pytest
 from fixtures import C1, E1, F1, SERIES, ess
-from machines import ct_machine
+from machines import ct_machine, cut_every
 
 from wattledger.operators import ct, skew
 from wattledger.schema import CT_STATE, ESS_ENERGY
@@ -24,7 +24,7 @@ def random_rows(seed, n=2500):
         ts = clock - rng.choice([0, 0, 0, 600, 30_000])
         imported, exported = rng.choice([(5, 1), (1, 5), (3, 3), (None, 1), (9, 2)])
         outcome = rng.choice(["MISSING", "MISSING", "EQUAL", "POS", "NEG"])
-        system = "s0" if rng.random() < 0.4 else f"s{rng.randrange(6)}"
+        system = "s0" if rng.random() < 0.4 else rng.choice(["s0", "s1", "s2", "s3", "s4", None])
         rows.append((system, seq // 3, seq % 3, ts - 1, imported, exported, outcome))
     return rows
 
@@ -54,7 +54,7 @@ def result_flags(df):
     }
 
 
-CUTS = [skew.NO_HOT_KEYS, skew.HotKeys(("s0",), 60), skew.HotKeys(None, 33)]
+CUTS = [skew.NO_HOT_KEYS, cut_every(["s0"], 60), cut_every(["s0", "s1", "s2", None], 33)]
 
 
 @pytest.mark.parametrize("hot", CUTS)

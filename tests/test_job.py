@@ -1,7 +1,8 @@
 from __future__ import annotations
 
 import pytest
-from fixtures import C1, E1, channel, ess, record, second_day, systems, uploads
+from fixtures import C1, E1, ZONES, channel, ess, record, second_day, systems, uploads
+from machines import cut_every
 from pyspark.sql import functions as F
 
 from wattledger.operators import skew
@@ -49,7 +50,7 @@ def test_two_systems_energy(acceptance):
         )
         assert (r["host_rcpn"], r["partition_key"], r["dataframe_type"]) == (host, host, "RGM")
         assert r["system_registration_type"] == "REGISTERED"
-        assert r["timezone"] == {C1: "Pacific/Honolulu", E1: "America/Chicago"}[host]
+        assert r["timezone"] == ZONES[host]
 
 
 def test_two_systems_partner(acceptance):
@@ -187,7 +188,7 @@ def test_cutting_large_devices_changes_no_output(spark):
     sf_dir = "/root/testdata/sf0.001"
     inputs = [f(spark, sf_dir) for f in (derived.record_sets, derived.systems, derived.ess_energy)]
     plain = daily.run(*inputs, NOW, hot=skew.NO_HOT_KEYS)
-    cut = daily.run(*inputs, NOW, hot=skew.HotKeys(("host-0",), 40))
+    cut = daily.run(*inputs, NOW, hot=cut_every(["host-0"], 40))
     for name in ("energy", "partner", "dead_letters", "quality", "metrics"):
         rows = [sorted(map(str, getattr(o, name).collect())) for o in (plain, cut)]
         assert rows[0] == rows[1] and rows[0]
@@ -223,3 +224,27 @@ def test_messages_are_keyed_by_device(acceptance):
     rows = sinks.keyed_messages(acceptance.energy).collect()
     assert {r["key"] for r in rows} == {C1, E1}
     assert all('"timestamp_utc":1616544299' in r["value"] for r in rows)
+
+
+def test_closing_leaves_nothing_in_the_shared_folder(spark):
+    from pathlib import Path
+
+    from wattledger.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "wattledger"
+    before = set(folder.glob("*"))
+    rows = [("s", [record(t, channel("x", t, 1))]) for t in (300, 600, 900)]
+    out = job(spark, rows, [("a", "s", "t", True, "Z", None)], share=True)
+    assert len(out.dead_letters.collect()) == 1 and out.energy.count() == out.metrics.count() - 1 == 0
+    assert set(folder.glob("*")) > before
+    out.close()
+    assert set(folder.glob("*")) == before
+
+
+def test_reference_readings_are_pruned_in_the_scan(spark, tmp_path):
+    from wattledger.operators import ct
+
+    spark.createDataFrame([("s", 0, 1.0, 2.0)], ESS_ENERGY).write.parquet(str(tmp_path / "ess"))
+    pruned = ct.prune_ess(spark.read.parquet(str(tmp_path / "ess")), 10_000_000)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual(start_ts,{10_000_000 - 7 * 86400 - 600})" in plan and pruned.count() == 0

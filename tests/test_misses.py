@@ -53,6 +53,25 @@ def test_runs_with_state_equal_one_run(spark):
     assert {r["host_rcpn"]: r["expires_at"] for r in state.collect()} == states
 
 
+def test_many_days_follow_one_another(spark, monkeypatch):
+    """Twelve spans, a dense host, the NULL host and one with gaps of several spans."""
+    monkeypatch.setattr(throttle, "SPAN_SECONDS", 10_000)
+    rng, rows = random.Random(8), []
+    for at in range(0, 120_000, 50):
+        rows.append(("dense", at + rng.randrange(50), len(rows), 0))
+        if rng.random() < 0.3:
+            rows.append((None, at + 49, len(rows), 0))
+        if rng.random() < 0.01:
+            rows.append(("rare", at, len(rows), 0))
+    rows.sort(key=lambda r: (r[1], r[2]))
+    df = spark.createDataFrame(rows, MISS).coalesce(1)
+    reported = throttle.reported_misses(df)
+    kept = throttle.suppress_misses(df, reported=reported)
+    reports, states = expected_reports(rows)
+    assert set(map(tuple, kept.collect())) == reports
+    assert {r["host_rcpn"]: r["expires_at"] for r in throttle.miss_state(reported).collect()} == states
+
+
 @pytest.mark.parametrize("wait, reported", [(899, 1), (900, 1), (901, 2)])
 def test_expiry_is_strict(spark, wait, reported):
     df = spark.createDataFrame([("a", 0, 0, 0), ("a", wait, 1, 0)], MISS)
@@ -86,9 +105,9 @@ def test_latest_version_and_defaults(spark):
 def test_metadata_by_host(spark):
     known = systems(spark, ["000100073534", "000100093534", "000100053534", "000100073180", "0001000732F5"])
     assert {r["host_rcpn"]: (r["is_registered"], r["timezone"]) for r in known.collect()} == {
-        "000100073534": (True, "Pacific/Honolulu"),
-        "000100093534": (True, "America/Chicago"),
-        "000100053534": (True, "America/Chicago"),
+        "000100073534": (True, "Europe/Lisbon"),
+        "000100093534": (True, "Asia/Tokyo"),
+        "000100053534": (True, "Africa/Cairo"),
         "000100073180": (False, None),
         "0001000732F5": (False, None),
     }

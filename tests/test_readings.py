@@ -13,7 +13,12 @@ from wattledger.sources.decode import (
     record_json,
     unsigned_to_long,
 )
-from wattledger.sources.record_sets import kafka_start_options, read_payload_files
+from wattledger.sources.record_sets import (
+    from_kafka,
+    kafka_start_options,
+    number_rows,
+    read_payload_files,
+)
 
 NOW = 1_700_000_000
 
@@ -165,10 +170,27 @@ def test_payload_files_are_read_whole(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.json").write_text(json.dumps(PAYLOAD, indent=2))
     rows = read_payload_files(spark, str(tmp_path)).collect()
-    assert len(rows) == 2 and len({r["arrival_seq"] for r in rows}) == 2
+    assert sorted(r["arrival_seq"] for r in rows) == [0, 1]
     assert all(json.loads(r["payload"]) == PAYLOAD for r in rows)
 
 
+def test_files_of_one_time_are_numbered_densely(spark):
+    df = spark.range(20_000).select(F.lit(5).alias("t"), F.concat(F.lit("f"), "id").alias("path"))
+    rows = number_rows(df.repartition(7), "t", "path").orderBy("arrival_seq").collect()
+    assert [r["arrival_seq"] for r in rows] == list(range(20_000))
+    assert [r["path"] for r in rows] == sorted(r["path"] for r in rows)
+
+
+def test_messages_become_record_sets(spark):
+    rows = [("k", json.dumps(PAYLOAD).encode(), p, o) for p, o in [(0, 0), (1, 0), (0, 1), (4095, 7)]]
+    schema = "key string, value binary, partition int, offset bigint"
+    sets = from_kafka(spark.createDataFrame(rows, schema))
+    assert [r["arrival_seq"] for r in sets.collect()] == [0, 1, 4096, 7 * 4096 + 4095]
+    assert decode_record_sets(sets).count() == 4
+    with pytest.raises(Exception, match="out of range"):
+        from_kafka(spark.createDataFrame([("k", b"", 4096, 0)], schema)).select("payload").collect()
+
+
 def test_kafka_positions():
     assert kafka_start_options("latest")["startingOffsets"] == "latest"
     assert kafka_start_options("1700000000000")["startingTimestamp"] == "1700000000000"

@@ -4,7 +4,8 @@ import random
 
 import pytest
 from fixtures import C1, E1, F1, channel, record, second_day, series, uploads
-from machines import slot_machine
+from machines import cut_every, slot_machine
+from pyspark.sql import functions as F
 
 from wattledger.operators import skew, slots
 from wattledger.plans.daily import hot_devices, to_readings
@@ -55,9 +56,9 @@ def result_classes(df):
 def cuts(rows):
     return [
         skew.NO_HOT_KEYS,
-        skew.HotKeys(("a",), 100),
-        skew.HotKeys(("a", "c"), 7),
-        skew.HotKeys(None, 50),
+        cut_every("a", 100),
+        cut_every("ac", 7),
+        cut_every("abcd", 50),
     ]
 
 
@@ -72,7 +73,7 @@ def test_classes_equal_the_sequential_rule(spark, seed, cut, table):
     assert {c for c, _ in got.values()} == {"FIRST", "DUPLICATE", "LATE", "GAP", "EMIT"}
 
 
-@pytest.mark.parametrize("hot", [skew.NO_HOT_KEYS, skew.HotKeys(("a",), 60)])
+@pytest.mark.parametrize("hot", [skew.NO_HOT_KEYS, cut_every("a", 60)])
 def test_runs_with_state_equal_one_run(spark, hot):
     rows = random_rows(3, n=1200)
     rng = random.Random(4)
@@ -102,27 +103,38 @@ def test_hot_keys_are_found_and_split_evenly(spark):
     df = spark.createDataFrame(rows, READING)
     hot = skew.find_hot_keys(df, "host_rcpn", rows_per_task=1000)
     assert hot.keys == ("a",)
-    sizes = [
-        r["count"]
-        for r in df.where("host_rcpn = 'a'").groupBy(hot.chunk("host_rcpn")).count().collect()
-    ]
+    chunks = hot.split(df.where("host_rcpn = 'a'"), "host_rcpn", "chunk").groupBy("chunk").count()
+    sizes = [r["count"] for r in chunks.collect()]
     assert len(sizes) > 1 and max(sizes) <= 1100
     assert skew.find_hot_keys(df, "host_rcpn") == skew.NO_HOT_KEYS
 
 
-def test_too_many_hot_keys_to_list_cuts_every_key(spark, monkeypatch):
-    monkeypatch.setattr(skew, "LISTED_KEYS", 2)
+def test_a_burst_is_cut_by_rows(spark):
+    """99 of 100 rows of a device, NULL included, lie in a thousandth of its arrival numbers."""
+    burst = F.when(F.col("id") % 100 == 0, F.col("id") * 1000).otherwise(10**7 + F.col("id") % 40_000)
+    df = spark.range(80_000).select(
+        F.when(F.col("id") % 2 == 0, "a").alias("host_rcpn"), burst.alias("arrival_seq"),
+        (F.col("id") % 7).cast("int").alias("record_pos"),
+    )
+    hot = skew.find_hot_keys(df, "host_rcpn", rows_per_task=2_000)
+    assert set(hot.keys) == {"a", None}
+    sizes = hot.split(df, "host_rcpn", "chunk").groupBy("host_rcpn", "chunk").count().collect()
+    assert len(sizes) > 30 and max(r["count"] for r in sizes) <= 4_000
+
+
+def test_many_hot_keys_keep_the_list_bounded(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LISTED_CUTS", 6)
     rows = random_rows(6)
     df = spark.createDataFrame(rows, READING)
     hot = skew.find_hot_keys(df, "host_rcpn", rows_per_task=100)
-    assert hot.keys is None
+    assert 0 < sum(len(c) for _, c in hot.cuts) <= 6
     assert result_classes(slots.slot_classify(df, hot=hot)) == expected_classes(rows)
 
 
 def test_large_devices_share_one_exchange(spark):
     df = spark.createDataFrame(random_rows(7), READING)
     plan = (
-        slots.slot_classify(df, hot=skew.HotKeys(("a",), 100))
+        slots.slot_classify(df, hot=cut_every("a", 100))
         ._jdf.queryExecution()
         .executedPlan()
         .toString()

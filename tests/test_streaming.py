@@ -118,3 +118,30 @@ def test_start_position(spark, tmp_path):
     assert seen("latest", "from_latest") == 0
     assert seen("2000-01-01T00:00:00Z", "from_2000") == 5
     assert seen("2999-01-01T00:00:00Z", "from_2999") == 0
+
+
+def test_a_repeated_batch_keeps_its_clock(spark, tmp_path):
+    rows = [(i, "s", [record(0, channel("x", 1, 1))]) for i in range(2)]
+    job = MicroBatchJob(
+        path=str(tmp_path),
+        systems=lambda s: s.createDataFrame([], SYSTEMS),
+        ess=lambda s: s.createDataFrame([], ESS_ENERGY),
+        outputs=("metrics",),
+        options={"local_mode": True},
+    )
+    clock = job._clock(spark, 0)
+    job(spark.createDataFrame(rows, RECORD_SETS), 0)
+    import time
+
+    time.sleep(1.1)
+    assert job._clock(spark, 0) == clock < job._clock(spark, 1)
+
+
+def test_a_new_checkpoint_does_not_overwrite_an_old_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    spark.createDataFrame(random_uploads(5, 10), SCHEMA).write.parquet(str(folder))
+    (tmp_path / "out" / "state").mkdir(parents=True)
+    job = MicroBatchJob(str(tmp_path / "out"), systems=None, ess=None)
+    stream = stream_record_sets(spark, str(folder), schema=SCHEMA)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start(stream, job, str(tmp_path / "checkpoint"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.timeslots import slot_floor
-from wattledger.operators.readings import ARRIVAL
+from wattledger.operators.readings import ARRIVAL, FUTURE_SECONDS, PAST_SECONDS, prune_dates
 from wattledger.operators.skew import SAVED_SEQ, HotKeys, find_hot_keys, previous_max
 from wattledger.operators.throttle import greedy_actions
 from wattledger.schema import CT_STATE, SLOT_SECONDS
@@ -52,8 +52,28 @@ def ess_slots(ess: DataFrame) -> DataFrame:
     )
 
 
-def ess_lookup(deltas: DataFrame, ess: DataFrame) -> DataFrame:
-    """Attach the reference meter's outcome for the slot before each reading."""
+def comparable() -> Column:
+    """Readings the check can use; only registered systems are checked."""
+    return (_meter_sign() != 0) & F.col("is_registered")
+
+
+def prune_ess(ess: DataFrame, now: int, date_column: str | None = None) -> DataFrame:
+    """Reference readings that readings within the accepted time range can meet.
+
+    The bounds reach the scan; `date_column` names a partition by UTC day of `start_ts`.
+    """
+    slack = 2 * SLOT_SECONDS
+    if date_column is not None:
+        ess = prune_dates(ess, now, date_column, slack)
+    return ess.where(F.col("start_ts").between(now - PAST_SECONDS - slack, now + FUTURE_SECONDS))
+
+
+def ess_lookup(deltas: DataFrame, ess: DataFrame, where: Column | None = None) -> DataFrame:
+    """Attach the reference meter's outcome for the slot before each reading.
+
+    Where `where` does not hold nothing is looked up, and the outcome is MISSING.
+    """
+    system = F.col("system_id") if where is None else F.when(where, F.col("system_id"))
     checked_slot = slot_floor(F.col("timestamp_utc") + 1 - SLOT_SECONDS)
     outcome = (
         F.when(F.col("ess_slot").isNull(), MISSING)
@@ -63,14 +83,15 @@ def ess_lookup(deltas: DataFrame, ess: DataFrame) -> DataFrame:
     )
     return (
         deltas.withColumn("_checked_slot", checked_slot)
+        .withColumn("_checked_system", system)
         .join(
             ess_slots(ess),
-            (F.col("system_id") == F.col("ess_system_id"))
+            (F.col("_checked_system") == F.col("ess_system_id"))
             & (F.col("_checked_slot") == F.col("ess_slot")),
             "left",
         )
         .withColumn("ess_outcome", outcome)
-        .drop("_checked_slot", "ess_system_id", "ess_slot")
+        .drop("_checked_slot", "_checked_system", "ess_system_id", "ess_slot")
     )
 
 

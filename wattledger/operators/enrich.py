@@ -39,18 +39,21 @@ def latest_systems(systems: DataFrame) -> DataFrame:
     )
 
 
-def _system_columns(systems: DataFrame) -> DataFrame:
-    return latest_systems(systems).withColumnRenamed("host_rcpn", "system_host_rcpn")
+def _system_columns(systems: DataFrame, reduced: bool) -> DataFrame:
+    systems = systems if reduced else latest_systems(systems)
+    return systems.withColumnRenamed("host_rcpn", "system_host_rcpn")
 
 
-def lookup_systems(readings: DataFrame, systems: DataFrame) -> DataFrame:
+def lookup_systems(readings: DataFrame, systems: DataFrame, reduced: bool = False) -> DataFrame:
     """Attach metadata by the device id of the reading; misses have `system_host_rcpn` NULL.
 
     No broadcast hint: Spark broadcasts the systems when they are small enough, by their
-    table statistics or by their size at run time, and shuffles both sides otherwise.
+    table statistics or by their size at run time, and shuffles both sides otherwise. AQE splits
+    a large device only where the other side is a plain exchange, not an aggregate: stage
+    `latest_systems` and pass it as `reduced` where devices may be large.
     """
     return readings.join(
-        _system_columns(systems), F.col("raw_host_rcpn") == F.col("system_host_rcpn"), "left"
+        _system_columns(systems, reduced), F.col("raw_host_rcpn") == F.col("system_host_rcpn"), "left"
     )
 
 
@@ -62,10 +65,10 @@ def missed(looked_up: DataFrame) -> DataFrame:
     return looked_up.where(F.col("system_host_rcpn").isNull())
 
 
-def enrich_systems(readings: DataFrame, systems: DataFrame) -> DataFrame:
-    """Readings of known devices with their system's metadata."""
+def enrich_systems(readings: DataFrame, systems: DataFrame, reduced: bool = False) -> DataFrame:
+    """Readings of known devices with their system's metadata; `reduced` as in `lookup_systems`."""
     return readings.join(
-        _system_columns(systems), F.col("raw_host_rcpn") == F.col("system_host_rcpn")
+        _system_columns(systems, reduced), F.col("raw_host_rcpn") == F.col("system_host_rcpn")
     )
 
 

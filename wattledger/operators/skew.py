@@ -1,8 +1,9 @@
 """Running maxima per key that do not depend on any key being small.
 
 A window partitioned by key puts all rows of a key into one task. Keys with more rows
-than a task should hold are cut into chunks of consecutive arrival numbers. Every chunk
-is scanned on its own, starting from the maximum of the chunks before it.
+than a task should hold are cut into chunks of consecutive arrival numbers with about
+equally many rows, however bursty their arrival. Every chunk is scanned on its own,
+starting from the maximum of the chunks before it.
 """
 
 from __future__ import annotations
@@ -12,43 +13,61 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattledger.operators.readings import ARRIVAL
 
 ROWS_PER_TASK = 1_000_000
-LISTED_KEYS = 10_000
+# Bound on the cut points of all keys together: a table beyond this many tasks' rows gets larger chunks.
+LISTED_CUTS = 50_000
+# Rows looked at for each cut point; their share of a chunk's rows varies by about 1 / sqrt(64).
+_POINTS = 64
 
 _CHUNK = "_chunk"
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys to cut, and the width of a chunk in arrival numbers.
-
-    `keys=None` cuts every key.
-    """
-
-    keys: tuple | None
-    chunk_width: int
-
-    def chunk(self, key: str) -> Column:
-        number = F.expr(f"cast(floor({ARRIVAL[0]} / {self.chunk_width}D) as bigint)")
-        if self.keys is None:
-            return number
-        if not self.keys:
-            return F.lit(0).cast("bigint")
-        return F.when(self._listed(key), number).otherwise(F.lit(0).cast("bigint"))
-
-    def _listed(self, key: str) -> Column:
-        """Whether a row's key is cut; NULL is a key like any other."""
-        named = F.coalesce(F.col(key).isin(*[k for k in self.keys if k is not None]), F.lit(False))
-        return named | F.col(key).isNull() if None in self.keys else named
-
-    def select(self, df: DataFrame, key: str) -> DataFrame:
-        return df if self.keys is None else df.where(self._listed(key))
+    """Keys to cut, each with its cut points: sorted arrival numbers at which a chunk begins."""
+
+    cuts: tuple[tuple[object, tuple[int, ...]], ...]
+
+    @property
+    def keys(self) -> tuple:
+        return tuple(key for key, _ in self.cuts)
+
+    def split(self, df: DataFrame, key: str, name: str = _CHUNK) -> DataFrame:
+        """Add the number of a row's chunk, -1 for keys that are not cut.
+
+        The cut points are broadcast: there are at most `LISTED_CUTS` of them. NULL is a key
+        like any other. A row finds its chunk by bisection.
+        """
+        if not self.cuts:
+            return df.withColumn(name, F.lit(-1))
+        schema = T.StructType(
+            [
+                T.StructField("_cut_key", df.schema[key].dataType),
+                T.StructField("_cuts", T.ArrayType(T.LongType())),
+            ]
+        )
+        table = df.sparkSession.createDataFrame([(k, list(c)) for k, c in self.cuts], schema)
+        same = F.col(key).eqNullSafe(F.col("_cut_key"))
+        longest = max(len(c) for _, c in self.cuts)
+        steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
+        seq, cuts = F.col(ARRIVAL[0]), F.col("_cuts")
+        passed = F.aggregate(
+            steps,
+            F.lit(0),
+            lambda at, step: F.when(F.get(cuts, at + step - 1) <= seq, at + step).otherwise(at),
+        )
+        return (
+            df.join(F.broadcast(table), same, "left")
+            .withColumn(name, F.when(cuts.isNull(), -1).otherwise(passed))
+            .drop("_cut_key", "_cuts")
+        )
 
 
-NO_HOT_KEYS = HotKeys((), 1)
+NO_HOT_KEYS = HotKeys(())
 
 # Arrival number of state saved by earlier runs: before every new row.
 SAVED_SEQ = -(1 << 62)
@@ -57,38 +76,35 @@ SAVED_SEQ = -(1 << 62)
 def find_hot_keys(
     df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, fraction: float = 1.0
 ) -> HotKeys:
-    """Count rows per key (combined before the shuffle) and list the keys above the limit.
+    """Count rows per key (combined before the shuffle), and cut the keys above the limit.
 
-    At most rows/limit keys can exceed the limit. Should there be more of them than the
-    driver ought to list, every key is cut instead. How keys are cut never changes a
-    result, so the counts may come from a sample: `fraction` is the share of rows in `df`.
+    `df` is read up to three times, only its key and arrival columns; pass a table. Cut points
+    come from a hash sample of the large keys' rows, `_POINTS` rows for each, so neither a
+    task nor the driver sees more than `_POINTS * LISTED_CUTS` numbers. How keys are cut never
+    changes a result, so `df` may itself be a sample: `fraction` is its share of all rows.
     """
-    seq = F.col(ARRIVAL[0])
-    counted = (
-        df.groupBy(key)
-        .agg(
-            (F.count("*") / F.lit(fraction)).alias("n"), F.min(seq).alias("lo"), F.max(seq).alias("hi")
-        )
-        .where(F.col("n") > rows_per_task)
-        .select(
-            F.col(key),
-            # Arrival numbers that hold one task's share of this key's rows.
-            F.greatest(
-                F.lit(1.0),
-                (F.col("hi") - F.col("lo") + 1).cast("double") * rows_per_task / F.col("n"),
-            )
-            .cast("bigint")
-            .alias("width"),
-        )
-    )
-    found = counted.take(LISTED_KEYS + 1)
-    if not found:
+    rows = df.select(key, *ARRIVAL)
+    limit = max(float(rows_per_task), rows.count() / fraction / LISTED_CUTS)
+    found = rows.groupBy(key).count().where(F.col("count") / F.lit(fraction) > limit)
+    # Fewer than all rows / limit, hence at most LISTED_CUTS.
+    large = [row[key] for row in found.collect()]
+    if not large:
         return NO_HOT_KEYS
-    width = min(row["width"] for row in found)
-    if len(found) > LISTED_KEYS:
-        width = counted.agg(F.min("width")).first()[0]
-        return HotKeys(None, width)
-    return HotKeys(tuple(row[key] for row in found), width)
+    is_large = F.coalesce(F.col(key).isin([k for k in large if k is not None]), F.lit(False))
+    if None in large:
+        is_large |= F.col(key).isNull()
+    rows_per_chunk = limit * fraction
+    share = min(1.0, _POINTS / rows_per_chunk)
+    every = max(1, round(share * rows_per_chunk))
+    space = 1 << 40
+    picked = F.pmod(F.xxhash64(*ARRIVAL), F.lit(space)) < F.lit(int(share * space))
+    cut = (
+        rows.where(is_large & picked)
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(ARRIVAL[0])).alias("points"))
+        .select(key, F.filter("points", lambda _, i: (i + 1) % every == 0).alias("cuts"))
+    )
+    return HotKeys(tuple((row[key], tuple(row["cuts"])) for row in cut.collect() if row["cuts"]))
 
 
 def previous_max(
@@ -106,13 +122,13 @@ def previous_max(
     maxima of the chunks and for the scan. When that is dear, `materialize` may turn the
     scanned rows, in which `name` knows only the row's own chunk, into a table.
     """
-    if hot.keys == ():
+    if not hot.cuts:
         window = (
             Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         )
         return df.withColumn(name, F.max(value).over(window))
 
-    chunked = df.withColumn(_CHUNK, hot.chunk(key))
+    chunked = hot.split(df, key)
     within_chunk = (
         Window.partitionBy(key, _CHUNK)
         .orderBy(*order)
@@ -125,7 +141,7 @@ def previous_max(
         Window.partitionBy(key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        hot.select(chunked, key)
+        chunked.where(F.col(_CHUNK) >= 0)
         .groupBy(key, _CHUNK)
         .agg(F.max(value).alias("_max"))
         .select(
@@ -136,8 +152,7 @@ def previous_max(
     )
     # Without a table, the join and the window share one exchange on (key, chunk). A NULL-safe
     # join would need another, so it is taken only where NULL is among the cut keys.
-    null_is_cut = hot.keys is None or None in hot.keys
-    same_key = F.col(key).eqNullSafe(F.col("_key")) if null_is_cut else F.col(key) == F.col("_key")
+    same_key = F.col(key).eqNullSafe(F.col("_key")) if None in hot.keys else F.col(key) == F.col("_key")
     in_chunk = F.col(name) if materialize is not None else F.max(value).over(within_chunk)
     return (
         chunked.join(

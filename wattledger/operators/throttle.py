@@ -9,13 +9,18 @@ time range, however many rows a key has.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.operators.readings import ARRIVAL
 from wattledger.schema import MISS_STATE
+from wattledger.session import stage
 
 MISS_TTL_SECONDS = 15 * 60
+# A day: the most seconds one fold runs over.
+SPAN_SECONDS = 86_400
 
 
 def greedy_actions(
@@ -68,9 +73,28 @@ def reported_misses(
     """Per host the times of the misses to report, as (raw_host_rcpn, reported, expires_at).
 
     `processed_at` is in whole seconds, so the fold of a host sees at most one number per
-    second of the run. `state` holds the expiry per host of earlier runs; `expires_at` is
-    the expiry after this one.
+    second. The days of a run follow one another, each starting from the state the day before
+    left, so no array holds more than `SPAN_SECONDS` numbers; a host has a row for each day.
+    A run of one day is planned only; a longer one takes a small staged table per day, over
+    `misses`, which should be a table too. `state` holds the expiry per host of earlier
+    runs; the greatest `expires_at` of a host is the expiry after this one.
     """
+    day = F.floor(F.col("processed_at") / SPAN_SECONDS).cast("bigint")
+    days = sorted(r[0] for r in misses.select(day).distinct().collect() if r[0] is not None)
+    if len(days) <= 1:
+        return _reported_in_span(misses, state, jitter, seed)
+    parts = []
+    for number in days:
+        first = number * SPAN_SECONDS
+        within = misses.where(F.col("processed_at").between(first, first + SPAN_SECONDS - 1))
+        parts.append(stage(_reported_in_span(within, state, jitter, seed), "reported"))
+        state = stage(miss_state(parts[-1], state), "expiries")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _reported_in_span(
+    misses: DataFrame, state: DataFrame | None, jitter: tuple[int, int] | None, seed: int
+) -> DataFrame:
     host = F.col("raw_host_rcpn")
     if state is None:
         state = misses.sparkSession.createDataFrame([], MISS_STATE)
@@ -102,11 +126,9 @@ def reported_misses(
 def miss_state(reported: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Expiry per host after a run, for the next run."""
     latest = reported.select(F.col("raw_host_rcpn").alias("host_rcpn"), "expires_at")
-    if state is None:
-        return latest
-    return (
-        latest.unionByName(state).groupBy("host_rcpn").agg(F.max("expires_at").alias("expires_at"))
-    )
+    if state is not None:
+        latest = latest.unionByName(state)
+    return latest.groupBy("host_rcpn").agg(F.max("expires_at").alias("expires_at"))
 
 
 def suppress_misses(
@@ -114,12 +136,16 @@ def suppress_misses(
     state: DataFrame | None = None,
     jitter: tuple[int, int] | None = None,
     seed: int = 0,
+    reported: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the misses to report: one per host, then none until its entry has expired.
 
-    Of several misses of a host in one second the first to arrive is kept.
+    Of several misses of a host in one second the first to arrive is kept. `reported` is the
+    outcome of `reported_misses`, if known.
     """
-    times = reported_misses(misses, state, jitter, seed).select(
+    if reported is None:
+        reported = reported_misses(misses, state, jitter, seed)
+    times = reported.select(
         F.col("raw_host_rcpn").alias("_host"), F.explode("reported").alias("_at")
     )
     in_time = misses.join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 from wattledger.functions.channels import has_inverter_with_id
 from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.operators.skew import NO_HOT_KEYS, ROWS_PER_TASK, HotKeys, find_hot_keys
-from wattledger.plans.outputs import energy_dataframe, partner_telemetry
-from wattledger.session import stage
+from wattledger.plans.outputs import energy_dataframe, partner_record, partner_telemetry
+from wattledger.session import discard, recorded, stage
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,11 @@ HOT_SAMPLE = 0.01
 def hot_devices(record_sets: DataFrame) -> HotKeys:
     """Devices with more readings than one task should order, judged by a sample of uploads."""
     sample = readings.explode_records(record_sets.sample(HOT_SAMPLE, seed=0))
-    return find_hot_keys(sample, "host_rcpn", fraction=HOT_SAMPLE)
+    with recorded() as paths:
+        keys = stage(sample.select("host_rcpn", *readings.ARRIVAL), "hot_sample")
+    found = find_hot_keys(keys, "host_rcpn", fraction=HOT_SAMPLE)
+    discard(record_sets.sparkSession, paths)
+    return found
 
 
 def split_and_correct(
@@ -65,7 +70,7 @@ def _narrowed(classified: DataFrame) -> DataFrame:
 
 def _classify(rows: DataFrame, state: DataFrame | None, hot: HotKeys) -> DataFrame:
     """Classified readings that are cheap to read again, from one pass over the uploads."""
-    if hot.keys == ():
+    if not hot.cuts:
         return stage(_narrowed(slots.slot_classify(rows, state, hot)), "classified")
 
     def table(chunks: DataFrame) -> DataFrame:
@@ -93,7 +98,9 @@ def expire(state: State, before: int) -> State:
 class Outputs:
     """The job's outputs, planned when first asked for.
 
-    `classified` and `looked_up` are tables, so several outputs share their work.
+    `classified` and `looked_up` are tables, so several outputs share their work. With `share`
+    the corrected rows, the decisions and the reported misses become tables too, when first
+    asked for. Call `close` when all outputs and the state have been written.
     """
 
     def __init__(
@@ -105,6 +112,8 @@ class Outputs:
         deployment: str,
         local_mode: bool,
         strict: bool,
+        share: bool,
+        paths: list[str],
     ):
         self._classified = classified
         self._looked_up = looked_up
@@ -113,6 +122,21 @@ class Outputs:
         self._deployment = deployment
         self._local_mode = local_mode
         self._strict = strict
+        self._share = share
+        self._paths = paths
+
+    def close(self) -> None:
+        """Delete the staged tables. The outputs, and a state not yet written, end with them."""
+        discard(self._looked_up.sparkSession, self._paths)
+        self._paths.clear()
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        if not self._share:
+            return df
+        with recorded() as paths:
+            table = stage(df, name)
+        self._paths += paths
+        return table
 
     @cached_property
     def _enriched(self) -> DataFrame:
@@ -123,22 +147,32 @@ class Outputs:
 
     @cached_property
     def _decisions(self) -> DataFrame:
-        return ct.ct_decisions(readings.registered(self._enriched), self._before.ct)
+        rows = readings.registered(self._enriched)
+        return self._kept(ct.ct_decisions(rows, self._before.ct), "decisions")
 
     @cached_property
     def _missed(self) -> DataFrame:
         return enrich.missed(self._looked_up)
 
+    @cached_property
+    def _report_times(self) -> DataFrame:
+        with recorded() as paths:
+            times = throttle.reported_misses(self._missed, self._before.misses, self._jitter)
+        self._paths += paths
+        return self._kept(times, "report_times")
+
     @cached_property
     def _reported(self) -> DataFrame:
-        return throttle.suppress_misses(self._missed, self._before.misses, self._jitter)
+        kept = throttle.suppress_misses(self._missed, reported=self._report_times)
+        return self._kept(kept, "reported")
 
     @cached_property
     def corrected(self) -> DataFrame:
         # In a small table no system can be too large; counting it reads file footers only.
         small = self._looked_up.count() <= ROWS_PER_TASK
         hot = NO_HOT_KEYS if small else None
-        return split_and_correct(self._enriched, self._before.ct, self._decisions, hot)
+        rows = split_and_correct(self._enriched, self._before.ct, self._decisions, hot)
+        return self._kept(rows, "corrected")
 
     @cached_property
     def energy(self) -> DataFrame:
@@ -150,7 +184,11 @@ class Outputs:
 
     @cached_property
     def dead_letters(self) -> DataFrame:
-        return enrich.dead_letters(self._reported)
+        # Only here the whole record is needed, and only of few readings.
+        key = ["host_rcpn", *readings.ARRIVAL]
+        emitted = self._classified.where(F.col("slot_class") == slots.EMIT)
+        whole = emitted.select(*key, "record")
+        return enrich.dead_letters(self._reported.drop("record").join(whole, key))
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -163,11 +201,10 @@ class Outputs:
     @cached_property
     def state(self) -> State:
         """State for the next run."""
-        misses = throttle.reported_misses(self._missed, self._before.misses, self._jitter)
         return State(
             slots=slots.slot_state(self._classified, self._before.slots),
             ct=ct.ct_state(self._decisions, self._before.ct),
-            misses=throttle.miss_state(misses, self._before.misses),
+            misses=throttle.miss_state(self._report_times, self._before.misses),
         )
 
 
@@ -182,26 +219,45 @@ def run(
     deployment: str = "dev",
     local_mode: bool = False,
     strict: bool = False,
+    share: bool = False,
+    ess_date_column: str | None = None,
 ) -> Outputs:
-    """Run the job up to the two tables its outputs are made from.
-
-    They are staged in the shared folder: the classified readings, and the enriched deltas,
-    which the check of inverted meters reads twice. `processed_at` (whole seconds) is taken
-    from the record sets when they have it. Local mode leaves out the time range and the
-    validation. Strict fails on readings without counters, which otherwise pass with NULLs.
+    """Run the job up to the tables its outputs are made from.
+
+    They are staged in the shared folder: the classified readings, one row of metadata per host,
+    and the enriched deltas, which the check of inverted meters reads twice. `now` is the clock
+    of the whole run, by default the time of the call. `processed_at` (whole seconds) is taken
+    from the record sets when they have it, else from the clock. Local mode leaves out the
+    time range and the validation. Strict fails on readings without counters, which otherwise
+    pass with NULLs. `share` suits callers that write several outputs. `ess_date_column` names
+    a partition of the reference readings by UTC day.
     """
-    if hot is None:
-        hot = hot_devices(record_sets)
-    rows = to_readings(record_sets, now, local_mode)
-    if "processed_at" not in rows.columns:
-        rows = rows.withColumn("processed_at", F.unix_timestamp())
-    classified = _classify(rows, state.slots, hot)
-    looked_up = enrich.lookup_systems(slots.energy_delta(classified), systems)
-    looked_up = ct.ess_lookup(looked_up, ess).drop("ess_imported_ws", "ess_exported_ws")
-    # Judged here, so that the checks of meters need not read the records.
-    looked_up = looked_up.withColumn("is_valid", has_inverter_with_id(F.col("record.channel")))
-    looked_up = stage(looked_up, "looked_up")
-    return Outputs(classified, looked_up, state, jitter, deployment, local_mode, strict)
+    if now is None:
+        now = int(time.time())
+    with recorded() as paths:
+        if hot is None:
+            hot = hot_devices(record_sets)
+        rows = to_readings(record_sets, now, local_mode)
+        if "processed_at" not in rows.columns:
+            clock = now if isinstance(now, Column) else F.lit(now)
+            rows = rows.withColumn("processed_at", clock.cast("bigint"))
+        classified = _classify(rows, state.slots, hot)
+        # Judged here, so that only a part of the record has to travel on.
+        deltas = slots.energy_delta(classified).withColumns(
+            {
+                "is_valid": has_inverter_with_id(F.col("record.channel")),
+                "record": partner_record(F.col("record")),
+            }
+        )
+        known = stage(enrich.latest_systems(systems), "systems")
+        looked_up = enrich.lookup_systems(deltas, known, reduced=True)
+        if not local_mode and not isinstance(now, Column):
+            ess = ct.prune_ess(ess, now, ess_date_column)
+        looked_up = ct.ess_lookup(looked_up, ess, ct.comparable())
+        looked_up = stage(looked_up.drop("ess_imported_ws", "ess_exported_ws"), "looked_up")
+    return Outputs(
+        classified, looked_up, state, jitter, deployment, local_mode, strict, share, list(paths)
+    )
 
 
 def daily_summary(energy: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ raw AS (
 ),
 readings AS (
   SELECT *, t - t % 300 AS slot FROM raw
-  WHERE t BETWEEN {NOW} - 604800 AND {NOW} + 1800
+  WHERE <in_range>
 ),
 systems AS (
   SELECT d, 'host-' || d AS shost, 'system-' || (d // 2) AS sid, 'site-' || d AS site,
@@ -144,7 +144,7 @@ flags AS (
 )"""
 
 
-def _suppressed(rows: str) -> str:
+def _suppressed(rows: str, ttl: int = 900) -> str:
     """Misses reported, as a recursive fold over `rows`."""
     return f""",
 missed AS (
@@ -157,7 +157,7 @@ fold AS (
   FROM missed
   UNION ALL
   SELECT x.mhost, x.rn,
-         CASE WHEN until_ts IS NULL OR processed_at > until_ts THEN processed_at + 900
+         CASE WHEN until_ts IS NULL OR processed_at > until_ts THEN processed_at + {ttl}
               ELSE until_ts END,
          until_ts IS NULL OR processed_at > until_ts
   FROM fold JOIN missed x ON x.mhost = fold.mhost AND x.rn = fold.rn + 1
@@ -186,8 +186,10 @@ corrected AS (
 )
 
 
-def _sql(select: str, more: str = "") -> str:
-    return f"WITH RECURSIVE {_BASE}{more}\n{select}"
+def _sql(select: str, more: str = "", job: bool = False) -> str:
+    """A query over all readings, or over those within the job's time range."""
+    in_range = f"t BETWEEN {NOW} - 604800 AND {NOW} + 1800" if job else "true"
+    return f"WITH RECURSIVE {_BASE}{more}\n{select}".replace("<in_range>", in_range)
 
 
 _ISO = "strftime(make_timestamp(({}) * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
@@ -294,12 +296,18 @@ FROM readings JOIN systems ON rh = shost"""
 FROM reported""",
         _suppressed("readings"),
     ),
+    "dlq_jitter": _sql(
+        """SELECT e AS arrival_seq, pos AS record_pos, rh AS raw_host_rcpn, processed_at
+FROM reported""",
+        _suppressed("readings", ttl=900 + 60),
+    ),
     "dead_letter": _sql(
         """SELECT strftime(make_timestamp(slot * 1000000), '%Y-%m-%d') || '/' || coalesce(rh, 'null')
     || '/' || slot || '.json' AS dlq_key,
   'No system information found for ' || coalesce(rh, 'null') AS error, mode AS sys_mode
 FROM reported""",
         _CLASSES + _suppressed("deltas"),
+        job=True,
     ),
     "not_found_metrics": _sql(
         """SELECT 'delta.rgm.resourceNotFoundCount.dev' AS name, 'count' AS type,
@@ -307,6 +315,7 @@ FROM reported""",
   count(*) AS value, rh AS host_rcpn
 FROM reported GROUP BY rh, processed_at - processed_at % 300""",
         _CLASSES + _suppressed("deltas"),
+        job=True,
     ),
     "ess_lookup": _sql(
         """SELECT e AS arrival_seq, pos AS record_pos, s.sid AS system_id, ess_imp AS ess_imported_ws,
@@ -325,8 +334,8 @@ FROM known_registered k JOIN flags f ON k.e = f.e AND k.pos = f.pos""",
 known_registered AS (SELECT * FROM readings JOIN systems ON rh = shost WHERE registered)"""
         + _ct("known_registered"),
     ),
-    "ct_correct": _sql(_CORRECTED + " WHERE registered", _JOB),
-    "corrected_union": _sql(_CORRECTED, _JOB),
+    "ct_correct": _sql(_CORRECTED + " WHERE registered", _JOB, job=True),
+    "corrected_union": _sql(_CORRECTED, _JOB, job=True),
     "energy_dataframe": _sql(
         """SELECT shost AS partition_key, timestamp_utc,
   CASE WHEN registered THEN zone ELSE 'UTC' END AS timezone, shost AS host_rcpn, sid AS system_id,
@@ -338,6 +347,7 @@ known_registered AS (SELECT * FROM readings JOIN systems ON rh = shost WHERE reg
   voltage AS voltage_v, reactive AS reactive_power_var, swapped AS is_inverter_output_swapped
 FROM corrected""",
         _JOB,
+        job=True,
     ),
     "partner_telemetry": _sql(
         f"""SELECT shost AS partition_key, timestamp_utc, sid AS system_id, site AS site_id,
@@ -358,6 +368,7 @@ FROM (
   FROM corrected WHERE registered
 ) k LEFT JOIN ({_OUTPUT_CHANNELS}) o ON ok AND k.e = o.e AND k.pos = o.pos""",
         _JOB,
+        job=True,
     ),
     "daily_summary": _sql(
         """SELECT strftime(make_timestamp(timestamp_utc * 1000000), '%Y-%m-%d') AS event_date,
@@ -366,5 +377,6 @@ FROM (
   CAST(sum(swapped::INT) AS BIGINT) AS n_swapped, CAST(sum(seconds) AS BIGINT) AS seconds
 FROM corrected GROUP BY 1, 2""",
         _JOB,
+        job=True,
     ),
 }

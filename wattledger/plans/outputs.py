@@ -57,6 +57,16 @@ def energy_dataframe(corrected: DataFrame) -> DataFrame:
     )
 
 
+def partner_record(record: Column) -> Column:
+    """The part of a record that `partner_telemetry` reads, with the same field names."""
+    outputs = F.filter(record["channel"], lambda c: c["channelType"] == INVERTER_OUTPUT)
+    kept = ("channel", "channelType", "deviceId", "realPowerW")
+    return F.struct(
+        *[record[c].alias(c) for c in ("timestamp", "sysMode", "inverterState")],
+        F.transform(outputs, lambda c: F.struct(*[c[f].alias(f) for f in kept])).alias("channel"),
+    )
+
+
 def partner_telemetry(corrected: DataFrame) -> DataFrame:
     """Partner telemetry of registered systems.
 

@@ -26,30 +26,31 @@ def _exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.explode_records(derived.record_sets(spark, sf_dir))
 
 
-def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily.to_readings(derived.record_sets(spark, sf_dir), NOW)
+def _readings(spark: SparkSession, sf_dir: str, now: int | None = None) -> DataFrame:
+    """All readings; with a clock those within the time range, as in the job."""
+    return daily.to_readings(derived.record_sets(spark, sf_dir), now, local_mode=now is None)
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _classified(spark: SparkSession, sf_dir: str, now: int | None = None) -> DataFrame:
     hot = daily.hot_devices(derived.record_sets(spark, sf_dir))
-    return slots.slot_classify(_readings(spark, sf_dir), hot=hot)
+    return slots.slot_classify(_readings(spark, sf_dir, now), hot=hot)
 
 
-def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slots.energy_delta(_classified(spark, sf_dir))
+def _deltas(spark: SparkSession, sf_dir: str, now: int | None = None) -> DataFrame:
+    return slots.energy_delta(_classified(spark, sf_dir, now))
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid deltas with metadata and reference outcome, staged as in the whole job."""
     known = readings.valid_records(
-        enrich.enrich_systems(_deltas(spark, sf_dir), derived.systems(spark, sf_dir))
+        enrich.enrich_systems(_deltas(spark, sf_dir, NOW), derived.systems(spark, sf_dir))
     )
     return stage(ct.ess_lookup(known, derived.ess_energy(spark, sf_dir)), "enriched")
 
 
 def _misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmatched deltas after suppression."""
-    missed = enrich.unmatched_systems(_deltas(spark, sf_dir), derived.systems(spark, sf_dir))
+    missed = enrich.unmatched_systems(_deltas(spark, sf_dir, NOW), derived.systems(spark, sf_dir))
     return throttle.suppress_misses(stage(missed, "missed"))
 
 
@@ -212,9 +213,18 @@ def registration_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dlq_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     missed = enrich.unmatched_systems(_readings(spark, sf_dir), derived.systems(spark, sf_dir))
-    return throttle.suppress_misses(missed).select(*ARRIVAL, "raw_host_rcpn", "processed_at")
+    return stage(missed.select(*ARRIVAL, "raw_host_rcpn", "processed_at"), "missed")
+
+
+def dlq_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return throttle.suppress_misses(_all_misses(spark, sf_dir))
+
+
+def dlq_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extra of 60 up to 61 seconds, that is 60, for a result that SQL can follow."""
+    return throttle.suppress_misses(_all_misses(spark, sf_dir), jitter=(60, 1))
 
 
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,6 +360,7 @@ QUERIES = {
     "unmatched_systems": unmatched_systems,
     "registration_split": registration_split,
     "dlq_suppression": dlq_suppression,
+    "dlq_jitter": dlq_jitter,
     "dead_letter": dead_letter,
     "not_found_metrics": not_found_metrics,
     "ess_lookup": ess_lookup,

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,19 @@ def recorded() -> Iterator[list[str]]:
         _records[:] = [r for r in _records if r is not paths]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def first_time(spark: SparkSession, folder: str) -> datetime:
+    """The time at which this was first called for the folder, which keeps it."""
+    if not exists(spark, f"{folder}/_SUCCESS"):
+        now = spark.sql("select current_timestamp() as t")
+        now.coalesce(1).write.mode("overwrite").parquet(folder)
+    return spark.read.schema("t timestamp").parquet(folder).first()["t"]
+
+
 def discard(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete staged tables, through the file system that holds them. Tables already gone are fine."""
     for path in paths:

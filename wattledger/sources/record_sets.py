@@ -2,26 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattledger.schema import RECORD_SETS
+from wattledger.session import first_time, stage
 
 
-def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: `payload` text, and `arrival_seq` from the file's time of change.
+def number_rows(df: DataFrame, *order: str, name: str = "arrival_seq") -> DataFrame:
+    """Number the rows densely from 0 in the order of columns that tell all rows apart.
 
-    Files of the same millisecond are ordered by a hash of their path, so the order
-    is the same in every run.
+    The rows are sorted by range and staged; their place in a partition plus the number of
+    rows in the partitions before gives the number.
     """
-    millis = F.unix_millis(F.col("_metadata.file_modification_time"))
-    tie = F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(1 << 20))
-    return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        (millis * F.lit(1 << 20) + tie).alias("arrival_seq"), F.col("value").alias("payload")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = stage(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("*", F.spark_partition_id().alias("_part"), place.alias("_place")),
+        "placed",
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition.
+    offsets = placed.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
+    )
+    return (
+        placed.join(offsets, "_part")
+        .withColumn(name, F.col("_offset") + F.col("_place"))
+        .drop("_part", "_place", "_offset")
     )
 
 
+def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file: `payload` text, and a dense `arrival_seq` by time of change, then path.
+
+    Only names and times are sorted; the texts are joined to them.
+    """
+    name = F.col("_metadata.file_path").alias("_path")
+    changed = F.col("_metadata.file_modification_time").alias("_changed")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    numbered = number_rows(files.select(name, changed), "_changed", "_path").drop("_changed")
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    texts = texts.select(name, F.col("value").alias("payload"))
+    return texts.join(numbered, "_path").select("arrival_seq", "payload")
+
+
 def stream_record_sets(
     spark: SparkSession,
     path: str,
@@ -48,21 +75,27 @@ def stream_record_sets(
         return stream
     if start == "latest":
         # Fixed when the stream is built, so that later micro-batches use the same start.
-        since = _first_start(spark, started)
+        since = first_time(spark, started) if started else spark.sql("select current_timestamp()").first()[0]
     else:
         since = start
     changed = F.col("_metadata.file_modification_time")
     return stream.where(changed >= F.lit(since).cast("timestamp"))
 
 
-def _first_start(spark: SparkSession, folder: str | None):
-    now = spark.sql("select current_timestamp() as t")
-    if folder is None:
-        return now.first()["t"]
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        now.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder).first()["t"]
+def from_kafka(messages: DataFrame) -> DataFrame:
+    """Messages of one topic as `arrival_seq` and `payload`, for `decode.decode_record_sets`.
+
+    The number is the offset with the partition in its lowest 12 bits: unique, and in order
+    within a partition, hence within a message key. Greater partitions or offsets fail. A
+    message without value has a NULL payload, which counts as malformed.
+    """
+    offset, partition = F.col("offset").cast("bigint"), F.col("partition").cast("bigint")
+    fits = partition.between(0, (1 << 12) - 1) & offset.between(0, (1 << 51) - 1)
+    failure = F.raise_error(F.lit("partition or offset out of range")).cast("boolean")
+    return messages.where(F.when(fits, True).otherwise(failure)).select(
+        F.shiftleft(offset, 12).bitwiseOR(partition).alias("arrival_seq"),
+        F.col("value").cast("string").alias("payload"),
+    )
 
 
 def kafka_start_options(start: str = "earliest", max_offsets_per_trigger: int = 1_000_000) -> dict:

@@ -49,7 +49,11 @@ def write_table(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def keyed_messages(df: DataFrame, key: str = "partition_key") -> DataFrame:
-    """Rows as (key, value) messages for `format("kafka")`; the key keeps a device's order."""
+    """Rows as (key, value) messages for `format("kafka")`.
+
+    The key brings a device's rows to one partition of the topic. They are not sorted, as that
+    would put a large device into one task; readers order by `timestamp_utc`.
+    """
     fields = [c for c in df.columns if c != key]
     return df.select(
         F.col(key).cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value")

@@ -7,12 +7,12 @@ report about every five minutes, hence a batch changes most of the state anyway
 state is written as a whole.
 
 A batch writes to folders named after its id, and its state to the one of two folders that
-it did not read. Repeating a batch after a failure therefore gives the same outcome.
+it did not read; its clock is written down first. Repeating a batch after a failure therefore
+gives the same outcome. The tables a batch stages are deleted when it ends.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattledger.plans import daily
 from wattledger.schema import CT_STATE, MISS_STATE, SLOT_STATE
+from wattledger.session import exists, first_time
 from wattledger.sources import sinks
 
 WRITERS = {
@@ -76,16 +77,28 @@ class MicroBatchJob:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = self._read_state(spark, batch_id)
-        result = daily.run(
-            batch, self.systems(spark), self.ess(spark), self.now, before, **self.options
-        )
+        now = self._clock(spark, batch_id)
+        options = {"share": True, **self.options}
+        result = daily.run(batch, self.systems(spark), self.ess(spark), now, before, **options)
+        try:
+            self._write(result, batch_id, now)
+        finally:
+            result.close()
+
+    def _clock(self, spark: SparkSession, batch_id: int) -> int:
+        """The clock of a batch, written down so that a repeated batch has the same one."""
+        if self.now is not None:
+            return self.now
+        return int(first_time(spark, f"{self.path}/clock/batch={batch_id}").timestamp())
+
+    def _write(self, result: daily.Outputs, batch_id: int, now: int) -> None:
         for name in self.outputs:
             WRITERS[name](
                 getattr(result, name), f"{self.path}/{name}/batch_id={batch_id}", "overwrite"
             )
         after = result.state
         if self.state_max_age is not None:
-            after = daily.expire(after, (self.now or int(time.time())) - self.state_max_age)
+            after = daily.expire(after, now - self.state_max_age)
         for name in _STATES:
             (
                 getattr(after, name)
@@ -100,8 +113,12 @@ def start(
 ) -> StreamingQuery:
     """Start the job on a stream. Without `every` it handles what has arrived, then stops.
 
-    The size of a micro-batch is bounded by the source's limit per trigger.
+    The size of a micro-batch is bounded by the source's limit per trigger. A new checkpoint
+    starts with empty state, so it is refused where an earlier stream has left its output.
     """
+    spark = record_sets.sparkSession
+    if exists(spark, f"{job.path}/state") and not exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{job.path} holds the output of a stream with another checkpoint")
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         record_sets.writeStream.queryName("energy_deltas")
