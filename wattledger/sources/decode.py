@@ -186,7 +186,7 @@ def decode_protobuf(
 ) -> DataFrame:
     """Decode binary payloads; a malformed one fails the job.
 
-    Needs the spark-protobuf package and a compiled descriptor file.
+    Needs the spark-protobuf package and a compiled descriptor file. It has never been run here.
     """
     from pyspark.sql.protobuf.functions import from_protobuf
 
