@@ -63,6 +63,12 @@ def test_disguises_map_back(text, kind, span):
     assert [(pii.KINDS[k], text[s:e]) for s, k, e in spans if (s, k, e) not in base] == [(kind, span)]
 
 
+def test_many_spans_and_a_disguise():
+    text = "a@b.co +1 555 123 4567 1.2.3.4 " * 20_000 + "jane [at] foo (dot) org"
+    base, spans = pii.find(text)
+    assert len(base) == 60_000 and sorted(set(spans) - set(base)) == [(len(text) - 23, 0, len(text))]
+
+
 def test_personal_data_rows(docs_of, odd_rows):
     rows = [*odd_rows, (60, "é a@b.co 1.2.3.4", "s")]
     got = pii.personal_data(docs_of(rows, extra=True)).collect()
@@ -166,6 +172,12 @@ def test_toxicity_on_held_out_rows(spark, docs_of, odd_rows):
     field = T.train(docs, labels)
     assert [(s, e) for s, e, _ in field.spans("w1 w2 Vile foul w3 w4 nasty")] == [(6, 15), (22, 27)]
     assert field.spans("") == []
+    # Offsets hold where lower case is longer than the text, and whatever else is judged beside it.
+    assert [(s, e) for s, e, _ in field.spans("İİ w1 w2 VILE w3")] == [(9, 13)]
+    text = dict((i, t) for i, t, _ in rows)
+    for r in held:
+        assert [(s.start, s.end) for s in r.spans] == [(s, e) for s, e, _ in field.spans(text[r.doc_id])]
+    assert any(r.spans for r in held)
 
 
 def test_classifiers_without_rows_or_classes(spark, docs_of, odd_rows):

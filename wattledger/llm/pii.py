@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -172,7 +173,13 @@ def find(text: str | None) -> tuple[list, list]:
     plain = normalise(text)
     if plain.text == text:
         return base, base
-    taken, added = [(s, e) for s, _, e in base], []
+    starts, ends, added = [], [], []  # places taken so far, apart from each other and in order
+    for start, _, end in base:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
     for start, kind, end in detect(plain.text):
         s, e = plain.source(start, end)
         # A rewritten disguise may take up white space around it.
@@ -180,9 +187,11 @@ def find(text: str | None) -> tuple[list, list]:
             s += 1
         while e > s and text[e - 1].isspace():
             e -= 1
-        if all(e <= a or s >= b for a, b in taken):
+        i = bisect_right(ends, s)
+        if i == len(starts) or e <= starts[i]:
             added.append((s, kind, e))
-            taken.append((s, e))
+            starts.insert(i, s)
+            ends.insert(i, e)
     return base, sorted(base + added)
 
 

@@ -48,7 +48,9 @@ def op7_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    places = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return scored.withColumn("spans", F.array_join(places, ","))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,4 +120,34 @@ ORACLES = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    "op9_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS t FROM documents
+        ), same AS (
+            SELECT t, min(doc_id) AS node, count(*) AS copies, string_split(t, ' ') AS w FROM d GROUP BY t
+        ), shingle AS (
+            SELECT DISTINCT node, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS g
+            FROM same WHERE len(w) >= 5
+        ), size AS (
+            SELECT node, count(*) AS n FROM shingle GROUP BY node
+        ), common AS (
+            SELECT a.node AS a, b.node AS b, count(*) AS n
+            FROM shingle a JOIN shingle b ON a.g = b.g AND a.node <> b.node GROUP BY a.node, b.node
+        ), link AS (
+            SELECT c.a, c.b FROM common c JOIN size x ON x.node = c.a JOIN size y ON y.node = c.b
+            WHERE c.n >= 0.8 * (x.n + y.n - c.n)
+        ), reach AS (
+            SELECT a AS start, b AS node FROM link
+            UNION
+            SELECT r.start, l.b FROM reach r JOIN link l ON r.node = l.a
+        ), comp AS (
+            SELECT start, min(node) AS low FROM reach GROUP BY start
+        ), near AS (
+            SELECT l.a, sum(s.copies) AS n FROM link l JOIN same s ON s.node = l.b GROUP BY l.a
+        )
+        SELECT d.doc_id, least(s.node, coalesce(c.low, s.node)) AS class_id,
+               CAST(coalesce(near.n, 0) + s.copies - 1 AS BIGINT) AS n_links, s.node AS copy_id,
+               d.doc_id = least(s.node, coalesce(c.low, s.node)) AS kept
+        FROM d JOIN same s ON s.t = d.t LEFT JOIN comp c ON c.start = s.node LEFT JOIN near ON near.a = s.node
+    """,
 }

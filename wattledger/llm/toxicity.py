@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import whole
 from .labelled import remainder, sample
@@ -39,7 +40,8 @@ REMEMBERED = 500_000
 
 
 def tokens(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Lower-cased one by one, as lower case may change the length of a text and so the offsets."""
+    return [w.lower() for w in WORD.findall(text)]
 
 
 def features(word: str) -> tuple[int, int, int]:
@@ -127,14 +129,33 @@ def evidence(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.log(-np.expm1(none)) - none
 
 
+#: (start, end, probability) of a stretch of toxic tokens, in characters of the text.
+Span = tuple[int, int, float]
+
+
+def stretches(text: str, p: np.ndarray, least: float = 0.5) -> list[Span]:
+    """Stretches of neighbouring tokens of probability `least` or more; `p` holds that of each token."""
+    toxic = np.flatnonzero(p >= least)
+    if not len(toxic):
+        return []
+    places = [m.span() for m in WORD.finditer(text)]
+    out: list[Span] = []
+    for i in toxic.tolist():
+        if out and i and p[i - 1] >= least:
+            out[-1] = (out[-1][0], places[i][1], max(out[-1][2], float(p[i])))
+        else:
+            out.append((*places[i], float(p[i])))
+    return out
+
+
 class _Scores(dict):
-    """Score of each word met so far."""
+    """Score of each word met so far, in any case."""
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        value = self[word] = float(sum(self.weights[i] for i in features(word)))
+        value = self[word] = float(sum(self.weights[i] for i in features(word.lower())))
         return value
 
 
@@ -154,27 +175,28 @@ class Field:
         return np.array(list(map(self._known.__getitem__, words)), np.float64)
 
     def evidence(self, scores: list[np.ndarray]) -> np.ndarray:
+        return evidence(*self._marginals(scores))
+
+    def _marginals(self, scores: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.array([len(s) for s in scores], np.int64)
-        p, _ = marginals(np.concatenate([*scores, np.zeros(0)]), lengths, self.transitions)
-        return evidence(p, lengths)
+        return marginals(np.concatenate([*scores, np.zeros(0)]), lengths, self.transitions)[0], lengths
 
-    def documents(self, scores: list[np.ndarray]) -> np.ndarray:
-        z = self.slope * np.clip(self.evidence(scores), -20, 20) + self.base
+    def _calibrated(self, x: np.ndarray) -> np.ndarray:
+        z = self.slope * np.clip(x, -20, 20) + self.base
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
-    def spans(self, text: str, least: float = 0.5) -> list[tuple[int, int, float]]:
-        """(start, end, probability) of stretches of toxic tokens, in characters of the text."""
-        found = [(m.start(), m.end(), m[0].lower()) for m in WORD.finditer(text)]
-        if not found:
-            return []
-        p, _ = marginals(self.scores([w for *_, w in found]), np.array([len(found)]), self.transitions)
-        out: list[tuple[int, int, float]] = []
-        for i in np.flatnonzero(p >= least):
-            if out and i and p[i - 1] >= least:
-                out[-1] = (out[-1][0], found[i][1], max(out[-1][2], float(p[i])))
-            else:
-                out.append((found[i][0], found[i][1], float(p[i])))
-        return out
+    def documents(self, scores: list[np.ndarray]) -> np.ndarray:
+        return self._calibrated(self.evidence(scores))
+
+    def judged(self, texts: list[str], scores: list[np.ndarray]) -> tuple[np.ndarray, list[list[Span]]]:
+        """Document scores, and the toxic stretches of each text."""
+        p, lengths = self._marginals(scores)
+        end = np.cumsum(lengths)
+        parts = (p[e - n : e] for e, n in zip(end, lengths))
+        return self._calibrated(evidence(p, lengths)), [stretches(t, x) for t, x in zip(texts, parts)]
+
+    def spans(self, text: str) -> list[Span]:
+        return self.judged([text], [self.scores(WORD.findall(text))])[1][0]
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -241,35 +263,40 @@ def train(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLA
     return fit(sample(docs, labels, "toxic", remainder(5) != 0, rows))
 
 
+SPANS = T.ArrayType(T.StructType().add("start", "integer").add("end", "integer").add("probability", "double"))
+
+
 def _scored(docs: DataFrame, field: Field) -> DataFrame:
-    """Columns of `docs` (text last) with `score` in place of the text; one pass, no shuffle."""
+    """Columns of `docs` (text last) with `score` and `spans` in place of the text; one pass, no shuffle."""
     import pickle
 
     # Kept as bytes until a worker needs it.
     model = (field.weights.astype(np.float32), field.transitions, field.slope, field.base)
     packed = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    schema = docs.drop("text").schema.add("score", "double")
+    schema = docs.drop("text").schema.add("score", "double").add("spans", SPANS)
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Field(*pickle.loads(packed.value))
-        waiting, held, size = [], [], 0
+        waiting, texts, held, size = [], [], [], 0
 
         def flush():
-            p, i = model.documents(held), 0
+            (p, found), i = model.judged(texts, held), 0
             for b in waiting:
-                yield pa.record_batch(
-                    [*b.columns[:-1], pa.array(p[i : i + b.num_rows])], names=[*b.schema.names[:-1], "score"]
-                )
+                spans = [[dict(zip(("start", "end", "probability"), s)) for s in x] for x in found[i : i + b.num_rows]]
+                columns = [*b.columns[:-1], pa.array(p[i : i + b.num_rows]), pa.array(spans, pa.list_(span))]
+                yield pa.record_batch(columns, names=[*b.schema.names[:-1], "score", "spans"])
                 i += b.num_rows
 
         for batch in batches:
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                held.append(model.scores(tokens(text or "")))
+                texts.append(text or "")
+                held.append(model.scores(WORD.findall(texts[-1])))
                 size += len(held[-1])
-            waiting.append(batch.select(batch.schema.names))
+            waiting.append(batch)
             if size > TOKENS_AT_ONCE:
                 yield from flush()
-                waiting, held, size = [], [], 0
+                waiting, texts, held, size = [], [], [], 0
         if waiting:
             yield from flush()
 
@@ -277,10 +304,11 @@ def _scored(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, rows: dict[int, int] = ROWS_BY_CLASS) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted.
+    """One row per document: doc_id, held_out, score, spans, predicted.
 
-    Null and empty texts have no tokens and get the score of a text without evidence. Fitted on at most `rows` rows
-    by class, scored on all.
+    `spans` holds start, end (exclusive, both in code points) and greatest probability of each stretch of tokens that
+    are toxic by their marginals. Null and empty texts have no tokens, no spans and get the score of a text without
+    evidence. Fitted on at most `rows` rows by class, scored on all.
     """
     field = train(docs, labels, rows)
     held_out = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
