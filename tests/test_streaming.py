@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from wattledger.plans import daily
 from wattledger.schema import ESS_ENERGY, RECORD_SETS, SYSTEMS
+from wattledger.sources import sinks
 from wattledger.sources.record_sets import stream_record_sets
 from wattledger.streaming.job import MicroBatchJob, start
 
@@ -145,3 +146,41 @@ def test_a_new_checkpoint_does_not_overwrite_an_old_stream(spark, tmp_path):
     stream = stream_record_sets(spark, str(folder), schema=SCHEMA)
     with pytest.raises(ValueError, match="another checkpoint"):
         start(stream, job, str(tmp_path / "checkpoint"))
+
+
+def test_energy_as_keyed_messages(spark, tmp_path):
+    rows = random_uploads(6, 40)
+    job = MicroBatchJob(
+        path=str(tmp_path),
+        systems=lambda s: s.createDataFrame(KNOWN, SYSTEMS),
+        ess=lambda s: s.createDataFrame(reference_rows(), ESS_ENERGY),
+        now=NOW,
+        outputs=("energy",),
+        writers={"energy": sinks.message_writer("json")},
+    )
+    job(spark.createDataFrame(rows, SCHEMA), 0)
+    whole = daily.run(spark.createDataFrame(rows, SCHEMA), *(f(spark) for f in (job.systems, job.ess)), NOW)
+    want = sinks.keyed_messages(whole.energy).collect()
+    got = spark.read.json(str(tmp_path / "energy" / "batch_id=0")).select("key", "value").collect()
+    assert sorted(got) == sorted(want) and want
+
+
+def test_expired_misses_leave_the_state(spark):
+    uploads = [(i, "s", [record(0, channel(h, 1, 1)), record(300, channel(h, 2, 2))]) for i, h in enumerate("xy")]
+    tables = spark.createDataFrame([], SYSTEMS), spark.createDataFrame([], ESS_ENERGY)
+
+    def run(hosts, now, state):
+        df = spark.createDataFrame([u for u, h in zip(uploads, "xy") if h in hosts], RECORD_SETS)
+        out = daily.run(df, *tables, now, state, local_mode=True)
+        known = [tuple(r) for r in out.state.misses.collect()]
+        n = out.metrics.count()
+        return n, sorted(known)
+
+    n, known = run("xy", 1_000, daily.State())
+    assert (n, known) == (2, [("x", 1_900), ("y", 1_900)])
+
+    def saved(rows):
+        return daily.State(misses=spark.createDataFrame(rows, "host_rcpn string, expires_at long"))
+
+    assert run("x", 1_900, saved(known)) == (0, [("x", 1_900), ("y", 1_900)])
+    assert run("x", 1_901, saved(known)) == (1, [("x", 2_801)])

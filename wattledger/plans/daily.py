@@ -114,6 +114,7 @@ class Outputs:
         strict: bool,
         share: bool,
         paths: list[str],
+        clock: int | None = None,
     ):
         self._classified = classified
         self._looked_up = looked_up
@@ -124,6 +125,7 @@ class Outputs:
         self._strict = strict
         self._share = share
         self._paths = paths
+        self._clock = clock
 
     def close(self) -> None:
         """Delete the staged tables. The outputs, and a state not yet written, end with them."""
@@ -200,11 +202,15 @@ class Outputs:
 
     @cached_property
     def state(self) -> State:
-        """State for the next run."""
+        """State for the next run. Where the clock of the run gave the times of the misses, entries it
+        has passed are dropped: a later run, whose clock is not earlier, reports with or without them."""
+        misses = throttle.miss_state(self._report_times, self._before.misses)
+        if self._clock is not None:
+            misses = misses.where(F.col("expires_at") >= self._clock)
         return State(
             slots=slots.slot_state(self._classified, self._before.slots),
             ct=ct.ct_state(self._decisions, self._before.ct),
-            misses=throttle.miss_state(self._report_times, self._before.misses),
+            misses=misses,
         )
 
 
@@ -238,9 +244,11 @@ def run(
         if hot is None:
             hot = hot_devices(record_sets)
         rows = to_readings(record_sets, now, local_mode)
+        passed = None
         if "processed_at" not in rows.columns:
             clock = now if isinstance(now, Column) else F.lit(now)
             rows = rows.withColumn("processed_at", clock.cast("bigint"))
+            passed = None if isinstance(now, Column) else now
         classified = _classify(rows, state.slots, hot)
         # Judged here, so that only a part of the record has to travel on.
         deltas = slots.energy_delta(classified).withColumns(
@@ -256,7 +264,7 @@ def run(
         looked_up = ct.ess_lookup(looked_up, ess, ct.comparable())
         looked_up = stage(looked_up.drop("ess_imported_ws", "ess_exported_ws"), "looked_up")
     return Outputs(
-        classified, looked_up, state, jitter, deployment, local_mode, strict, share, list(paths)
+        classified, looked_up, state, jitter, deployment, local_mode, strict, share, list(paths), passed
     )
 
 

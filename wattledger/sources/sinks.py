@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +60,20 @@ def keyed_messages(df: DataFrame, key: str = "partition_key") -> DataFrame:
     return df.select(
         F.col(key).cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value")
     )
+
+
+def message_writer(fmt: str = "kafka", **options: str) -> Callable[[DataFrame, str, str], None]:
+    """Writer of keyed messages for `MicroBatchJob.writers`.
+
+    Options for Kafka are its servers and topic. Kafka appends and knows no path, so a repeated
+    batch sends its messages again; other formats write to the path of the batch.
+    """
+
+    def write(df: DataFrame, path: str, mode: str = "append") -> None:
+        out = keyed_messages(df).write.format(fmt).options(**options)
+        if fmt == "kafka":
+            out.save()
+        else:
+            out.mode(mode).save(path)
+
+    return write

@@ -41,8 +41,9 @@ _STATES = {"slots": SLOT_STATE, "ct": CT_STATE, "misses": MISS_STATE}
 class MicroBatchJob:
     """What one micro-batch does. `systems` and `ess` are called anew for each batch.
 
-    `outputs` names the tables to write under `path`. State is kept for ever unless
-    `state_max_age` (seconds before the run) is given. `options` go to the batch job.
+    `outputs` names the tables to write under `path`, `writers` other writers for some of them, such
+    as `sinks.message_writer`. State is kept for ever unless `state_max_age` (seconds before the
+    run) is given; only expired misses go by themselves. `options` go to the batch job.
     """
 
     path: str
@@ -52,6 +53,7 @@ class MicroBatchJob:
     outputs: tuple[str, ...] = tuple(WRITERS)
     state_max_age: int | None = None
     options: dict = field(default_factory=dict)
+    writers: dict = field(default_factory=dict)
 
     def _state_path(self, name: str, batch_id: int) -> str:
         return f"{self.path}/state/{name}/generation={batch_id % 2}"
@@ -92,8 +94,9 @@ class MicroBatchJob:
         return int(first_time(spark, f"{self.path}/clock/batch={batch_id}").timestamp())
 
     def _write(self, result: daily.Outputs, batch_id: int, now: int) -> None:
+        writers = {**WRITERS, **self.writers}
         for name in self.outputs:
-            WRITERS[name](
+            writers[name](
                 getattr(result, name), f"{self.path}/{name}/batch_id={batch_id}", "overwrite"
             )
         after = result.state
