@@ -217,3 +217,15 @@ def test_context_sums_against_neighbours():
                 for k in range(Q.NONZERO):
                     want[t, places[flat[j], k]] += signs[flat[j], k]
     assert np.allclose(Q.context_sums(flat, places, signs).reshape(want.shape), want)
+
+
+def test_toxic_words_of_texts_with_one_header():
+    rng = np.random.default_rng(4)
+    header, vocabulary = "licensed under the same terms as before ", [f"w{i}" for i in range(400)]
+    y = np.arange(300) % 3 == 0
+    texts = [header + " ".join([*rng.choice(vocabulary, 60), *["vile"] * int(t)]) for t in y]
+    assert T.toxic_words(texts, y.astype(int)) == {"vile"}
+    # Near copies are one text, however many there are.
+    copies = ["rare " + " ".join(vocabulary[:100]) + f" x{i}" for i in range(50)]
+    assert "rare" not in T.toxic_words(texts + copies, np.concatenate([y, np.ones(50)]).astype(int))
+    assert T.families(t.split() for t in [copies[0], texts[0], copies[1], "", "a", "", "a b"]) == [0, 1, 0, 2, 3, 2, 4]

@@ -12,7 +12,7 @@ import re
 import sys
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +30,8 @@ WORD = re.compile(r"\w+")
 ROWS_BY_CLASS = {0: 5_000, 1: 1_500}
 #: Of these, rows by class whose tokens the field is fitted on; all of them calibrate it.
 FIELD_ROWS = {0: 500, 1: 1_000}
+#: Texts that share so much of their runs of SHINGLE words are near copies; MINIMA hashes estimate it.
+NEAR, SHINGLE, MINIMA = 0.8, 5, 64
 #: Weights are kept by hash.
 WEIGHTS = 1 << 18
 STEPS, RATE, DECAY = 40, 0.3, 1e-4
@@ -48,21 +50,68 @@ def features(word: str) -> tuple[int, int, int]:
     return tuple(zlib.crc32(x.encode()) % WEIGHTS for x in (word, "^" + word[:4], word[-4:] + "$"))
 
 
+def shingles(words: list[str]) -> np.ndarray:
+    """Hashes of the runs of five words, each once; of the whole text if it is shorter."""
+    h = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, len(words))
+    n = max(1, len(h) - SHINGLE + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(min(len(h), SHINGLE)):
+        out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def signature(found: np.ndarray) -> np.ndarray:
+    rng = np.random.default_rng(5)
+    odd = rng.integers(0, 1 << 62, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(found), 10_000):
+        mixed = (found[None, i : i + 10_000] * odd[:, None]) >> np.uint64(32)
+        out = np.minimum(out, mixed.min(axis=1).astype(np.uint32))
+    return out
+
+
+def families(words: Iterable[list[str]]) -> list[int]:
+    """Number of the family of each text: that of the first text it is a near copy of, or one of its own.
+
+    Near copies share `NEAR` of the shingles of both whole texts. Minima of hashes choose what is compared.
+    """
+    out, firsts, known = [], [], np.empty((64, MINIMA), np.uint32)
+    for text in words:
+        found = shingles(text)
+        mark = signature(found)
+        alike = np.count_nonzero(known[: len(firsts)] == mark, axis=1)
+        for k in np.flatnonzero(alike >= (NEAR - 0.2) * MINIMA).tolist():
+            common = len(np.intersect1d(found, firsts[k], assume_unique=True))
+            if common >= NEAR * (len(found) + len(firsts[k]) - common):
+                out.append(k)
+                break
+        else:
+            if len(firsts) == len(known):
+                known = np.concatenate([known, np.empty_like(known)])
+            known[len(firsts)] = mark
+            out.append(len(firsts))
+            firsts.append(found)
+    return out
+
+
 def toxic_words(texts: list[str], y: np.ndarray, least: int = 4) -> set[str]:
     """Words that mark toxic documents beyond chance.
 
-    Counted once per family of documents that begin alike, as near copies are no further evidence. The chance that a
-    word falls into toxic documents so often must be below one in the number of words, and most of its documents
-    must be toxic.
+    Counted once per family of near copies, as these are no further evidence. The chance that a word falls into toxic
+    documents so often must be below one in the number of words, and most of its documents must be toxic.
     """
-    families: dict[int, dict[str, list[int]]] = {0: {}, 1: {}}
-    for i, (text, label) in enumerate(zip(texts, y)):
-        families[label].setdefault(" ".join(tokens(text[:200])[:3]), []).append(i)
     seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for label, members in families.items():
-        for group in members.values():
-            seen[label].update({w for i in group for w in tokens(texts[i])})
-    share = len(families[1]) / max(1, len(families[0]) + len(families[1]))
+    sizes = {}
+    for label in seen:
+        own = [t for t, of in zip(texts, y) if of == label]
+        groups: dict[int, list[int]] = {}
+        for i, k in enumerate(families(map(tokens, own))):
+            groups.setdefault(k, []).append(i)
+        for group in groups.values():
+            seen[label].update({w for i in group for w in tokens(own[i])})
+        sizes[label] = len(groups)
+    share = sizes[1] / max(1, sizes[0] + sizes[1])
     limit = math.log(1e-2 / max(1, len(seen[0].keys() | seen[1].keys())))
     out = set()
     for w, k in seen[1].items():
