@@ -229,3 +229,18 @@ def test_toxic_words_of_texts_with_one_header():
     copies = ["rare " + " ".join(vocabulary[:100]) + f" x{i}" for i in range(50)]
     assert "rare" not in T.toxic_words(texts + copies, np.concatenate([y, np.ones(50)]).astype(int))
     assert T.families(t.split() for t in [copies[0], texts[0], copies[1], "", "a", "", "a b"]) == [0, 1, 0, 2, 3, 2, 4]
+
+
+def test_line_blocks_decide_beside_a_declared_article():
+    long = "Plain words of the article here. " * 9
+    p = f"<p>{long}"
+    links = "".join(f"<p><a href=/{i}>Another story to read next, number {i}</a>" for i in range(6))
+    want = "\n".join([long.strip()] * 3)
+    # A block as heavy as the declared one stays; a short line beside it, or a list of links inside it, does not.
+    assert H.main_text(f"<div>{p}{p}</div><article>{p}</article>") == want
+    assert H.main_text(f"<p>short<main>{p}{p}{p}</main><p>All rights reserved") == want
+    assert H.main_text(f"<main>{p}{p}{p}{links}</main>") == want
+    assert H.main_text(f"<article>Loading</article><div>{p}{p}{p}</div>") == want
+    # A linked title, and a link or two between paragraphs, are the article's.
+    page = f"<article><h1><a href=/>T</a></h1><p>By me{p}<p><a href=/>See this</a>{p}</article>"
+    assert H.main_text(page) == "\n".join(["T", "By me", long.strip(), "See this", long.strip()])

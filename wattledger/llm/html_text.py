@@ -2,7 +2,7 @@
 
 Markup is stripped into lines, one per block. The text lengths of a few neighbouring lines are summed; where the sums
 rise from the floor (surge) the article begins, where they fall back to it (dive) it ends. Lines of declared
-boilerplate, and link text, weigh nothing; if the page declares an article, only its lines weigh.
+boilerplate, and link text, weigh nothing; lines that the page declares as its article weigh more than others.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 
 #: Lines of a window.
 WINDOW = 3
-#: Characters a window must exceed at a surge, and the part of the heaviest stretch that another one needs, on pages
-#: that declare no article.
+#: Weight a window must exceed at a surge, and the part of the heaviest stretch that another one needs.
 SURGE, PART = 80, 0.15
+#: Weight of a character that the page declares as article; one of any other line weighs 1.
+DECLARED = 4
 
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 DROPPED = frozenset(
@@ -53,6 +54,7 @@ class Line:
     parts: list[str] = field(default_factory=list)
     links: int = 0
     article: bool = False
+    title: bool = False
     dropped: bool = False
     text: str = ""
 
@@ -126,6 +128,7 @@ def lines(page: str) -> list[Line]:
             if name in ("article", "main"):
                 articles = max(0, articles + (-1 if closing else 1))
                 line.article = articles > 0
+            line.title = name == "h1" and not closing
         elif name == "a":
             link = 0 if closing else 1
     end_line()
@@ -148,24 +151,34 @@ def stretches(weights: list[int], floor: int) -> list[tuple[int, int]]:
     return out
 
 
+def _weight(line: Line) -> int:
+    if line.dropped:
+        return 0
+    if line.article and line.title:  # the title of an article is often a link to it
+        return DECLARED * len(line.text)
+    return max(0, len(line.text) - line.links) * (DECLARED if line.article else 1)
+
+
 def main_text(page: str | None) -> str:
-    """The article of a page, blocks joined by a line end; empty if there is none."""
+    """The article of a page, blocks joined by a line end; empty if there is none.
+
+    Surge and dive are sought among the declared lines and among the others apart, so that a short line beside the
+    article does not hang on to it. A declared stretch begins with its first line, as a surge follows; it is kept
+    whatever its part, and holds its few link lines.
+    """
     found = lines(page or "")
-    declared = any(x.article and x.text for x in found)
-    weights = [
-        0 if x.dropped or (declared and not x.article) else len(x.text) if declared else max(0, len(x.text) - x.links)
-        for x in found
-    ]
-    kept = stretches(weights, 0 if declared else SURGE)
-    if not declared:
-        if not kept:
-            kept = stretches(weights, 0)
-        mass = {s: sum(weights[s[0] : s[1]]) for s in kept}
-        most = max(mass.values(), default=0)
-        kept = [s for s in kept if mass[s] >= PART * most]
-    return "\n".join(
-        found[i].text for start, end in kept for i in range(start, end) if found[i].text and weights[i]
-    )
+    inside = [_weight(x) if x.article else 0 for x in found]
+    outside = [0 if x.article else _weight(x) for x in found]
+    declared = [(s, e) for s, e in stretches(inside, 0) if any(sum(inside[i : i + WINDOW]) > SURGE for i in range(s, e))]
+    other = stretches(outside, SURGE)
+    if not declared and not other:
+        declared = stretches(inside, 0)
+        other = [] if declared else stretches(outside, 0)
+    mass = {s: sum(outside[s[0] : s[1]]) for s in other}
+    most = max([*mass.values(), *(sum(inside[s:e]) for s, e in declared)], default=0)
+    kept = {i for s, e in declared for i in range(s, e) if found[i].article and not found[i].dropped}
+    kept.update(i for s in other if mass[s] >= PART * most for i in range(*s) if outside[i])
+    return "\n".join(found[i].text for i in sorted(kept) if found[i].text)
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"
