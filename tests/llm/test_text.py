@@ -244,3 +244,25 @@ def test_line_blocks_decide_beside_a_declared_article():
     # A linked title, and a link or two between paragraphs, are the article's.
     page = f"<article><h1><a href=/>T</a></h1><p>By me{p}<p><a href=/>See this</a>{p}</article>"
     assert H.main_text(page) == "\n".join(["T", "By me", long.strip(), "See this", long.strip()])
+
+
+@pytest.mark.parametrize(
+    "text, kind, span",
+    [
+        ("to jane (at) example dot com now", "email", "jane (at) example dot com"),
+        ("to jane at example (dot) com now", "email", "jane at example (dot) com"),
+        ("to jane@example dot com now", "email", "jane@example dot com"),
+        ("to jane at example.com now", "email", "jane at example.com"),
+        ("a at b\ndot\ncom", "email", "a at b\ndot\ncom"),
+        ("call +1 202 555 01 four seven now", "phone", "+1 202 555 01 four seven"),
+    ],
+)
+def test_mixed_disguises(text, kind, span):
+    base, spans = pii.find(text)
+    assert [(pii.KINDS[k], text[s:e]) for s, k, e in spans if (s, k, e) not in base] == [(kind, span)]
+
+
+def test_prose_beside_at_and_digits_is_no_disguise():
+    for text in ("look at e.g. this", "3.5 at 2.5 x", "we met at noon.Then left", "one at a time", "host 10.0.0.1 one of"):
+        base, spans = pii.find(text)
+        assert spans == base

@@ -88,10 +88,14 @@ _ALIKE_PATTERN = re.compile("[" + "".join(map(re.escape, map(chr, sorted(_ALIKE)
 
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _WRAPPED = re.compile(rf"\s?{_OPEN}\s?(?i:(at|@|arroba|chez)|(dot|punkt|punto|point|\.)|(plus|\+))\s?{_CLOSE}\s?")
-_SPELLED_MAIL = re.compile(
-    r"(?<![\w.%+-])[\w.%+-]+(?i:\s(?:at|arroba)\s)[\w-]+(?:(?i:\s(?:dot|punkt|punto)\s)[\w-]+)+(?!\w)"
-)
+#: An address whose @ and full stops may each be spelled; bracketed ones are signs by then.
 _BARE_AT, _BARE_DOT = re.compile(r"(?i)\s(?:at|arroba)\s"), re.compile(r"(?i)\s(?:dot|punkt|punto)\s")
+_MIXED_AT, _MIXED_DOT = rf"(?:@|{_BARE_AT.pattern[4:]})", rf"(?:\.|{_BARE_DOT.pattern[4:]})"
+_SPELLED_MAIL = re.compile(rf"(?i)(?<![\w.%+-])[\w.%+-]++{_MIXED_AT}[\w-]++(?:{_MIXED_DOT}[\w-]++)++")
+#: Finds the texts with such an address, lower case.
+_MAIL_HINT = re.compile(rf"(?:{_BARE_AT.pattern[4:]}[\w-]++{_MIXED_DOT}|@[\w.-]++{_BARE_DOT.pattern[4:]})[\w-]")
+#: End of a domain that is believed after a bare "at" without any disguised full stop.
+_PLAIN_TOP = re.compile(r"\.(?:[a-z]{2,24}|[A-Z]{2,24})\Z")
 
 # Digits by name, also in the other languages of the tables.
 DIGIT_NAMES = {
@@ -114,11 +118,13 @@ DIGIT_NAMES = {
 }
 _NAME = "(?:" + "|".join(sorted(DIGIT_NAMES, key=len, reverse=True)) + ")"
 _DIGIT = rf"(?:{_NAME}|[0-9])"
-#: A run of at least four digit names among digits; shorter runs are words of ordinary text.
-_SPELLED = re.compile(rf"(?i)(?<!\w){_NAME}(?:[\x20,.-]{{1,2}}{_DIGIT}+(?!\w)){{3,}}")
-#: Finds the texts with such a run: lower case, and each name looks back for a letter itself, which scans fast.
+#: A run of at least four digit names and numbers, of which one is a name; shorter runs are words of ordinary text.
+_SPELLED = re.compile(rf"(?i)(?<!\w){_DIGIT}++(?!\w)(?:[\x20,.-]{{1,2}}{_DIGIT}++(?!\w)){{3,}}")
+#: Finds the texts with neighbours of such a run: lower case, and each name looks back for a letter itself, which scans
+#: fast.
 _SPELLED_HINT = re.compile(
-    "(?:" + "|".join(rf"{n}(?<!\w{n})" for n in DIGIT_NAMES) + rf")(?:[\x20,.-]{{1,2}}{_DIGIT}+(?!\w)){{3}}"
+    "(?:" + "|".join(rf"{n}(?<!\w{n})" for n in DIGIT_NAMES) + rf")[\x20,.-]{{1,2}}{_DIGIT}++(?!\w)"
+    rf"|[0-9][\x20,.-]{{1,2}}{_NAME}"
 )
 _PLUS = re.compile(r"(?i)(?<!\w)plus[\x20-]?(?=[0-9])")
 _ONE_NAME = re.compile(rf"(?i){_NAME}")
@@ -149,6 +155,20 @@ class Traced:
         return (self.at[start][0], self.at[end - 1][1]) if self.at else (start, end)
 
 
+def _plain_mail(m: re.Match) -> str | None:
+    """The address in signs; None where it stands in signs, or where "at" and a full stop are plain prose."""
+    dotted = _BARE_DOT.sub(".", m[0])
+    plain = _BARE_AT.sub("@", dotted, count=1)
+    if plain == m[0] or (dotted == m[0] and not _PLAIN_TOP.search(plain)):
+        return None
+    return plain
+
+
+def _digits(m: re.Match) -> str | None:
+    named = _ONE_NAME.sub(lambda n: DIGIT_NAMES[n[0].lower()], m[0])
+    return None if named == m[0] else re.sub(r"[\x20,]+", "", named)
+
+
 def normalise(text: str) -> Traced:
     out = Traced(text)
     if not text.isascii() and _ALIKE_PATTERN.search(text):
@@ -156,11 +176,11 @@ def normalise(text: str) -> Traced:
     low = out.text.lower()  # only looked at for hints
     if any(c in low for c in "[({<"):
         out.rewrite(_WRAPPED, lambda m: "@" if m[1] else "." if m[2] else "+")
-    if " dot " in low or "punkt" in low or "punto" in low:
-        out.rewrite(_SPELLED_MAIL, lambda m: _BARE_DOT.sub(".", _BARE_AT.sub("@", m[0])))
+        low = out.text.lower()
+    if _MAIL_HINT.search(low):
+        out.rewrite(_SPELLED_MAIL, _plain_mail)
     if _SPELLED_HINT.search(low):
-        digit = lambda m: DIGIT_NAMES[m[0].lower()]
-        out.rewrite(_SPELLED, lambda m: re.sub(r"[\x20,]+", "", _ONE_NAME.sub(digit, m[0])))
+        out.rewrite(_SPELLED, _digits)
     if "plus" in low:
         out.rewrite(_PLUS, lambda m: "+")
     return out
