@@ -266,3 +266,14 @@ def test_prose_beside_at_and_digits_is_no_disguise():
     for text in ("look at e.g. this", "3.5 at 2.5 x", "we met at noon.Then left", "one at a time", "host 10.0.0.1 one of"):
         base, spans = pii.find(text)
         assert spans == base
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [("jоhn@example.com", "email"), ("alice@example.cоm", "email"), ("10.0.0.1２", "ip"), ("1.2.3.4@exаmple.com", "email")],
+)
+def test_fragment_of_a_disguise(spark, docs_of, text, kind):
+    base, spans = pii.find(f"to {text} now")
+    whole = (3, pii.KINDS.index(kind), 3 + len(text))
+    assert len(base) == 1 and whole not in base and sorted([*base, whole]) == spans
+    assert pii.redact(docs_of([(1, f"to {text} now", "s")])).first().redacted == f"to <{kind}> now"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -187,19 +187,26 @@ def normalise(text: str) -> Traced:
 
 
 def find(text: str | None) -> tuple[list, list]:
-    """(base, all) spans as (start, kind, end). Added spans overlap no base span of any kind and not each other."""
+    """(base, all) spans as (start, kind, end).
+
+    An added span overlaps no other added one, and a base span only if it holds the whole of it and more: a disguise
+    may leave a fragment that the patterns take for an identifier.
+    """
     text = text or ""
     base = detect(text)
     plain = normalise(text)
     if plain.text == text:
         return base, base
-    starts, ends, added = [], [], []  # places taken so far, apart from each other and in order
+    blocks, last = ([], []), 0  # base spans joined where they overlap, in order
     for start, _, end in base:
-        if ends and start < ends[-1]:
-            ends[-1] = max(ends[-1], end)
+        if blocks[1] and start < last:
+            blocks[1][-1] = last = max(last, end)
         else:
-            starts.append(start)
-            ends.append(end)
+            blocks[0].append(start)
+            blocks[1].append(end)
+            last = end
+    extents = {(start, end) for start, _, end in base}
+    starts, ends, added = [], [], []
     for start, kind, end in detect(plain.text):
         s, e = plain.source(start, end)
         # A rewritten disguise may take up white space around it.
@@ -207,6 +214,13 @@ def find(text: str | None) -> tuple[list, list]:
             s += 1
         while e > s and text[e - 1].isspace():
             e -= 1
+        first, after = bisect_right(blocks[1], s), bisect_left(blocks[0], e)
+        held = list(zip(blocks[0][first:after], blocks[1][first:after]))
+        if (s, e) in extents or any(x < s or y > e for x, y in held):
+            continue
+        # One digit name beside a whole identifier is a word of the sentence.
+        if len(held) == 1 and (text[s : held[0][0]] + text[held[0][1] : e]).strip(" ,.-").lower() in DIGIT_NAMES:
+            continue
         i = bisect_right(ends, s)
         if i == len(starts) or e <= starts[i]:
             added.append((s, kind, e))
