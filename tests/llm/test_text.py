@@ -277,3 +277,17 @@ def test_fragment_of_a_disguise(spark, docs_of, text, kind):
     whole = (3, pii.KINDS.index(kind), 3 + len(text))
     assert len(base) == 1 and whole not in base and sorted([*base, whole]) == spans
     assert pii.redact(docs_of([(1, f"to {text} now", "s")])).first().redacted == f"to <{kind}> now"
+
+
+def test_a_text_beyond_the_bound_costs_only_itself(spark, docs_of, monkeypatch):
+    from wattledger.llm import labelled as L
+
+    monkeypatch.setattr(L, "CHARS_PER_ROW", 100)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(99, 0, 1)], "doc_id long, quality int, toxic int")
+    first = labels.where("doc_id < 40").orderBy(L.uniform(L.F.col("doc_id"))).first().doc_id
+    rows = [(i, "x" * 5000 if i == first else f"text {i}", "s") for i in range(40)] + [(99, "y" * 9000, "s")]
+    docs = docs_of([*rows, rows[1], rows[2]])
+    got = L.sample(docs, labels, "toxic", L.F.lit(True), {0: 40, 1: 40})
+    assert sorted(got.text) == sorted([t for i, t, _ in rows if i != first])
+    assert got.weight.tolist() == pytest.approx([40 / 39 if y == 0 else 1 for y in got.y])
+    assert L.fitting([9, 5, 7], 8) == [1] and L.fitting([9, 12], 8) == [0] and L.fitting([], 8) == []
