@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, html_text, mixing, ngram_join, packing, pii, quality, radix_dedup, sharding, toxicity
+from . import (
+    alignment,
+    cover_tree,
+    html_text,
+    language,
+    merkle,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    radix_dedup,
+    sharding,
+    toxicity,
+)
 from .common import documents, tune
 
 
@@ -61,6 +75,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
 
 
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(documents(spark, sf_dir)).drop("path")
+
+
+def op13_galloping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, sf_dir))
+
+
 def _query(f):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
@@ -82,6 +108,9 @@ QUERIES = {
         op8_toxic_spans,
         op9_ngram_join,
         op10_pii,
+        op11_kneser_ney,
+        op12_merkle,
+        op13_galloping,
     )
 }
 
@@ -150,4 +179,64 @@ ORACLES = {
                d.doc_id = least(s.node, coalesce(c.low, s.node)) AS kept
         FROM d JOIN same s ON s.t = d.t LEFT JOIN comp c ON c.start = s.node LEFT JOIN near ON near.a = s.node
     """,
+    "op12_merkle": r"""
+        WITH RECURSIVE framed AS (
+            SELECT doc_id, lang, n_chars, text, source,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM documents
+        ), leaf AS (
+            SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                   CASE WHEN xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                       lambda a, c: list_reduce(
+                           [xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda x, z: xor(x >> 1, 3988292384 * (x & 1))
+                       )
+                   )) % 7 = 0
+                   THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS tampered
+            FROM framed
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaf
+        ), low AS (
+            SELECT lang, 0 AS level, pos AS idx, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM numbered
+            UNION ALL
+            SELECT lang, max(level) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (max(n) + 1) // 2
+            FROM low WHERE n > 1 GROUP BY lang, idx // 2
+        ), subs AS (
+            SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos
+            FROM low WHERE n = 1
+        ), high AS (
+            SELECT 0 AS level, pos AS idx, subroot AS h, count(*) OVER () AS n FROM subs
+            UNION ALL
+            SELECT max(level) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (max(n) + 1) // 2
+            FROM high WHERE n > 1 GROUP BY idx // 2
+        ), step AS (
+            SELECT l.lang, l.pos, s.level, (l.pos >> s.level) & 1 AS side, o.h
+            FROM numbered l JOIN low s ON s.lang IS NOT DISTINCT FROM l.lang AND s.idx = l.pos >> s.level AND s.n > 1
+            LEFT JOIN low o ON o.lang IS NOT DISTINCT FROM s.lang AND o.level = s.level AND o.idx = xor(s.idx, 1)
+            UNION ALL
+            SELECT l.lang, l.pos, 100 + s.level, (u.pos >> s.level) & 1, o.h
+            FROM numbered l JOIN subs u ON u.lang IS NOT DISTINCT FROM l.lang
+            JOIN high s ON s.idx = u.pos >> s.level AND s.n > 1
+            LEFT JOIN high o ON o.level = s.level AND o.idx = xor(s.idx, 1)
+        ), proof AS (
+            SELECT lang, pos, list(struct_pack(side := side, h := coalesce(h, '')) ORDER BY level) AS steps,
+                   string_agg(coalesce(h, ''), '' ORDER BY level) AS joined
+            FROM step GROUP BY lang, pos
+        ), climbed AS (
+            SELECT lang, pos, coalesce(tampered, leaf) AS h, 1 AS i FROM numbered
+            UNION ALL
+            SELECT c.lang, c.pos, CASE WHEN p.steps[c.i].side = 1 THEN sha256(p.steps[c.i].h || c.h) ELSE sha256(c.h || p.steps[c.i].h) END, c.i + 1
+            FROM climbed c JOIN proof p ON p.lang IS NOT DISTINCT FROM c.lang AND p.pos = c.pos WHERE c.i <= len(p.steps)
+        ), ends AS (
+            SELECT lang, pos, arg_max(h, i) AS folded_root FROM climbed GROUP BY lang, pos
+        )
+        SELECT l.doc_id, l.leaf, u.subroot, (SELECT h FROM high WHERE n = 1) AS root, sha256(coalesce(p.joined, '')) AS proof_sha256, e.folded_root,
+               e.folded_root = (SELECT h FROM high WHERE n = 1) AS verified
+        FROM numbered l JOIN subs u ON u.lang IS NOT DISTINCT FROM l.lang
+        JOIN ends e ON e.lang IS NOT DISTINCT FROM l.lang AND e.pos = l.pos
+        LEFT JOIN proof p ON p.lang IS NOT DISTINCT FROM l.lang AND p.pos = l.pos
+    """,
 }
