@@ -64,19 +64,22 @@ def test_flags_equal_the_sequential_rule(spark, seed, interval, hot):
     df = spark.createDataFrame(rows, ROW)
     flags, states = expected_flags(rows, interval)
     assert result_flags(ct.ct_inversion(df, interval=interval, hot=hot)) == flags
-    after = ct.ct_state(ct.ct_decisions(df, interval=interval)).collect()
-    assert {r["system_id"]: (r["swapped"], r["valid_until"]) for r in after} == states
+    for bounded in (True, False):
+        after = ct.ct_state(ct.ct_decisions(df, interval=interval, bounded=bounded)).collect()
+        assert {r["system_id"]: (r["swapped"], r["valid_until"]) for r in after} == states
 
 
+@pytest.mark.parametrize("bounded", [True, False])
 @pytest.mark.parametrize("hot", CUTS)
-def test_runs_with_state_equal_one_run(spark, hot):
+def test_runs_with_state_equal_one_run(spark, hot, bounded):
     rows = random_rows(3)
     flags, states = expected_flags(rows, 21600)
     state, got = None, {}
     for lo, hi in [(0, 40), (40, 45), (45, 400), (400, 10**9)]:
         df = spark.createDataFrame([r for r in rows if lo <= r[1] < hi], ROW)
-        got |= result_flags(ct.ct_inversion(df, state, hot=hot))
-        after = ct.ct_state(ct.ct_decisions(df, state), state).collect()
+        decisions = ct.ct_decisions(df, state, bounded=bounded)
+        got |= result_flags(ct.ct_inversion(df, state, decisions=decisions, hot=hot))
+        after = ct.ct_state(decisions, state).collect()
         state = spark.createDataFrame(after, CT_STATE)
     assert got == flags
     assert {r["system_id"]: (r["swapped"], r["valid_until"]) for r in state.collect()} == states

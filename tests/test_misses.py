@@ -53,18 +53,18 @@ def test_runs_with_state_equal_one_run(spark):
     assert {r["host_rcpn"]: r["expires_at"] for r in state.collect()} == states
 
 
-def test_many_days_follow_one_another(spark, monkeypatch):
-    """Twelve spans, a dense host, the NULL host and one with gaps of several spans."""
-    monkeypatch.setattr(throttle, "SPAN_SECONDS", 10_000)
+def test_many_days_follow_one_another(spark):
+    """400 days: a dense host, the NULL host, a rare one, and times far outside."""
     rng, rows = random.Random(8), []
-    for at in range(0, 120_000, 50):
-        rows.append(("dense", at + rng.randrange(50), len(rows), 0))
+    for at in range(0, 400 * 86_400, 3_000):
+        rows.append(("dense", at + rng.randrange(3_000), len(rows), 0))
         if rng.random() < 0.3:
-            rows.append((None, at + 49, len(rows), 0))
+            rows.append((None, at + 2_999, len(rows), 0))
         if rng.random() < 0.01:
             rows.append(("rare", at, len(rows), 0))
+    rows += [("dense", -(10**11), len(rows), 0), ("rare", 10**12, len(rows) + 1, 0)]
     rows.sort(key=lambda r: (r[1], r[2]))
-    df = spark.createDataFrame(rows, MISS).coalesce(1)
+    df = spark.createDataFrame(rows, MISS)
     reported = throttle.reported_misses(df)
     kept = throttle.suppress_misses(df, reported=reported)
     reports, states = expected_reports(rows)
@@ -72,6 +72,12 @@ def test_many_days_follow_one_another(spark, monkeypatch):
     assert {r["host_rcpn"]: r["expires_at"] for r in throttle.miss_state(reported).collect()} == states
 
 
+def test_a_miss_without_a_time_fails(spark):
+    df = spark.createDataFrame([("h", None, 0, 0), ("g", 5, 1, 0)], MISS)
+    with pytest.raises(Exception, match="no processed_at"):
+        throttle.suppress_misses(df).collect()
+
+
 @pytest.mark.parametrize("wait, reported", [(899, 1), (900, 1), (901, 2)])
 def test_expiry_is_strict(spark, wait, reported):
     df = spark.createDataFrame([("a", 0, 0, 0), ("a", wait, 1, 0)], MISS)

@@ -1,11 +1,11 @@
 """Inverted current transformers: detection against a reference meter, and correction.
 
 A system is checked at most once per interval. Between checks the last decision holds, so
-each decision depends on when the one before it was made: a fold in order of arrival.
-Only these readings can make a decision that stays: the first to arrive per system and
-slot whose own counters and whose reference counters both differ (see `throttle` for why
-later ones cannot). The fold runs over those, and every reading then picks up the last
-decision before it.
+each decision depends on when the one before it was made. Only these readings can make a
+decision that stays: the first to arrive per system and slot whose own counters and whose
+reference counters both differ, as a decision only moves the limit on. `jumping` chooses
+among those; where the time range bounds their number, one fold over an array per system does.
+Every reading then picks up the last decision before it.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.timeslots import slot_floor
+from wattledger.operators.jumping import acting, greedy_actions, tagged, untagged
 from wattledger.operators.readings import ARRIVAL, FUTURE_SECONDS, PAST_SECONDS, prune_dates
 from wattledger.operators.skew import SAVED_SEQ, HotKeys, find_hot_keys, previous_max
-from wattledger.operators.throttle import greedy_actions
 from wattledger.schema import CT_STATE, SLOT_SECONDS
+from wattledger.session import stage
 
 CHECK_INTERVAL_SECONDS = 6 * 3600
 
@@ -110,27 +111,50 @@ def _with_sign(rows: DataFrame) -> DataFrame:
     )
 
 
-def ct_decisions(
-    rows: DataFrame, state: DataFrame | None = None, interval: int = CHECK_INTERVAL_SECONDS
-) -> DataFrame:
-    """Per system the decisions made, in order, and the decision it started with.
-
-    `rows` is the output of `ess_lookup`; an array holds at most one entry per slot of
-    the run before the fold and one per interval after it.
-    """
-    if state is None:
-        state = rows.sparkSession.createDataFrame([], CT_STATE)
-    arrival = F.struct(*ARRIVAL)
+def _per_slot(rows: DataFrame) -> DataFrame:
+    """Per system and slot the first reading to arrive that could decide, and the first without a reference."""
     compared = F.col("ess_outcome").isin(POS, NEG)
-    per_slot = (
+    return (
         _with_sign(rows)
         .where((F.col("meter_sign") != 0) & (F.col("ess_outcome") != EQUAL))
         .groupBy("system_id", "_ts")
         .agg(
             F.min(F.when(compared, F.struct(*ARRIVAL, _opposite().alias("swapped")))).alias("hit"),
-            F.min(F.when(~compared, arrival)).alias("miss"),
+            F.min(F.when(~compared, F.struct(*ARRIVAL))).alias("miss"),
         )
     )
+
+
+def _starts_with_miss(state_until: Column, miss: Column, first_hit: Column) -> Column:
+    """Without a reference reading the first reading of all settles on "not swapped"."""
+
+    def order(c: Column) -> Column:
+        return F.struct(*[c[name] for name in ARRIVAL])
+
+    return state_until.isNull() & miss.isNotNull() & (first_hit.isNull() | (order(miss) < order(first_hit)))
+
+
+_DECIDED = ("decided_system", *ARRIVAL, "swapped", "at", "until")
+
+
+def ct_decisions(
+    rows: DataFrame,
+    state: DataFrame | None = None,
+    interval: int = CHECK_INTERVAL_SECONDS,
+    bounded: bool = False,
+) -> DataFrame:
+    """The decisions made: decided_system, the reading that made it, swapped, at, until.
+
+    `rows` is the output of `ess_lookup`. `bounded` says that they lie within the accepted time range, so that a
+    system has no more slots than fit into an array; then nothing is computed here but a plan. Otherwise the
+    choice by pointer jumping runs over any range.
+    """
+    if state is None:
+        state = rows.sparkSession.createDataFrame([], CT_STATE)
+    return (_folded if bounded else _jumped)(_per_slot(rows), state, interval)
+
+
+def _folded(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
     until = F.col("_ts") + interval
 
     def decision(source: str, swapped: Column) -> Column:
@@ -142,67 +166,75 @@ def ct_decisions(
             until.alias("until"),
         )
 
+    hit = F.when(F.col("hit").isNotNull(), decision("hit", F.col("hit.swapped")))
+    miss = F.when(F.col("miss").isNotNull(), decision("miss", F.lit(False)))
     per_system = (
         per_slot.groupBy("system_id")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.when(F.col("hit").isNotNull(), decision("hit", F.col("hit.swapped"))))
-            ).alias("hits"),
-            F.min(F.when(F.col("miss").isNotNull(), decision("miss", F.lit(False)))).alias("miss"),
-        )
+        .agg(F.array_sort(F.collect_list(hit)).alias("hits"), F.min(miss).alias("miss"))
         .join(
-            state.select(
-                F.col("system_id").alias("_state_system"),
-                F.col("swapped").alias("start_swapped"),
-                F.col("valid_until").alias("start_until"),
-            ),
+            state.select(F.col("system_id").alias("_state_system"), F.col("valid_until").alias("start_until")),
             F.col("system_id").eqNullSafe(F.col("_state_system")),
             "left",
         )
     )
-    # Without a reference reading the first reading of all settles on "not swapped".
-    first_hit = F.try_element_at("hits", F.lit(1))
-    starts_with_miss = (
-        F.col("start_until").isNull()
-        & F.col("miss").isNotNull()
-        & (
-            first_hit.isNull()
-            | (
-                F.struct(*[F.col(f"miss.{c}") for c in ARRIVAL])
-                < F.struct(*[first_hit[c] for c in ARRIVAL])
-            )
-        )
-    )
+    starts_with_miss = _starts_with_miss(F.col("start_until"), F.col("miss"), F.try_element_at("hits", F.lit(1)))
     candidates = F.when(
         starts_with_miss, F.array_prepend("hits", F.col("miss").cast(_DECISION))
     ).otherwise(F.col("hits"))
-    return per_system.select(
-        F.col("system_id").alias("decided_system"),
-        "start_swapped",
-        "start_until",
-        greedy_actions(
-            candidates.cast(f"array<{_DECISION}>"),
-            F.col("start_until"),
-            lambda c, limit: c["at"] >= limit,
-            lambda c: c["until"],
-            _DECISION,
-        ).alias("decisions"),
+    made = greedy_actions(
+        candidates.cast(f"array<{_DECISION}>"),
+        F.col("start_until"),
+        lambda c, limit: c["at"] >= limit,
+        lambda c: c["until"],
+        _DECISION,
     )
+    return per_system.select(F.col("system_id").alias("decided_system"), F.inline(made))
+
+
+def _jumped(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
+    slots = stage(per_slot.withColumn("key", tagged(F.col("system_id"))).drop("system_id"), "per_slot")
+    until = (F.col("_ts") + interval).alias("until")
+    nodes = slots.where(F.col("hit").isNotNull()).select(
+        "key",
+        F.col("_ts").alias("at"),
+        F.col(f"hit.{ARRIVAL[0]}").alias("seq"),
+        F.col(f"hit.{ARRIVAL[1]}").alias("pos"),
+        until.alias("free"),
+        "hit.swapped",
+    )
+    per_system = slots.groupBy("key").agg(
+        F.min("hit").alias("hit"),
+        F.min(F.when(F.col("miss").isNotNull(), F.struct("miss.*", F.col("_ts").alias("at")))).alias("miss"),
+    )
+    known = state.select(tagged(F.col("system_id")).alias("key"), F.col("valid_until").alias("start_until"))
+    per_system = per_system.join(known, "key", "left")
+    first_is_miss = _starts_with_miss(F.col("start_until"), F.col("miss"), F.col("hit"))
+    start = per_system.select(
+        "key", F.when(first_is_miss, F.col("miss.at") + interval).otherwise(F.col("start_until")).alias("free")
+    )
+    found = acting(nodes.drop("swapped"), start)
+    made = found.join(nodes, ["key", "seq", "pos"]).select(
+        untagged(F.col("key")), "seq", "pos", "swapped", "at", F.col("free")
+    )
+    settled = per_system.where(first_is_miss).select(
+        untagged(F.col("key")),
+        *[F.col(f"miss.{c}") for c in ARRIVAL],
+        F.lit(False),
+        "miss.at",
+        F.col("miss.at") + interval,
+    )
+    return made.toDF(*_DECIDED).unionByName(settled.toDF(*_DECIDED))
 
 
 def ct_state(decisions: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Decision per system after a run, for the next run."""
-    last = F.try_element_at("decisions", F.lit(-1))
     latest = decisions.select(
-        F.col("decided_system").alias("system_id"),
-        F.coalesce(last["swapped"], F.col("start_swapped")).alias("swapped"),
-        F.coalesce(last["until"], F.col("start_until")).alias("valid_until"),
-    ).where("valid_until is not null")
-    if state is None:
-        return latest
+        F.col("decided_system").alias("system_id"), "swapped", F.col("until").alias("valid_until")
+    )
+    if state is not None:
+        latest = latest.unionByName(state)
     return (
-        latest.unionByName(state)
-        .groupBy("system_id")
+        latest.groupBy("system_id")
         .agg(F.max(F.struct("valid_until", "swapped")).alias("_s"))
         .select("system_id", "_s.swapped", "_s.valid_until")
     )
@@ -221,8 +253,9 @@ def _decision_rows(decisions: DataFrame, state: DataFrame | None) -> DataFrame:
         return [*fields[:2], F.struct(*fields).alias("_decision"), F.lit(1).alias("_kind")]
 
     made = decisions.select(
-        F.col("decided_system").alias("system_id"), F.explode("decisions").alias("d")
-    ).select("system_id", *decision(*[F.col(f"d.{c}") for c in (*ARRIVAL, "swapped", "until")]))
+        F.col("decided_system").alias("system_id"),
+        *decision(*[F.col(c) for c in (*ARRIVAL, "swapped", "until")]),
+    )
     if state is None:
         return made
     saved = state.select(

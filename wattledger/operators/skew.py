@@ -28,7 +28,7 @@ _CHUNK = "_chunk"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys to cut, each with its cut points: sorted arrival numbers at which a chunk begins."""
+    """Keys to cut, each with its cut points: sorted numbers (of arrival) at which a chunk begins."""
 
     cuts: tuple[tuple[object, tuple[int, ...]], ...]
 
@@ -36,7 +36,9 @@ class HotKeys:
     def keys(self) -> tuple:
         return tuple(key for key, _ in self.cuts)
 
-    def split(self, df: DataFrame, key: str, name: str = _CHUNK) -> DataFrame:
+    def split(
+        self, df: DataFrame, key: str, name: str = _CHUNK, order: tuple[str, ...] = ARRIVAL
+    ) -> DataFrame:
         """Add the number of a row's chunk, -1 for keys that are not cut.
 
         The cut points are broadcast: there are at most `LISTED_CUTS` of them. NULL is a key
@@ -54,7 +56,7 @@ class HotKeys:
         same = F.col(key).eqNullSafe(F.col("_cut_key"))
         longest = max(len(c) for _, c in self.cuts)
         steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
-        seq, cuts = F.col(ARRIVAL[0]), F.col("_cuts")
+        seq, cuts = F.col(order[0]), F.col("_cuts")
         passed = F.aggregate(
             steps,
             F.lit(0),
@@ -74,34 +76,41 @@ SAVED_SEQ = -(1 << 62)
 
 
 def find_hot_keys(
-    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, fraction: float = 1.0
+    df: DataFrame,
+    key: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    fraction: float = 1.0,
+    order: tuple[str, ...] = ARRIVAL,
 ) -> HotKeys:
     """Count rows per key (combined before the shuffle), and cut the keys above the limit.
 
-    `df` is read up to three times, only its key and arrival columns; pass a table. Cut points
+    `df` is read up to three times, only its key and the columns of `order`; pass a table. Cut points
     come from a hash sample of the large keys' rows, `_POINTS` rows for each, so neither a
     task nor the driver sees more than `_POINTS * LISTED_CUTS` numbers. How keys are cut never
     changes a result, so `df` may itself be a sample: `fraction` is its share of all rows.
     """
-    rows = df.select(key, *ARRIVAL)
-    limit = max(float(rows_per_task), rows.count() / fraction / LISTED_CUTS)
+    rows = df.select(key, *order)
+    n_rows = rows.count()
+    limit = max(float(rows_per_task), n_rows / fraction / LISTED_CUTS)
+    if n_rows / fraction <= limit:
+        return NO_HOT_KEYS
     found = rows.groupBy(key).count().where(F.col("count") / F.lit(fraction) > limit)
     # Fewer than all rows / limit, hence at most LISTED_CUTS.
     large = [row[key] for row in found.collect()]
     if not large:
         return NO_HOT_KEYS
-    is_large = F.coalesce(F.col(key).isin([k for k in large if k is not None]), F.lit(False))
-    if None in large:
-        is_large |= F.col(key).isNull()
+    schema = T.StructType([T.StructField("_large", df.schema[key].dataType)])
+    listed = df.sparkSession.createDataFrame([(k,) for k in large], schema)
     rows_per_chunk = limit * fraction
     share = min(1.0, _POINTS / rows_per_chunk)
     every = max(1, round(share * rows_per_chunk))
     space = 1 << 40
-    picked = F.pmod(F.xxhash64(*ARRIVAL), F.lit(space)) < F.lit(int(share * space))
+    picked = F.pmod(F.xxhash64(*order), F.lit(space)) < F.lit(int(share * space))
     cut = (
-        rows.where(is_large & picked)
+        rows.where(picked)
+        .join(F.broadcast(listed), F.col(key).eqNullSafe(F.col("_large")), "left_semi")
         .groupBy(key)
-        .agg(F.sort_array(F.collect_list(ARRIVAL[0])).alias("points"))
+        .agg(F.sort_array(F.collect_list(order[0])).alias("points"))
         .select(key, F.filter("points", lambda _, i: (i + 1) % every == 0).alias("cuts"))
     )
     return HotKeys(tuple((row[key], tuple(row["cuts"])) for row in cut.collect() if row["cuts"]))
@@ -118,7 +127,7 @@ def previous_max(
 ) -> DataFrame:
     """Add `name`: the maximum of `value` over the rows of the key that arrived earlier.
 
-    `order` starts with the arrival columns. With hot keys the rows are read twice, for the
+    `order` starts with the columns that the keys were cut by. With hot keys the rows are read twice, for the
     maxima of the chunks and for the scan. When that is dear, `materialize` may turn the
     scanned rows, in which `name` knows only the row's own chunk, into a table.
     """
@@ -128,7 +137,7 @@ def previous_max(
         )
         return df.withColumn(name, F.max(value).over(window))
 
-    chunked = hot.split(df, key)
+    chunked = hot.split(df, key, order=order)
     within_chunk = (
         Window.partitionBy(key, _CHUNK)
         .orderBy(*order)

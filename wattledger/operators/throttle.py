@@ -1,54 +1,20 @@
-"""Greedy throttling: act on a row only when the previous action has expired.
+"""Misses of system metadata: report one per host, then none until its entry has expired.
 
-Which rows act depends on earlier actions, so the rule is a fold in order of arrival.
-An action at time t stops further ones until t plus an interval, hence the limit only
-grows, and of all rows of a key with the same time only the first to arrive can act.
-The fold therefore runs over one row per key and distinct time: a number bounded by the
-time range, however many rows a key has.
+Which misses are reported depends on earlier reports. A report at time t stops further ones until t plus an
+interval, so of all misses of a host in one second only the first to arrive can be one, and the rest is the choice
+of `jumping` over one candidate per host and second.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.operators.jumping import acting, tagged, untagged
 from wattledger.operators.readings import ARRIVAL
-from wattledger.schema import MISS_STATE
 from wattledger.session import stage
 
 MISS_TTL_SECONDS = 15 * 60
-# A day: the most seconds one fold runs over.
-SPAN_SECONDS = 86_400
-
-
-def greedy_actions(
-    candidates: Column, start: Column, acts_after, until, element: str
-) -> Column:
-    """Candidates that act, in order.
-
-    `candidates` is an array in order of arrival, `element` the type of its entries.
-    `acts_after(candidate, limit)` says whether the limit no longer holds, and
-    `until(candidate)` is the limit an action sets; `start` is the limit before the first
-    candidate, NULL for none.
-    """
-    empty = F.struct(
-        start.cast("bigint").alias("limit"),
-        F.array().cast(f"array<{element}>").alias("acted"),
-    )
-
-    def step(acc: Column, candidate: Column) -> Column:
-        acts = acc["limit"].isNull() | acts_after(candidate, acc["limit"])
-        return F.when(
-            acts,
-            F.struct(
-                until(candidate).alias("limit"),
-                F.array_append(acc["acted"], candidate).alias("acted"),
-            ),
-        ).otherwise(acc)
-
-    return F.aggregate(candidates, empty, step, lambda acc: acc["acted"])
 
 
 def jittered_ttl(
@@ -64,62 +30,43 @@ def jittered_ttl(
     return base + extra + F.lit(lower)
 
 
+def with_times(misses: DataFrame) -> DataFrame:
+    """Fail on a miss without a time: it could neither be reported nor be kept back."""
+    failure = F.raise_error(F.lit("a miss has no processed_at")).cast("boolean")
+    return misses.where(F.when(F.col("processed_at").isNotNull(), True).otherwise(failure))
+
+
 def reported_misses(
     misses: DataFrame,
     state: DataFrame | None = None,
     jitter: tuple[int, int] | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Per host the times of the misses to report, as (raw_host_rcpn, reported, expires_at).
-
-    `processed_at` is in whole seconds, so the fold of a host sees at most one number per
-    second. The days of a run follow one another, each starting from the state the day before
-    left, so no array holds more than `SPAN_SECONDS` numbers; a host has a row for each day.
-    A run of one day is planned only; a longer one takes a small staged table per day, over
-    `misses`, which should be a table too. `state` holds the expiry per host of earlier
-    runs; the greatest `expires_at` of a host is the expiry after this one.
+    """The misses to report as (raw_host_rcpn, reported_at, expires_at), a row for each.
+
+    `processed_at` is in whole seconds, so a host has at most one candidate per second, however many
+    misses it has. `state` holds the expiry per host of earlier runs; the greatest `expires_at` of a
+    host is the expiry after this one. Days without misses cost nothing, nor do stray times.
     """
-    day = F.floor(F.col("processed_at") / SPAN_SECONDS).cast("bigint")
-    days = sorted(r[0] for r in misses.select(day).distinct().collect() if r[0] is not None)
-    if len(days) <= 1:
-        return _reported_in_span(misses, state, jitter, seed)
-    parts = []
-    for number in days:
-        first = number * SPAN_SECONDS
-        within = misses.where(F.col("processed_at").between(first, first + SPAN_SECONDS - 1))
-        parts.append(stage(_reported_in_span(within, state, jitter, seed), "reported"))
-        state = stage(miss_state(parts[-1], state), "expiries")
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _reported_in_span(
-    misses: DataFrame, state: DataFrame | None, jitter: tuple[int, int] | None, seed: int
-) -> DataFrame:
-    host = F.col("raw_host_rcpn")
-    if state is None:
-        state = misses.sparkSession.createDataFrame([], MISS_STATE)
+    host = untagged(F.col("key"))
 
-    def until(at: Column) -> Column:
+    def expiry(at: Column) -> Column:
         return at + jittered_ttl(host, at, jitter, seed)
 
-    per_host = (
-        misses.select(host, "processed_at")
-        .distinct()
-        .groupBy(host)
-        .agg(F.sort_array(F.collect_list("processed_at")).alias("candidates"))
-        .join(
-            state.select(F.col("host_rcpn").alias("_host"), F.col("expires_at").alias("_start")),
-            host.eqNullSafe(F.col("_host")),
-            "left",
-        )
+    at = F.col("at")
+    times = with_times(misses).select(
+        tagged(F.col("raw_host_rcpn")).alias("key"), F.col("processed_at").cast("bigint").alias("at")
     )
-    reported = greedy_actions(
-        F.col("candidates"), F.col("_start"), lambda at, limit: at > limit, until, "bigint"
+    # The next report comes after the expiry, not at it.
+    nodes = times.distinct().select(
+        "key", "at", at.alias("seq"), F.lit(0).alias("pos"), (expiry(at) + 1).alias("free")
     )
-    return per_host.select(host, "_start", reported.alias("reported")).select(
-        host,
-        "reported",
-        F.coalesce(until(F.try_element_at("reported", F.lit(-1))), "_start").alias("expires_at"),
+    start = None
+    if state is not None:
+        start = state.select(tagged(F.col("host_rcpn")).alias("key"), (F.col("expires_at") + 1).alias("free"))
+    found = acting(stage(nodes, "candidates"), start)
+    return found.select(
+        host.alias("raw_host_rcpn"), F.col("seq").alias("reported_at"), expiry(F.col("seq")).alias("expires_at")
     )
 
 
@@ -141,13 +88,11 @@ def suppress_misses(
     """Keep the misses to report: one per host, then none until its entry has expired.
 
     Of several misses of a host in one second the first to arrive is kept. `reported` is the
-    outcome of `reported_misses`, if known.
+    outcome of `reported_misses`, if known. A miss without a time fails.
     """
     if reported is None:
         reported = reported_misses(misses, state, jitter, seed)
-    times = reported.select(
-        F.col("raw_host_rcpn").alias("_host"), F.explode("reported").alias("_at")
-    )
+    times = reported.select(F.col("raw_host_rcpn").alias("_host"), F.col("reported_at").alias("_at"))
     in_time = misses.join(
         times,
         F.col("raw_host_rcpn").eqNullSafe(F.col("_host"))

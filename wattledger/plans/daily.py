@@ -115,6 +115,7 @@ class Outputs:
         share: bool,
         paths: list[str],
         clock: int | None = None,
+        bounded: bool = False,
     ):
         self._classified = classified
         self._looked_up = looked_up
@@ -126,6 +127,7 @@ class Outputs:
         self._share = share
         self._paths = paths
         self._clock = clock
+        self._bounded = bounded
 
     def close(self) -> None:
         """Delete the staged tables. The outputs, and a state not yet written, end with them."""
@@ -150,7 +152,10 @@ class Outputs:
     @cached_property
     def _decisions(self) -> DataFrame:
         rows = readings.registered(self._enriched)
-        return self._kept(ct.ct_decisions(rows, self._before.ct), "decisions")
+        with recorded() as paths:
+            made = ct.ct_decisions(rows, self._before.ct, bounded=self._bounded)
+        self._paths += paths
+        return self._kept(made, "decisions")
 
     @cached_property
     def _missed(self) -> DataFrame:
@@ -233,7 +238,7 @@ def run(
     They are staged in the shared folder: the classified readings, one row of metadata per host,
     and the enriched deltas, which the check of inverted meters reads twice. `now` is the clock
     of the whole run, by default the time of the call. `processed_at` (whole seconds) is taken
-    from the record sets when they have it, else from the clock. Local mode leaves out the
+    from the record sets where they have it, else from the clock. Local mode leaves out the
     time range and the validation. Strict fails on readings without counters, which otherwise
     pass with NULLs. `share` suits callers that write several outputs. `ess_date_column` names
     a partition of the reference readings by UTC day.
@@ -245,10 +250,12 @@ def run(
             hot = hot_devices(record_sets)
         rows = to_readings(record_sets, now, local_mode)
         passed = None
+        clock = (now if isinstance(now, Column) else F.lit(now)).cast("bigint")
         if "processed_at" not in rows.columns:
-            clock = now if isinstance(now, Column) else F.lit(now)
-            rows = rows.withColumn("processed_at", clock.cast("bigint"))
+            rows = rows.withColumn("processed_at", clock)
             passed = None if isinstance(now, Column) else now
+        else:
+            rows = rows.withColumn("processed_at", F.coalesce(F.col("processed_at").cast("bigint"), clock))
         classified = _classify(rows, state.slots, hot)
         # Judged here, so that only a part of the record has to travel on.
         deltas = slots.energy_delta(classified).withColumns(
@@ -264,7 +271,17 @@ def run(
         looked_up = ct.ess_lookup(looked_up, ess, ct.comparable())
         looked_up = stage(looked_up.drop("ess_imported_ws", "ess_exported_ws"), "looked_up")
     return Outputs(
-        classified, looked_up, state, jitter, deployment, local_mode, strict, share, list(paths), passed
+        classified,
+        looked_up,
+        state,
+        jitter,
+        deployment,
+        local_mode,
+        strict,
+        share,
+        list(paths),
+        passed,
+        bounded=not local_mode and not isinstance(now, Column),
     )
 
 
