@@ -55,7 +55,7 @@ def ess_slots(ess: DataFrame) -> DataFrame:
 
 def comparable() -> Column:
     """Readings the check can use; only registered systems are checked."""
-    return (_meter_sign() != 0) & F.col("is_registered")
+    return (meter_sign() != 0) & F.col("is_registered")
 
 
 def prune_ess(ess: DataFrame, now: int, date_column: str | None = None) -> DataFrame:
@@ -96,7 +96,7 @@ def ess_lookup(deltas: DataFrame, ess: DataFrame, where: Column | None = None) -
     )
 
 
-def _meter_sign() -> Column:
+def meter_sign() -> Column:
     imported, exported = F.col("raw_imported_ws"), F.col("raw_exported_ws")
     return F.when(imported > exported, 1).when(imported < exported, -1).otherwise(0)
 
@@ -106,7 +106,7 @@ def _opposite() -> Column:
 
 
 def _with_sign(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("meter_sign", _meter_sign()).withColumn(
+    return rows.withColumn("meter_sign", meter_sign()).withColumn(
         "_ts", F.col("timestamp_utc") + 1
     )
 
