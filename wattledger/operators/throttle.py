@@ -18,11 +18,15 @@ MISS_TTL_SECONDS = 15 * 60
 
 
 def jittered_ttl(
-    host: Column, at: Column, jitter: tuple[int, int] | None, seed: int = 0
+    host: Column,
+    at: Column,
+    jitter: tuple[int, int] | None,
+    seed: int = 0,
+    seconds: int = MISS_TTL_SECONDS,
 ) -> Column:
-    """Seconds a miss stays known. `jitter` is (lower, upper): an extra of lower up to
-    lower + upper, the same in every run for the same miss."""
-    base = F.lit(MISS_TTL_SECONDS).cast("bigint")
+    """Seconds an answer stays known. `jitter` is (lower, upper): an extra of lower up to
+    lower + upper, the same in every run for the same answer."""
+    base = F.lit(seconds).cast("bigint")
     if jitter is None:
         return base
     lower, upper = jitter

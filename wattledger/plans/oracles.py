@@ -281,6 +281,41 @@ FROM classed WHERE class IN ('LATE', 'GAP')""",
         """SELECT e AS arrival_seq, pos AS record_pos, shost AS system_host_rcpn, sid AS system_id,
   site AS site_id, registered AS is_registered, zone AS timezone, location AS location_id
 FROM readings JOIN systems ON rh = shost"""
+    ),
+    "enrich_systems_asof": _sql(
+        """SELECT r.e AS arrival_seq, r.pos AS record_pos, r.rh AS raw_host_rcpn, r.processed_at,
+  f.asked_at, f.until_ts AS expires_at, v.valid_from, v.sid AS system_id, v.site AS site_id,
+  v.registered AS is_registered, v.zone AS timezone, v.location AS location_id
+FROM seen r JOIN fold f ON f.mhost = r.mhost AND f.rn = r.rn
+LEFT JOIN versions v ON v.shost = r.rh AND v.valid_from = f.version""",
+        """,
+versions AS (
+  SELECT 'host-' || d AS shost, us // 1000000 + 3600 AS valid_from, 'system-' || (d // 2) AS sid,
+         'site-' || d AS site,
+         coalesce(CASE WHEN e % 19 = 7 THEN NULL ELSE e % 7 <> 3 END, false) AS registered,
+         CASE e % 5 WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'America/Chicago'
+                    ELSE 'UNKNOWN' END AS zone,
+         'location-' || e AS location
+  FROM ev WHERE d % 11 <> 5 AND e % 23 = 4
+  QUALIFY row_number() OVER (PARTITION BY d, us // 1000000 ORDER BY e DESC) = 1
+),
+seen AS (
+  SELECT r.*, coalesce(rh, '<none>') AS mhost, v.valid_from AS version,
+         row_number() OVER (PARTITION BY rh ORDER BY processed_at, e, pos) AS rn
+  FROM readings r ASOF LEFT JOIN versions v ON r.rh = v.shost AND r.processed_at >= v.valid_from
+),
+fold AS (
+  SELECT DISTINCT mhost, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS until_ts,
+         CAST(NULL AS BIGINT) AS asked_at, CAST(NULL AS BIGINT) AS version
+  FROM seen
+  UNION ALL
+  SELECT x.mhost, x.rn,
+    CASE WHEN until_ts IS NULL OR processed_at > until_ts
+         THEN processed_at + CASE WHEN x.version IS NULL THEN 900 ELSE 14400 END ELSE until_ts END,
+    CASE WHEN until_ts IS NULL OR processed_at > until_ts THEN processed_at ELSE asked_at END,
+    CASE WHEN until_ts IS NULL OR processed_at > until_ts THEN x.version ELSE fold.version END
+  FROM fold JOIN seen x ON x.mhost = fold.mhost AND x.rn = fold.rn + 1
+)""",
     ),
     "unmatched_systems": _sql(
         """SELECT e AS arrival_seq, pos AS record_pos, key AS host_rcpn, rh AS raw_host_rcpn

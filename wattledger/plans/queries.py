@@ -201,6 +201,11 @@ def enrich_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def enrich_systems_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _readings(spark, sf_dir).select(*ARRIVAL, "raw_host_rcpn", "processed_at")
+    return enrich.enrich_systems_asof(stage(asked, "asked"), derived.system_versions(spark, sf_dir))
+
+
 def unmatched_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     missed = enrich.unmatched_systems(_readings(spark, sf_dir), derived.systems(spark, sf_dir))
     return missed.select(*ARRIVAL, "host_rcpn", "raw_host_rcpn")
@@ -357,6 +362,7 @@ QUERIES = {
     "energy_delta": energy_delta,
     "quality_events": quality_events,
     "enrich_systems": enrich_systems,
+    "enrich_systems_asof": enrich_systems_asof,
     "unmatched_systems": unmatched_systems,
     "registration_split": registration_split,
     "dlq_suppression": dlq_suppression,

@@ -137,3 +137,10 @@ MISS_STATE = T.StructType(
         T.StructField("expires_at", T.LongType()),
     ]
 )
+CACHE_STATE = T.StructType(
+    [
+        T.StructField("host_rcpn", T.StringType()),
+        T.StructField("asked_at", T.LongType()),
+        T.StructField("expires_at", T.LongType()),
+    ]
+)

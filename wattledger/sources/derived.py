@@ -169,6 +169,24 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _system_fields() -> list:
+    """Metadata of device `d` that its version number `updated_at` decides."""
+    return [
+        F.expr("concat('host-', d)").alias("host_rcpn"),
+        F.expr("concat('system-', d div 2)").alias("system_id"),
+        F.expr("concat('site-', d)").alias("site_id"),
+        F.expr("case when updated_at % 19 = 7 then null else updated_at % 7 <> 3 end").alias(
+            "is_registered"
+        ),
+        F.expr(
+            "element_at(array('America/New_York', 'America/Chicago', '', null, "
+            f"'{_EM_SPACE}'), cast(updated_at % 5 + 1 as int))"
+        ).alias("timezone"),
+        F.expr("concat('location-', updated_at)").alias("location_id"),
+        "updated_at",
+    ]
+
+
 def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of system metadata; every eleventh device is not known."""
     return (
@@ -176,20 +194,17 @@ def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("d % 11 <> 5")
         .groupBy("d", "event_type")
         .agg(F.max("e").alias("updated_at"))
-        .select(
-            F.expr("concat('host-', d)").alias("host_rcpn"),
-            F.expr("concat('system-', d div 2)").alias("system_id"),
-            F.expr("concat('site-', d)").alias("site_id"),
-            F.expr(
-                "case when updated_at % 19 = 7 then null else updated_at % 7 <> 3 end"
-            ).alias("is_registered"),
-            F.expr(
-                "element_at(array('America/New_York', 'America/Chicago', '', null, "
-                f"'{_EM_SPACE}'), cast(updated_at % 5 + 1 as int))"
-            ).alias("timezone"),
-            F.expr("concat('location-', updated_at)").alias("location_id"),
-            "updated_at",
-        )
+        .select(*_system_fields())
+    )
+
+
+def system_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 23rd upload comes with a new version of its device's metadata, valid from an hour later."""
+    return (
+        events(spark, sf_dir)
+        .where("d % 11 <> 5 and e % 23 = 4")
+        .withColumn("updated_at", F.col("e"))
+        .select(*_system_fields(), F.expr("us div 1000000 + 3600").alias("valid_from"))
     )
 
 
