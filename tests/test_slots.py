@@ -192,6 +192,6 @@ def test_hot_devices_from_uploads(spark, monkeypatch):
     from wattledger.plans import daily
 
     monkeypatch.setattr(daily, "HOT_SAMPLE", 1.0)
-    monkeypatch.setattr(daily.find_hot_keys, "__defaults__", (5, 1.0))
+    monkeypatch.setattr(daily.find_hot_keys, "__defaults__", (5, 1.0, ("arrival_seq", "record_pos")))
     sets = uploads(spark, series(F1) + second_day(C1))
     assert hot_devices(sets).keys == (F1,)

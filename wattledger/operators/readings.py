@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattledger.functions.channels import (
@@ -22,11 +22,14 @@ FUTURE_SECONDS = 30 * 60
 ARRIVAL = ("arrival_seq", "record_pos")
 
 
-def explode_records(record_sets: DataFrame) -> DataFrame:
+def explode_records(
+    record_sets: DataFrame, counts: Observation | None = None, malformed: str | None = None
+) -> DataFrame:
     """One row per record with its key `host_rcpn`.
 
     The first record without a usable key ends its record set: it and all later
-    records of the set are dropped.
+    records of the set are dropped. `counts` is told how many, as `unusable_key`. A record set for which the
+    column `malformed` holds gives one row without a record, under a key of its own.
     """
     hosts = F.transform("record", lambda r: host_rcpn(r["channel"]))
     first_bad = F.array_position(
@@ -34,22 +37,25 @@ def explode_records(record_sets: DataFrame) -> DataFrame:
     )
     usable = F.when(first_bad == 0, F.size("record")).otherwise((first_bad - 1).cast("int"))
     others = [c for c in record_sets.columns if c != "record"]
+    rows = F.slice(F.arrays_zip("record", F.col("_hosts").alias("host")), 1, F.col("_usable"))
+    if malformed is not None:
+        record = F.lit(None).cast(record_sets.schema["record"].dataType.elementType)
+        own = F.concat(F.lit("?"), F.col(ARRIVAL[0]).cast("string"))
+        alone = F.array(F.struct(record.alias("record"), own.alias("host")))
+        rows = F.when(F.col(malformed), alone).otherwise(rows)
     # The keys and their number get projections of their own, so each is computed once.
-    return (
-        record_sets.select(*others, "record", hosts.alias("_hosts"))
-        .select(*others, "record", "_hosts", usable.alias("_usable"))
-        .select(
-            *others,
-            F.posexplode(
-                F.slice(F.arrays_zip("record", F.col("_hosts").alias("host")), 1, F.col("_usable"))
-            ).alias("record_pos", "_row"),
-        )
-        .select(
-            *others,
-            "record_pos",
-            F.col("_row.record").alias("record"),
-            F.col("_row.host").alias("host_rcpn"),
-        )
+    found = record_sets.select(*others, "record", hosts.alias("_hosts")).select(
+        *others, "record", "_hosts", usable.alias("_usable")
+    )
+    if counts is not None:
+        left = F.sum(F.when(F.col("record").isNotNull(), F.size("record") - F.col("_usable")))
+        more = [] if malformed is None else [F.count_if(F.col(malformed)).alias("malformed")]
+        found = found.observe(counts, left.alias("unusable_key"), *more)
+    return found.select(*others, F.posexplode(rows).alias("record_pos", "_row")).select(
+        *others,
+        "record_pos",
+        F.col("_row.record").alias("record"),
+        F.col("_row.host").alias("host_rcpn"),
     )
 
 
@@ -67,12 +73,36 @@ def time_range_filter(
     records: DataFrame, now: Column | int | None = None, timestamp: str = "record.timestamp"
 ) -> DataFrame:
     """Keep readings from seven days ago to 30 minutes ahead, both ends included."""
+    seconds = epoch_seconds(F.col(timestamp))
+    first, last = _accepted(now)
+    return records.where(seconds.between(first, last))
+
+
+def _accepted(now: Column | int | None) -> tuple[Column, Column]:
     if now is None:
         now = F.unix_timestamp()
     elif not isinstance(now, Column):
         now = F.lit(now).cast("bigint")
-    seconds = epoch_seconds(F.col(timestamp))
-    return records.where(seconds.between(now - PAST_SECONDS, now + FUTURE_SECONDS))
+    return now - PAST_SECONDS, now + FUTURE_SECONDS
+
+
+def time_range_or_none(
+    records: DataFrame, now: Column | int | None = None, counts: Observation | None = None
+) -> DataFrame:
+    """As `time_range_filter`, but records whose time is missing or no number of seconds stay, for quarantine.
+
+    `counts` is told how many lie before and after the range (`too_old`, `too_new`), and how many have no time.
+    """
+    seconds = epoch_seconds(F.col("record.timestamp"))
+    first, last = _accepted(now)
+    if counts is not None:
+        records = records.observe(
+            counts,
+            F.count_if(seconds < first).alias("too_old"),
+            F.count_if(seconds > last).alias("too_new"),
+            F.count_if(seconds.isNull() & F.col("record").isNotNull()).alias("no_time"),
+        )
+    return records.where(seconds.isNull() | seconds.between(first, last))
 
 
 def prune_dates(

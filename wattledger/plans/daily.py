@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattledger.functions.channels import has_inverter_with_id
@@ -14,6 +14,7 @@ from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.operators.skew import NO_HOT_KEYS, ROWS_PER_TASK, HotKeys, find_hot_keys
 from wattledger.plans.outputs import energy_dataframe, partner_record, partner_telemetry
 from wattledger.session import discard, recorded, stage
+from wattledger.sources.decode import decode_flagged, record_json
 
 
 @dataclass(frozen=True)
@@ -40,7 +41,10 @@ HOT_SAMPLE = 0.01
 
 def hot_devices(record_sets: DataFrame) -> HotKeys:
     """Devices with more readings than one task should order, judged by a sample of uploads."""
-    sample = readings.explode_records(record_sets.sample(HOT_SAMPLE, seed=0))
+    sample = record_sets.sample(HOT_SAMPLE, seed=0)
+    if "record" not in sample.columns:
+        sample = decode_flagged(sample).where("not malformed")
+    sample = readings.explode_records(sample)
     with recorded() as paths:
         keys = stage(sample.select("host_rcpn", *readings.ARRIVAL), "hot_sample")
     found = find_hot_keys(keys, "host_rcpn", fraction=HOT_SAMPLE)
@@ -62,9 +66,10 @@ def split_and_correct(
 
 
 def _narrowed(classified: DataFrame) -> DataFrame:
-    """What later steps read: duplicates leave no trace, and only deltas need the record."""
-    return classified.where(F.col("slot_class") != slots.DUPLICATE).withColumn(
-        "record", F.when(F.col("slot_class") == slots.EMIT, F.col("record"))
+    """What later steps read: duplicates leave no trace, and only deltas and readings without a time need the record."""
+    kind = F.col("slot_class")
+    return classified.where(kind.isNull() | (kind != slots.DUPLICATE)).withColumn(
+        "record", F.when(kind.isNull() | (kind == slots.EMIT), F.col("record"))
     )
 
 
@@ -75,7 +80,8 @@ def _classify(rows: DataFrame, state: DataFrame | None, hot: HotKeys) -> DataFra
 
     def table(chunks: DataFrame) -> DataFrame:
         # A reading not accepted within its chunk is not accepted at all.
-        accepted = F.col("previous").isNull() | (F.col("slot") > F.col("previous.slot"))
+        slot = F.col("slot")
+        accepted = F.col("previous").isNull() | slot.isNull() | (slot > F.col("previous.slot"))
         return stage(chunks.withColumn("record", F.when(accepted, F.col("record"))), "chunks")
 
     return _narrowed(slots.slot_classify(rows, state, hot, table))
@@ -116,6 +122,7 @@ class Outputs:
         paths: list[str],
         clock: int | None = None,
         bounded: bool = False,
+        counts: tuple[Observation, ...] = (),
     ):
         self._classified = classified
         self._looked_up = looked_up
@@ -128,6 +135,7 @@ class Outputs:
         self._paths = paths
         self._clock = clock
         self._bounded = bounded
+        self._counts = counts
 
     def close(self) -> None:
         """Delete the staged tables. The outputs, and a state not yet written, end with them."""
@@ -205,6 +213,24 @@ class Outputs:
     def quality(self) -> DataFrame:
         return slots.quality_events(self._classified)
 
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        """What could not be read: arrival_seq, record_pos, reason, and the payload or the record as JSON."""
+        bad = self._classified.where("slot_class is null")
+        payload = F.col("payload") if "payload" in bad.columns else F.lit(None).cast("string")
+        malformed = F.col("record").isNull()
+        return bad.select(
+            *readings.ARRIVAL,
+            F.when(malformed, "malformed").otherwise("no_time").alias("reason"),
+            F.when(malformed, payload).otherwise(record_json(F.col("record"))).alias("body"),
+        )
+
+    @cached_property
+    def dropped(self) -> dict[str, int]:
+        """How many uploads (`malformed`) and records were left out, by reason, counted in the passes of the run:
+        `unusable_key`, `no_time`, `too_old`, `too_new`, and `not_valid` for deltas of known devices."""
+        return {k: v or 0 for c in self._counts for k, v in c.get.items()}
+
     @cached_property
     def state(self) -> State:
         """State for the next run. Where the clock of the run gave the times of the misses, entries it
@@ -239,16 +265,32 @@ def run(
     and the enriched deltas, which the check of inverted meters reads twice. `now` is the clock
     of the whole run, by default the time of the call. `processed_at` (whole seconds) is taken
     from the record sets where they have it, else from the clock. Local mode leaves out the
-    time range and the validation. Strict fails on readings without counters, which otherwise
-    pass with NULLs. `share` suits callers that write several outputs. `ess_date_column` names
-    a partition of the reference readings by UTC day.
+    time range and the validation.
+
+    `record_sets` may have a JSON `payload` instead of `sensorId` and `record`. Payloads that cannot be
+    decoded go to `Outputs.quarantine`, as do records whose time is no number. Strict fails on readings
+    without counters, which otherwise pass with NULLs. `share` suits callers that write several outputs.
+    `ess_date_column` names a partition of the reference readings by UTC day.
     """
     if now is None:
         now = int(time.time())
     with recorded() as paths:
         if hot is None:
             hot = hot_devices(record_sets)
-        rows = to_readings(record_sets, now, local_mode)
+        exploded, timed, known_deltas = (Observation() for _ in range(3))
+        counts = [exploded, known_deltas]
+        flag = None
+        if "record" not in record_sets.columns:
+            flag = "malformed"
+            record_sets = decode_flagged(record_sets)
+            record_sets = record_sets.withColumn("payload", F.when(F.col(flag), F.col("payload")))
+        rows = readings.explode_records(record_sets, exploded, flag)
+        if not local_mode:
+            rows = readings.time_range_or_none(rows, now, timed)
+            counts.insert(1, timed)
+        rows = readings.with_raw_reading(rows)
+        if flag:
+            rows = rows.drop(flag)
         passed = None
         clock = (now if isinstance(now, Column) else F.lit(now)).cast("bigint")
         if "processed_at" not in rows.columns:
@@ -269,6 +311,8 @@ def run(
         if not local_mode and not isinstance(now, Column):
             ess = ct.prune_ess(ess, now, ess_date_column)
         looked_up = ct.ess_lookup(looked_up, ess, ct.comparable())
+        invalid = F.lit(False) if local_mode else F.col("system_host_rcpn").isNotNull() & ~F.col("is_valid")
+        looked_up = looked_up.observe(known_deltas, F.count_if(invalid).alias("not_valid"))
         looked_up = stage(looked_up.drop("ess_imported_ws", "ess_exported_ws"), "looked_up")
     return Outputs(
         classified,
@@ -282,6 +326,7 @@ def run(
         list(paths),
         passed,
         bounded=not local_mode and not isinstance(now, Column),
+        counts=tuple(counts),
     )
 
 

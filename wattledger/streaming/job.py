@@ -7,8 +7,12 @@ report about every five minutes, hence a batch changes most of the state anyway
 state is written as a whole.
 
 A batch writes to folders named after its id, and its state to the one of two folders that
-it did not read; its clock is written down first. Repeating a batch after a failure therefore
-gives the same outcome. The tables a batch stages are deleted when it ends.
+it did not read; its clock and, for tables given as `FileTable`, the files it reads are written down
+first. Repeating a batch after a failure therefore gives the same outcome, whatever has been added to those
+tables meanwhile. The tables a batch stages are deleted when it ends.
+
+Uploads may come as JSON payloads. Those that cannot be decoded, and records whose time is no number, go to the
+output `quarantine`, and the others go on; `dropped` counts what each batch left out, and why.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from wattledger.plans import daily
 from wattledger.schema import CT_STATE, MISS_STATE, SLOT_STATE
 from wattledger.session import exists, first_time
 from wattledger.sources import sinks
+from wattledger.sources.snapshots import FileTable
 
 WRITERS = {
     "energy": sinks.write_energy,
@@ -32,6 +37,7 @@ WRITERS = {
     "dead_letters": sinks.write_dead_letters,
     "quality": sinks.write_table,
     "metrics": sinks.write_table,
+    "quarantine": sinks.write_table,
 }
 
 _STATES = {"slots": SLOT_STATE, "ct": CT_STATE, "misses": MISS_STATE}
@@ -39,7 +45,8 @@ _STATES = {"slots": SLOT_STATE, "ct": CT_STATE, "misses": MISS_STATE}
 
 @dataclass
 class MicroBatchJob:
-    """What one micro-batch does. `systems` and `ess` are called anew for each batch.
+    """What one micro-batch does. `systems` and `ess` are read anew for each batch: a `FileTable` as it was when
+    the batch first began, any other function as it is.
 
     `outputs` names the tables to write under `path`, `writers` other writers for some of them, such
     as `sinks.message_writer`. State is kept for ever unless `state_max_age` (seconds before the
@@ -47,8 +54,8 @@ class MicroBatchJob:
     """
 
     path: str
-    systems: Callable[[SparkSession], DataFrame]
-    ess: Callable[[SparkSession], DataFrame]
+    systems: FileTable | Callable[[SparkSession], DataFrame]
+    ess: FileTable | Callable[[SparkSession], DataFrame]
     now: int | None = None
     outputs: tuple[str, ...] = tuple(WRITERS)
     state_max_age: int | None = None
@@ -81,12 +88,19 @@ class MicroBatchJob:
         before = self._read_state(spark, batch_id)
         now = self._clock(spark, batch_id)
         options = {"share": True, **self.options}
-        result = daily.run(batch, self.systems(spark), self.ess(spark), now, before, **options)
+        tables = [self._table(spark, name, batch_id) for name in ("systems", "ess")]
+        result = daily.run(batch, *tables, now, before, **options)
         try:
             self._write(result, batch_id, now)
         finally:
             result.close()
 
+    def _table(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
+        source = getattr(self, name)
+        if isinstance(source, FileTable):
+            return source.pinned(spark, f"{self.path}/inputs/{name}/batch={batch_id}")
+        return source(spark)
+
     def _clock(self, spark: SparkSession, batch_id: int) -> int:
         """The clock of a batch, written down so that a repeated batch has the same one."""
         if self.now is not None:
@@ -99,6 +113,10 @@ class MicroBatchJob:
             writers[name](
                 getattr(result, name), f"{self.path}/{name}/batch_id={batch_id}", "overwrite"
             )
+        counted = result._looked_up.sparkSession.createDataFrame(
+            sorted(result.dropped.items()), "reason string, n bigint"
+        )
+        sinks.write_table(counted.coalesce(1), f"{self.path}/dropped/batch_id={batch_id}", "overwrite")
         after = result.state
         if self.state_max_age is not None:
             after = daily.expire(after, now - self.state_max_age)
