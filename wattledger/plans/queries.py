@@ -26,31 +26,35 @@ def _exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.explode_records(derived.record_sets(spark, sf_dir))
 
 
-def _readings(spark: SparkSession, sf_dir: str, now: int | None = None) -> DataFrame:
-    """All readings; with a clock those within the time range, as in the job."""
-    return daily.to_readings(derived.record_sets(spark, sf_dir), now, local_mode=now is None)
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of any time: the time range is a query of its own."""
+    return daily.to_readings(derived.record_sets(spark, sf_dir), local_mode=True)
 
 
-def _classified(spark: SparkSession, sf_dir: str, now: int | None = None) -> DataFrame:
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = daily.hot_devices(derived.record_sets(spark, sf_dir))
-    return slots.slot_classify(_readings(spark, sf_dir, now), hot=hot)
+    return slots.slot_classify(_readings(spark, sf_dir), hot=hot)
 
 
-def _deltas(spark: SparkSession, sf_dir: str, now: int | None = None) -> DataFrame:
-    return slots.energy_delta(_classified(spark, sf_dir, now))
+def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slots.energy_delta(_classified(spark, sf_dir))
+
+
+def _known(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of known devices with metadata. The systems are a table, so that AQE can split a large device."""
+    systems = stage(enrich.latest_systems(derived.systems(spark, sf_dir)), "systems")
+    return enrich.enrich_systems(rows, systems, reduced=True)
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid deltas with metadata and reference outcome, staged as in the whole job."""
-    known = readings.valid_records(
-        enrich.enrich_systems(_deltas(spark, sf_dir, NOW), derived.systems(spark, sf_dir))
-    )
+    known = readings.valid_records(_known(_deltas(spark, sf_dir), spark, sf_dir))
     return stage(ct.ess_lookup(known, derived.ess_energy(spark, sf_dir)), "enriched")
 
 
 def _misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmatched deltas after suppression."""
-    missed = enrich.unmatched_systems(_deltas(spark, sf_dir, NOW), derived.systems(spark, sf_dir))
+    missed = enrich.unmatched_systems(_deltas(spark, sf_dir), derived.systems(spark, sf_dir))
     return throttle.suppress_misses(stage(missed, "missed"))
 
 
@@ -189,7 +193,7 @@ def quality_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = enrich.enrich_systems(_readings(spark, sf_dir), derived.systems(spark, sf_dir))
+    known = _known(_readings(spark, sf_dir), spark, sf_dir)
     return known.select(
         *ARRIVAL,
         "system_host_rcpn",
@@ -212,7 +216,7 @@ def unmatched_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registration_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = enrich.enrich_systems(_readings(spark, sf_dir), derived.systems(spark, sf_dir))
+    known = _known(_readings(spark, sf_dir), spark, sf_dir)
     return readings.pass_unregistered(known).select(
         *ARRIVAL, "system_host_rcpn", "is_registered", "swapped"
     )
@@ -256,7 +260,7 @@ def not_found_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _as_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading of a registered system as if it were a delta: several devices per
     system, late rows, and one system with a third of all rows."""
-    known = enrich.enrich_systems(_readings(spark, sf_dir), derived.systems(spark, sf_dir))
+    known = _known(_readings(spark, sf_dir), spark, sf_dir)
     return readings.registered(known).withColumn(
         "timestamp_utc", slot_floor(F.col("event_timestamp")) - 1
     )
