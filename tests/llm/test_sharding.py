@@ -64,3 +64,20 @@ def test_map_versions_are_stored_and_edited(spark, docs_of, tmp_path):
     again = _rows(S.shard_documents(docs, 4, path))
     assert {r.map_version for r in again} == {2}
     assert S.load_map(spark, path).shards == S.load_map(spark, path, 1).shards
+
+
+def test_copies_without_an_id_do_not_fill_one_shard(docs_of):
+    rows = [(None, "the same text of some length", "s")] * 7_000 + [(i, "t" * (i % 60), "s") for i in range(13_000)]
+    found = _rows(S.shard_documents(docs_of(rows)))
+    assert len(found) == len(rows)
+    load = _check(found, 16)
+    assert max(load.values()) - min(load.values()) <= 0.01 * sum(load.values()) / 16
+    by_slot = Counter(r.virtual_slot for r in found)
+    assert max(by_slot.values()) < 100
+
+
+def test_records_keep_their_virtual_slot(docs_of):
+    rows = [(i, f"text {i}", "s") for i in range(2_000)]
+    first = {r.doc_id: r.virtual_slot for r in _rows(S.shard_documents(docs_of(rows)))}
+    again = {r.doc_id: r.virtual_slot for r in _rows(S.shard_documents(docs_of(rows[::-1][:1_500]), 5))}
+    assert all(first[i] == slot for i, slot in again.items())

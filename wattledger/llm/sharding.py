@@ -8,10 +8,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wattledger.session import exists
+
 from .common import stage
 
 #: Virtual slots. The number never changes over the life of a data set.
@@ -19,6 +21,7 @@ SLOTS = 4096
 #: Shards may differ by this part of their mean before a rebalancing moves anything more.
 TOLERANCE = 1e-4
 MAP_SCHEMA = "version int, slot int, shard int"
+_RECORD = ("doc_id", "size", "text_crc32")
 
 
 @dataclass(frozen=True)
@@ -52,18 +55,35 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """`doc_id`, `size`, `text_crc32` and `virtual_slot` of each record.
+    """`doc_id`, `size`, `text_crc32` and `virtual_slot` of each record, as a table.
 
-    The whole record is hashed, so that rows without an id spread too.
+    The whole record is hashed, so that rows without an id spread too. A record that is repeated more often than a
+    quarter of a slot's share of the rows is spread by a row number as well, or its slot could not be levelled;
+    all others depend on the record alone.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     sized = docs.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    slot = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(slots)).cast("int")
-    return sized.withColumn("virtual_slot", slot)
+
+    def slot(*more: str) -> Column:
+        return F.pmod(F.xxhash64(*_RECORD, *more), F.lit(slots)).cast("int")
+
+    recs = stage(sized.withColumn("virtual_slot", slot()), "slots")
+    counts = recs.groupBy(*_RECORD).agg(F.count(F.lit(1)).alias("copies"))
+    most = recs.count() / (4 * slots)
+    repeated = stage(counts.where((F.col("copies") > most) & (F.col("copies") > 1)).drop("copies"), "repeated")
+    if repeated.isEmpty():
+        return recs.drop("row")
+    # At most four for each slot, by their number of copies.
+    listed = F.broadcast(repeated.select(*[F.col(c).alias(f"_{c}") for c in _RECORD], F.lit(True).alias("_listed")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _RECORD]
+    spread = F.when(F.col("_listed"), slot("row")).otherwise(F.col("virtual_slot"))
+    recs = recs.join(listed, same, "left").withColumn("virtual_slot", spread)
+    return stage(recs.select(*_RECORD, "virtual_slot"), "slots")
 
 
 def slot_loads(recs: DataFrame, slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
@@ -140,17 +160,12 @@ def shard_documents(docs: DataFrame, shards: int = 16, map_path: str | None = No
     map and the rebalanced version 1; a run over a stored map edits its latest version.
     """
     spark = docs.sparkSession
-    recs = stage(records(docs), "slots")
+    recs = records(docs)
     size, rows = slot_loads(recs)
-    stored = map_path is not None and _exists(spark, map_path)
+    stored = map_path is not None and exists(spark, map_path)
     before = load_map(spark, map_path) if stored else initial_map(shards)
     after = rebalance(before, size, shards)
     if map_path is not None:
         for version in (after,) if stored else (before, after):
             save_map(spark, version, map_path)
     return assign(recs, after, rows).withColumn("map_version", F.lit(after.version))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
