@@ -39,6 +39,8 @@ STEPS, RATE, DECAY = 40, 0.3, 1e-4
 TOKENS_AT_ONCE = 2_000_000
 #: Scores by word are forgotten beyond so many words.
 REMEMBERED = 500_000
+#: Log odds below even ones at which a document without evidence stays.
+UNDECIDED = 1e-3
 
 
 def tokens(text: str) -> list[str]:
@@ -264,7 +266,11 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def fit(rows: pd.DataFrame) -> Field:
-    """Fit on rows of text, y and weight. Without rows of both classes every token is clean."""
+    """Fit on rows of text, y and weight. Without rows of both classes, or words that mark one, every token is clean.
+
+    What bears no evidence is never called toxic, whatever the share of toxic labels: without toxic words all
+    documents get that share as score, but less than 0.5.
+    """
     texts, y = rows["text"].tolist(), rows["y"].to_numpy(np.int64)
     weight = rows["weight"].to_numpy(np.float64)
     bad = toxic_words(texts, y) if len(set(y.tolist())) == 2 else set()
@@ -273,7 +279,7 @@ def fit(rows: pd.DataFrame) -> Field:
     if not bad:
         weights[bias] = -30.0
         rate = float(np.average(y, weights=weight)) if len(y) else 0.0
-        return Field(weights, transitions, 0.0, math.log((rate + 1e-3) / (1 - rate + 1e-3)))
+        return Field(weights, transitions, 0.0, min(math.log((rate + 1e-3) / (1 - rate + 1e-3)), -UNDECIDED))
     used = np.concatenate([np.flatnonzero(y == label)[:n] for label, n in FIELD_ROWS.items()])
     docs = [list(map(sys.intern, tokens(texts[i]))) for i in used]
     vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
@@ -305,6 +311,9 @@ def fit(rows: pd.DataFrame) -> Field:
     model = Field(weights, transitions, 1.0, 0.0)
     seen = [model.evidence([model.scores(tokens(t)) for t in texts[i : i + 500]]) for i in range(0, len(texts), 500)]
     slope, base = _calibrate(np.concatenate(seen), y, weight / weight.mean())
+    if base - 20 * slope >= 0:
+        # So many toxic labels lack evidence that a text without any would be called toxic: ask for even odds.
+        slope, base = max(slope, UNDECIDED), -UNDECIDED
     return Field(weights, transitions, slope, base)
 
 
