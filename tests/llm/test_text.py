@@ -104,12 +104,50 @@ def test_main_text(page, text):
     assert H.main_text(page) == text
 
 
+PLAIN = "".join(f"<p>Paragraph number {i} of plain text, long enough to weigh something.</p>" for i in range(8))
+READ = "\n".join(f"Paragraph number {i} of plain text, long enough to weigh something." for i in range(8))
+
+
+@pytest.mark.parametrize(
+    "container",
+    [
+        "<div class='layout has-sidebar'>{}</div>",
+        "<div class='post tags-news'>{}</div>",
+        "<section class='social-science'>{}</section>",
+        "<div class='search-result-page'>{}</div>",
+        "<article class='story ad-free'>{}</article>",
+        "<div class='wide menu-open'><div class='no-ads'>{}</div></div>",
+    ],
+)
+def test_a_class_word_does_not_empty_a_page(container):
+    beside = "<nav>menu</nav><div class='sidebar'>some words <a href=/>and many more words of a link</a></div>"
+    assert H.main_text(f"<body>{beside}{container.format(PLAIN)}<footer>f</footer></body>") == READ
+
+
+def test_light_containers_and_comments_stay_out():
+    page = f"<div class=promo>buy this now</div>{PLAIN}<div class=comments>{PLAIN * 3}</div>"
+    assert H.main_text(page) == READ
+    assert H.main_text(f"<article>{PLAIN}</article><div class=sidebar>{PLAIN * 3}</div>") == READ
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<p class=\"x", "<script>", "<!--", "</script ", "<", "<p class='ad'>", "&amp"])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_time_grows_with_the_page(piece, end):
+    import time
+
+    page = "<p>start</p>" + piece * (1_000_000 // len(piece)) + end
+    began = time.perf_counter()
+    H.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
 def test_surge_and_dive():
     assert H.stretches([0, 0, 90, 5, 0, 70, 0, 0, 0, 4, 0, 0], 80) == [(2, 6)]
     assert H.stretches([], 0) == []
 
 
 def test_extract_rows(spark):
+    assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
     rows = [(1, "u", ARTICLE, 7), (None, None, None, 7), (1, "u", ARTICLE, 7)]
     got = H.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text long")).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, "u", TEXT, len(TEXT)), (None, None, "", 0), (1, "u", TEXT, len(TEXT))], key=str)
@@ -219,6 +257,17 @@ def test_context_sums_against_neighbours():
     assert np.allclose(Q.context_sums(flat, places, signs).reshape(want.shape), want)
 
 
+@pytest.mark.parametrize("seed, share", [(1, 0.55), (2, 1.0), (3, 0.9)])
+def test_without_evidence_everything_is_kept(spark, docs_of, seed, share):
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 400, 30)) for _ in range(200)]
+    docs = docs_of([(i, t, "s") for i, t in enumerate(texts)] + [(900, None, "s"), (901, "", None)])
+    marks = [(i, 0, int(rng.random() < share)) for i in range(200)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    assert T.drop_toxic(docs, labels).count() == 202
+    assert T.drop_toxic(docs_of([]), labels).count() == 0
+
+
 def test_toxic_words_of_texts_with_one_header():
     rng = np.random.default_rng(4)
     header, vocabulary = "licensed under the same terms as before ", [f"w{i}" for i in range(400)]

@@ -2,7 +2,9 @@
 
 Markup is stripped into lines, one per block. The text lengths of a few neighbouring lines are summed; where the sums
 rise from the floor (surge) the article begins, where they fall back to it (dive) it ends. Lines of declared
-boilerplate, and link text, weigh nothing; lines that the page declares as its article weigh more than others.
+boilerplate, and link text, weigh nothing; lines that the page declares as its article weigh more than others. A
+container that only a class word marks as boilerplate is opened where no declared article outweighs it and it holds
+more text than all that is left of the page.
 """
 
 from __future__ import annotations
@@ -57,6 +59,8 @@ class Line:
     title: bool = False
     dropped: bool = False
     text: str = ""
+    place: int = -1  # where a container begins that was dropped for a class word
+    hidden: int = 0  # its text outside links
 
 
 def _marks(attributes: str) -> set[str]:
@@ -66,11 +70,15 @@ def _marks(attributes: str) -> set[str]:
     return found & MARKS
 
 
-def lines(page: str) -> list[Line]:
-    """Lines of a page in order. A stretch of boilerplate is one empty line, whatever it holds."""
+def lines(page: str, opened: frozenset[int] = frozenset()) -> list[Line]:
+    """Lines of a page in order. A stretch of boilerplate is one empty line, whatever it holds.
+
+    Containers that begin at the places `opened` are no boilerplate, whatever their class.
+    """
     out, line = [], Line()
     at = depth = articles = link = 0
     dropping, reason = "", ""  # the tag whose end closes the boilerplate
+    stop = page.rfind(">") + 1  # behind it nothing can be a tag, and no search for one needs to look
 
     def end_line():
         nonlocal line
@@ -81,28 +89,35 @@ def lines(page: str) -> list[Line]:
         line = Line(article=articles > 0)
 
     def add(text: str):
-        if not dropping and text:
+        if dropping:
+            if not link:
+                out[-1].hidden += len(text.strip())
+        elif text:
             line.parts.append(text)
             if link:
                 line.links += len(text.strip())
 
     while True:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, stop)
         if not m:
             add(page[at:])
             break
         add(page[at : m.start()])
         at = m.end()
+        if at == stop and m[0].startswith("<!--") and not m[0].endswith("-->"):
+            break  # a comment that is never closed
         name = (m[2] or m[5] or "").lower()
         if not name:
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if name in RAW and not closing:
-            close = re.compile(rf"(?i)</{name}\b[^>]*>").search(page, at)
+            close = re.compile(rf"(?i)</{name}\b[^>]*>").search(page, at, stop)
             at = close.end() if close else len(page)
             continue
-        marks = set() if closing else _marks(attributes) if attributes else set()
+        marks = set() if closing or not attributes or m.start() in opened else _marks(attributes)
         if dropping:
+            if name == "a":
+                link = 0 if closing else 1
             if name in ("article", "main") and not closing and not marks and reason != "comments" and not articles:
                 dropping = ""  # boilerplate that was never closed ends where the article begins
             elif name == "body" and dropping == "head":
@@ -117,8 +132,9 @@ def lines(page: str) -> list[Line]:
             own_header = name == "header" and articles and not marks - {"header"}
             if (name in DROPPED or marks) and not own_header and not attributes.endswith("/"):
                 end_line()
-                out.append(Line(dropped=True, article=articles > 0))
-                dropping, depth = name, 1
+                by_class = m.start() if name not in DROPPED and not marks & COMMENTS else -1
+                out.append(Line(dropped=True, article=articles > 0, place=by_class))
+                dropping, depth, link = name, 1, 0
                 reason = "comments" if marks & COMMENTS else "other"
                 continue
         if name == "br":
@@ -159,6 +175,21 @@ def _weight(line: Line) -> int:
     return max(0, len(line.text) - line.links) * (DECLARED if line.article else 1)
 
 
+def _opened(page: str) -> list[Line]:
+    """Lines of a page. The heaviest container that was dropped for a class word is opened, again and again, while it
+    holds more than all lines that are left and these hold no declared article. Each time the text that is left at
+    least doubles, so a page is read a logarithmic number of times."""
+    opened: frozenset[int] = frozenset()
+    while True:
+        found = lines(page, opened)
+        left = sum(map(_weight, found))
+        heaviest = max((x for x in found if x.place >= 0), key=lambda x: x.hidden, default=None)
+        declared = sum(_weight(x) for x in found if x.article)
+        if heaviest is None or heaviest.hidden <= left or declared > SURGE:
+            return found
+        opened |= {heaviest.place}
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by a line end; empty if there is none.
 
@@ -166,7 +197,7 @@ def main_text(page: str | None) -> str:
     article does not hang on to it. A declared stretch begins with its first line, as a surge follows; it is kept
     whatever its part, and holds its few link lines.
     """
-    found = lines(page or "")
+    found = _opened(page or "")
     inside = [_weight(x) if x.article else 0 for x in found]
     outside = [0 if x.article else _weight(x) for x in found]
     declared = [(s, e) for s, e in stretches(inside, 0) if any(sum(inside[i : i + WINDOW]) > SURGE for i in range(s, e))]
