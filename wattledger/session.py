@@ -62,6 +62,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    if not exists(spark, folder):
+        return []
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return [status.getPath().getName() for status in found]
+
+
 def first_time(spark: SparkSession, folder: str) -> datetime:
     """The time at which this was first called for the folder, which keeps it."""
     if not exists(spark, f"{folder}/_SUCCESS"):

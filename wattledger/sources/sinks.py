@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions.timeslots import utc_date
+from wattledger.sources.keyed_table import KeyedTable
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -77,3 +78,16 @@ def message_writer(fmt: str = "kafka", **options: str) -> Callable[[DataFrame, s
             out.mode(mode).save(path)
 
     return write
+
+
+def upsert_writer(table: KeyedTable) -> Callable[[DataFrame, str, str], None]:
+    """Writer into a keyed table for `MicroBatchJob.writers`, with the id of the batch as version.
+
+    For `dead_letters` the key is `dlq_key`: a second letter under a key replaces the first. Of two in one batch the
+    one with the greater body stays, whichever came first.
+    """
+
+    def write(df: DataFrame, path: str, mode: str = "append") -> None:
+        table.put(df, int(path.rpartition("=")[2]))
+
+    return write
