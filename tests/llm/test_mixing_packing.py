@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wattledger.llm import mixing as M
 from wattledger.llm import packing as P
@@ -147,3 +148,12 @@ def test_packing_is_an_exact_round_trip(spark, docs_of, odd_rows):
         got[parts[0].doc_id, zlib.crc32(ids.tobytes()), at] += 1
     assert got == want
     assert P.pack_documents(docs_of([])).count() == 0
+
+
+def test_very_long_runs_of_white_space(docs_of):
+    texts = {1: " " * 1_000_001 + "x", 2: "a\n" + "\t" * 4_096, 3: "b" + " " * 4_095 + "c"}
+    whole = Tokenizer.from_file(P.public_files()[0])
+    found: dict[int, int] = {}
+    for r in P.pack_documents(docs_of([(i, t, "s") for i, t in texts.items()])).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + r.length
+    assert found == {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts.items()}

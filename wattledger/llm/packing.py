@@ -26,6 +26,8 @@ WINDOW = 2048
 PIECE = 512
 #: Tokens and pieces of a block, on average.
 BLOCK_TOKENS, BLOCK_PIECES = 96 * WINDOW, 8_000
+#: White space runs from which on the fast encoder is not asked.
+LONG_RUN = 4_096
 #: Id after the last token of a document.
 END_ID = 1
 
@@ -37,7 +39,7 @@ def encoder(vocabulary: str, ranks: str, pattern: str):
     """Function from texts to arrays of ids.
 
     The two files hold one vocabulary: the rank file is encoded much faster, and texts that name a special token or
-    that it refuses go to the other.
+    hold a very long run of white space, in which its pattern would backtrack too deep, go to the other.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -48,17 +50,18 @@ def encoder(vocabulary: str, ranks: str, pattern: str):
     # Where no white space follows another, the branch that looks ahead splits nothing; without it matching is faster.
     single = pattern.replace(r"|\s+(?!\S)", "")
     faster = tiktoken.Encoding("single", pat_str=single, mergeable_ranks=table, special_tokens={})
-    double = re.compile(r"\s\s")
+    double, long = re.compile(r"\s\s"), re.compile(rf"\s{{{LONG_RUN}}}")
     whole = Tokenizer.from_file(vocabulary)
     special = re.compile("|".join(re.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or "(?!)")
 
     def encode(text: str) -> list[int]:
         if special.search(text):
             return whole.encode(text, add_special_tokens=False).ids
-        try:
-            return (fast if double.search(text) else faster).encode_ordinary(text)
-        except Exception:  # the pattern engine gives up on very long runs of one kind
-            return whole.encode(text, add_special_tokens=False).ids
+        if not double.search(text):
+            return faster.encode_ordinary(text)
+        if not long.search(text):
+            return fast.encode_ordinary(text)
+        return whole.encode(text, add_special_tokens=False).ids
 
     return encode
 
