@@ -1,0 +1,188 @@
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wattledger.sources import shard_log as L
+from wattledger.sources.record_sets import from_kafka
+
+
+def _messages(spark, rows):
+    return spark.createDataFrame(rows, "key string, at bigint, value string")
+
+
+def _append(spark, path, rows, shards=3, **kw):
+    L.append_messages(_messages(spark, rows), path, shards, ("at",), timestamp=F.timestamp_seconds("at"), **kw)
+
+
+def _rows(n, seed=0, start=0):
+    """A third of the rows have one key, some none; times repeat."""
+    rng = random.Random(seed)
+    keys = ["hot"] * 4 + ["a", "b", "c", "d", "e", "f", None, ""]
+    return [(rng.choice(keys), start + rng.randrange(n), f"{seed}-{i}") for i in range(n)]
+
+
+def _placed(found):
+    shards = {}
+    for r in sorted(found, key=lambda r: (r.partition, r.offset)):
+        shards.setdefault(r.partition, []).append(r)
+    return shards
+
+
+def _run(spark, path, out, checkpoint, **kw):
+    query = (
+        L.stream_messages(spark, path, **kw)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .start(out)
+    )
+    try:
+        query.processAllAvailable()
+        return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+
+
+def _values(spark, out):
+    return sorted(r.value for r in spark.read.schema(L.SCHEMA).parquet(out).collect())
+
+
+def test_positions_follow_the_order_of_each_shard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "TASK_ROWS", 50)
+    path, rows = str(tmp_path / "log"), _rows(400)
+    _append(spark, path, rows[:250])
+    _append(spark, path, rows[250:])
+    found = L.read_messages(spark, path).collect()
+    assert sorted(r.value for r in found) == sorted(v for _, _, v in rows)
+    for placed in _placed(found).values():
+        assert [r.offset for r in placed] == list(range(len(placed)))
+    # One key is in one shard, and within a write its rows are in order.
+    assert len({r.partition for r in found if r.key == "hot"}) == 1
+    for part in (rows[:250], rows[250:]):
+        mine = {v: at for _, at, v in part}
+        for placed in _placed(found).values():
+            times = [mine[r.value] for r in placed if r.value in mine]
+            assert times == sorted(times)
+
+
+def test_a_large_key_is_written_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _append(spark, path, [("hot", i, str(i)) for i in range(500)])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    segments = L.Log(path).last()["segments"]
+    assert len(segments) > 1 and len({s.shard for s in segments}) == 1
+    assert [r.value for r in L.read_messages(spark, path).orderBy("offset").collect()] == [str(i) for i in range(500)]
+
+
+def test_segments_are_bounded(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(L, "SEGMENT_ROWS", 4)
+    monkeypatch.setattr(L.TaskContext, "get", staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})()))
+    shards = [0] * 9 + [1] * 3 + [2]
+    table = pa.table(
+        [pa.array(shards, pa.int32()), pa.array([0] * 13), pa.array(range(13), L._TIME), pa.array(list("k" * 13)), pa.array(list("abcdefghijklm"))],
+        names=L._READ.names,
+    )
+    done = L._Writer(str(tmp_path), 3, None, None).write(iter(table.to_batches(max_chunksize=6)))
+    assert [(s.shard, s.rows, s.until) for s in done.segments] == [(0, 4, 3), (0, 4, 7), (0, 1, 8), (1, 3, 11), (2, 1, 12)]
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for batch in (0, 1, 1):
+        _append(spark, path, _rows(40, batch), writer="w", batch=batch)
+    assert L.read_messages(spark, path).count() == 80
+    files = {s.file for v in L.Log(path).versions() for s in L.Log(path).at(v)["segments"]}
+    assert {p.name for p in (tmp_path / "log" / "segments").glob("*.parquet")} == files
+    _append(spark, path, _rows(5, 9), writer="other", batch=0)
+    assert L.read_messages(spark, path).count() == 85
+    with pytest.raises(Exception, match="already written batch 1"):
+        _append(spark, path, _rows(40, 0), writer="w", batch=0)
+    with pytest.raises(Exception, match="3 shards, not 4"):
+        _append(spark, path, _rows(4), shards=4)
+    assert L.read_messages(spark, path).count() == 85
+
+
+def test_a_failed_write_leaves_no_trace(spark, tmp_path):
+    path = str(tmp_path / "log")
+    _append(spark, path, _rows(10))
+    bad = _messages(spark, _rows(100, 1)).withColumn(
+        "value", F.when(F.col("at") == 50, F.raise_error(F.lit("bad")).cast("string")).otherwise(F.col("value"))
+    )
+    bad = bad.unionByName(_messages(spark, [("a", 50, "x")]).withColumn("value", F.raise_error(F.lit("bad")).cast("string")))
+    with pytest.raises(Exception, match="bad"):
+        L.append_messages(bad, path, 3, ("at",))
+    assert L.read_messages(spark, path).count() == 10
+
+
+def test_empty_log_and_empty_write(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert L.read_messages(spark, path).count() == 0
+    _append(spark, path, [])
+    assert L.read_messages(spark, path).count() == 0
+
+
+def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+    path, out, point = (str(tmp_path / n) for n in ("log", "out", "point"))
+    _append(spark, path, _rows(30, 1))
+    _run(spark, path, out, point)
+    _append(spark, path, _rows(20, 2))
+    _append(spark, path, _rows(10, 3))
+    _run(spark, path, out, point)
+    assert _values(spark, out) == sorted(r.value for r in L.read_messages(spark, path).collect())
+
+
+def test_rows_of_a_shard_are_bounded_over_a_restart(spark, tmp_path):
+    path, out, point, note = (str(tmp_path / n) for n in ("log", "out", "point", "note"))
+    _append(spark, path, _rows(60, 1))
+    most = max(L.Log(path).last()["ends"].values())
+    sizes = _run(spark, path, out, point, rows_per_shard=5, progress=note)
+    assert max(sizes) <= 15 and len(sizes) == -(-most // 5) and sum(sizes) == 60
+    _append(spark, path, _rows(60, 2))
+    sizes = _run(spark, path, out, point, rows_per_shard=5, progress=note)
+    assert max(sizes) <= 15 and sum(sizes) == 60
+    assert _values(spark, out) == sorted(r.value for r in L.read_messages(spark, path).collect())
+    assert json.loads((tmp_path / "note" / "planned.json").read_text()) == L.Log(path).last()["ends"]
+
+
+@pytest.mark.parametrize("start", ["1970-01-01T00:01:40", "1970-01-01T02:01:40+02:00", "latest"])
+def test_start_at_a_time_or_the_latest(spark, tmp_path, start):
+    path, out, point = (str(tmp_path / n) for n in ("log", "out", "point"))
+    _append(spark, path, _rows(80, 1))
+    _append(spark, path, _rows(80, 2, start=60))
+    before = _placed(L.read_messages(spark, path).collect())
+    query = L.stream_messages(spark, path, start=start).writeStream.format("parquet")
+    query = query.option("checkpointLocation", point).start(out)
+    try:
+        query.processAllAvailable()
+        _append(spark, path, _rows(10, 3, start=500))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    want = [v for _, _, v in _rows(10, 3, start=500)]
+    for placed in before.values() if start != "latest" else ():
+        first = next((i for i, r in enumerate(placed) if r.timestamp.timestamp() >= 100), len(placed))
+        want += [r.value for r in placed[first:]]
+    assert _values(spark, out) == sorted(want)
+
+
+def test_a_shortened_log_stops_the_stream(tmp_path):
+    reader = L._StreamReader(str(tmp_path), "earliest", None, None)
+    with pytest.raises(ValueError, match="end before"):
+        reader.partitions({}, {"0": 3})
+    with pytest.raises(ValueError, match="progress"):
+        L._StreamReader(str(tmp_path), "earliest", 5, None)
+
+
+def test_messages_number_as_those_of_kafka(spark, tmp_path):
+    path = str(tmp_path / "log")
+    _append(spark, path, _rows(50))
+    numbered = from_kafka(L.read_messages(spark, path)).collect()
+    assert len({r.arrival_seq for r in numbered}) == 50

@@ -223,6 +223,15 @@ FROM (
          AS INTEGER) AS k,
     CAST(sum(has_net::INT + CASE WHEN has_first THEN coalesce(first_imp, 0) ELSE 0 END
         + CASE WHEN has_second THEN imp + 11 ELSE 0 END + has_solar::INT) AS BIGINT) AS x
+  FROM flat GROUP BY e, d)"""
+    ),
+    "message_log": _sql(
+        """SELECT CASE WHEN NOT bad THEN 'sensor-' || d END AS sensor_id,
+  CASE WHEN bad THEN 'malformed' ELSE 'decoded' END AS status,
+  CASE WHEN NOT bad THEN n END AS n_records, CASE WHEN NOT bad THEN t0 END AS first_timestamp
+FROM (
+  SELECT e, d, e % 71 = 3 OR e % 61 = 17 AS bad, CAST(count(*) AS INTEGER) AS n,
+    arg_min(record_ts, pos) AS t0
   FROM flat GROUP BY e, d)"""
     ),
     "explode_records": _sql(

@@ -10,15 +10,19 @@ from wattledger.functions.text import sensor_id_or, sys_mode_code
 from wattledger.functions.timeslots import epoch_seconds, slot_floor, slot_nearest
 from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.plans import daily
-from wattledger.session import stage
-from wattledger.sources import derived
+from wattledger.session import new_folder, stage
+from wattledger.sources import derived, shard_log
 from wattledger.sources.decode import decode_flagged
+from wattledger.sources.record_sets import from_kafka
 
 # Clock of the runs: 18 hours after the first upload, so that the last ones lie too far ahead.
 NOW = derived.BASE_US // 1_000_000 + 18 * 3600
 # Clock of the time filter query, which uses the uncompressed 30 days of `events`.
 FILTER_NOW = derived.BASE_US // 1_000_000 + 20 * 86400
 
+# Shards of the log of messages.
+LOG_SHARDS = 16
+
 ARRIVAL = readings.ARRIVAL
 
 
@@ -85,6 +89,37 @@ def decode_record_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads sent to a log of keyed messages, read back as a bounded stream, and decoded."""
+    log, out, point, note = (f"{new_folder(spark)}/{name}" for name in ("log", "out", "point", "note"))
+    uploads = derived.payloads(spark, sf_dir)
+    sensor = F.regexp_extract("payload", '"sensorId":"([^"]*)"', 1)
+    uploads = uploads.select("arrival_seq", sensor.alias("key"), F.col("payload").alias("value"))
+    half = F.lit(uploads.agg(F.max("arrival_seq")).first()[0] or 0) / 2
+    for batch, part in enumerate((F.col("arrival_seq") <= half, F.col("arrival_seq") > half)):
+        shard_log.append_messages(uploads.where(part), log, LOG_SHARDS, ("arrival_seq",), "uploads", batch)
+    # Four batches, whatever the size of the log.
+    rows = max(1, -(-max(shard_log.Log(log).last()["ends"].values(), default=0) // 4))
+    query = (
+        shard_log.stream_messages(spark, log, rows_per_shard=rows, progress=note)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", point)
+        .start(out)
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    messages = spark.read.schema(shard_log.SCHEMA).parquet(out)
+    decoded = decode_flagged(from_kafka(messages))
+    return decoded.select(
+        F.col("sensorId").alias("sensor_id"),
+        F.when(F.col("malformed"), "malformed").otherwise("decoded").alias("status"),
+        F.size("record").alias("n_records"),
+        F.col("record")[0]["timestamp"].alias("first_timestamp"),
+    )
+
+
 def explode_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exploded(spark, sf_dir).select(
         *ARRIVAL,
@@ -353,6 +388,7 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "decode_record_sets": decode_record_sets,
+    "message_log": message_log,
     "explode_records": explode_records,
     "host_rcpn": host_rcpn_query,
     "channel_map": channel_map_query,

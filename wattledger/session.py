@@ -86,6 +86,14 @@ def discard(spark: SparkSession, paths: Iterable[str]) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """Name of a new folder in the shared folder; `recorded` takes note of it."""
+    folder = f"{shared_folder(spark)}/wattledger/{uuid.uuid4().hex}"
+    for record in _records:
+        record.append(folder)
+    return folder
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a parquet table in the shared folder and read it back.
 
@@ -94,8 +102,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     around it (`recorded`) discards the table; otherwise it stays in the shared folder.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/wattledger/{uuid.uuid4().hex}"
-    for record in _records:
-        record.append(folder)
+    folder = new_folder(spark)
     df.write.parquet(f"{folder}/{name}")
     return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
