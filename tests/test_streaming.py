@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
@@ -184,3 +185,35 @@ def test_expired_misses_leave_the_state(spark):
 
     assert run("x", 1_900, saved(known)) == (0, [("x", 1_900), ("y", 1_900)])
     assert run("x", 1_901, saved(known)) == (1, [("x", 2_801)])
+
+
+def test_outputs_into_a_log_once_and_in_order(spark, tmp_path):
+    from wattledger.sources.shard_log import read_messages
+
+    rows = random_uploads(7, 60)
+    logs = {name: str(tmp_path / f"{name}-log") for name in ("energy", "partner")}
+    job = MicroBatchJob(
+        path=str(tmp_path / "out"),
+        systems=lambda s: s.createDataFrame(KNOWN, SYSTEMS),
+        ess=lambda s: s.createDataFrame(reference_rows(), ESS_ENERGY),
+        now=NOW,
+        outputs=tuple(logs),
+        writers={name: sinks.log_writer(path, 3) for name, path in logs.items()},
+    )
+    want = {name: [] for name in logs}
+    for batch, part in enumerate((rows[:30], rows[30:])):
+        df = spark.createDataFrame(part, SCHEMA)
+        state = job._read_state(spark, batch)
+        whole = daily.run(df, *(f(spark) for f in (job.systems, job.ess)), NOW, state)
+        for name in logs:
+            want[name] += [tuple(r) for r in sinks.keyed_messages(getattr(whole, name)).collect()]
+        job(df, batch)
+        if batch == 1:  # the batch is repeated after its outputs were written
+            job(df, batch)
+    for name, path in logs.items():
+        found = read_messages(spark, path).orderBy("partition", "offset").collect()
+        assert sorted((r.key, r.value) for r in found) == sorted(want[name]) and found
+    times = {}
+    for r in read_messages(spark, logs["energy"]).orderBy("partition", "offset").collect():
+        times.setdefault(r.key, []).append(json.loads(r.value)["timestamp_utc"])
+    assert times and all(t == sorted(t) for t in times.values())

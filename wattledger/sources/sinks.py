@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.timeslots import utc_date
 from wattledger.sources.keyed_table import KeyedTable
+from wattledger.sources.shard_log import append_messages
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -80,6 +81,23 @@ def message_writer(fmt: str = "kafka", **options: str) -> Callable[[DataFrame, s
     return write
 
 
+def log_writer(
+    log: str, shards: int, order: tuple[str, ...] = ("timestamp_utc",), key: str = "partition_key"
+) -> Callable[[DataFrame, str, str], None]:
+    """Writer into a log of keyed messages for `MicroBatchJob.writers`.
+
+    A batch is one commit and a repeated batch adds nothing. Within a batch the messages of a shard, hence of a key, are in
+    the given order. The log belongs to one output of one stream.
+    """
+
+    def write(df: DataFrame, path: str, mode: str = "append") -> None:
+        values = F.to_json(F.struct(*[c for c in df.columns if c != key]))
+        messages = df.select(F.col(key).cast("string").alias("key"), values.alias("value"), *order)
+        append_messages(messages, log, shards, order, "stream", int(path.rpartition("=")[2]))
+
+    return write
+
+
 def upsert_writer(table: KeyedTable) -> Callable[[DataFrame, str, str], None]:
     """Writer into a keyed table for `MicroBatchJob.writers`, with the id of the batch as version.
 
