@@ -58,15 +58,15 @@ def comparable() -> Column:
     return (meter_sign() != 0) & F.col("is_registered")
 
 
-def prune_ess(ess: DataFrame, now: int, date_column: str | None = None) -> DataFrame:
-    """Reference readings that readings within the accepted time range can meet.
+def prune_ess(ess: DataFrame, now: int, date_column: str | None = None, until: int | None = None) -> DataFrame:
+    """Reference readings that readings within the accepted time range can meet, for a clock from `now` to `until`.
 
     The bounds reach the scan; `date_column` names a partition by UTC day of `start_ts`.
     """
-    slack = 2 * SLOT_SECONDS
+    slack, until = 2 * SLOT_SECONDS, now if until is None else until
     if date_column is not None:
-        ess = prune_dates(ess, now, date_column, slack)
-    return ess.where(F.col("start_ts").between(now - PAST_SECONDS - slack, now + FUTURE_SECONDS))
+        ess = prune_dates(ess, now, date_column, slack, until)
+    return ess.where(F.col("start_ts").between(now - PAST_SECONDS - slack, until + FUTURE_SECONDS))
 
 
 def ess_lookup(deltas: DataFrame, ess: DataFrame, where: Column | None = None) -> DataFrame:

@@ -106,15 +106,15 @@ def time_range_or_none(
 
 
 def prune_dates(
-    records: DataFrame, now: int, date_column: str = "event_date", slack: int = 0
+    records: DataFrame, now: int, date_column: str = "event_date", slack: int = 0, until: int | None = None
 ) -> DataFrame:
-    """The days `time_range_filter` can keep, as a filter on a table's date partition.
+    """The days `time_range_filter` can keep with a clock from `now` to `until`, as a filter on a table's date partition.
 
     For tables with one record per row, partitioned by the UTC day of the record. `slack`
     moves the start back by some seconds.
     """
     first = F.date_from_unix_date(F.lit((now - PAST_SECONDS - slack) // 86400))
-    last = F.date_from_unix_date(F.lit((now + FUTURE_SECONDS) // 86400))
+    last = F.date_from_unix_date(F.lit(((now if until is None else until) + FUTURE_SECONDS) // 86400))
     return records.where(F.col(date_column).between(first, last))
 
 
