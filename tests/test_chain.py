@@ -118,7 +118,7 @@ def test_a_day_reads_its_own_folder(spark, tmp_path):
     day = read_uploads(spark, table).where(F.col("upload_date") == F.lit(FIRST))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(upload_date" in plan
-    assert day.count() == 76
+    assert day.count() == 80
 
 
 def test_uploads_without_a_day_are_refused(spark, tmp_path):
