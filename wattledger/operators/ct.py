@@ -19,6 +19,7 @@ from wattledger.operators.readings import ARRIVAL, FUTURE_SECONDS, PAST_SECONDS,
 from wattledger.operators.skew import SAVED_SEQ, HotKeys, find_hot_keys, previous_max
 from wattledger.schema import CT_STATE, SLOT_SECONDS
 from wattledger.session import stage
+from wattledger.sources.increments import KEY, Saved
 
 CHECK_INTERVAL_SECONDS = 6 * 3600
 
@@ -139,7 +140,7 @@ _DECIDED = ("decided_system", *ARRIVAL, "swapped", "at", "until")
 
 def ct_decisions(
     rows: DataFrame,
-    state: DataFrame | None = None,
+    state: DataFrame | Saved | None = None,
     interval: int = CHECK_INTERVAL_SECONDS,
     bounded: bool = False,
 ) -> DataFrame:
@@ -154,7 +155,7 @@ def ct_decisions(
     return (_folded if bounded else _jumped)(_per_slot(rows), state, interval)
 
 
-def _folded(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
+def _folded(per_slot: DataFrame, state: DataFrame | Saved, interval: int) -> DataFrame:
     until = F.col("_ts") + interval
 
     def decision(source: str, swapped: Column) -> Column:
@@ -168,15 +169,14 @@ def _folded(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
 
     hit = F.when(F.col("hit").isNotNull(), decision("hit", F.col("hit.swapped")))
     miss = F.when(F.col("miss").isNotNull(), decision("miss", F.lit(False)))
-    per_system = (
-        per_slot.groupBy("system_id")
-        .agg(F.array_sort(F.collect_list(hit)).alias("hits"), F.min(miss).alias("miss"))
-        .join(
-            state.select(F.col("system_id").alias("_state_system"), F.col("valid_until").alias("start_until")),
-            F.col("system_id").eqNullSafe(F.col("_state_system")),
-            "left",
-        )
-    )
+    found = F.array_sort(F.collect_list(hit)).alias("hits"), F.min(miss).alias("miss")
+    if isinstance(state, Saved):
+        grouped = state.placed(per_slot, "system_id").groupBy(KEY).agg(F.first("system_id").alias("system_id"), *found)
+        per_system = state.joined(grouped, "_state").withColumn("start_until", F.col("_state.valid_until"))
+    else:
+        saved = state.select(F.col("system_id").alias("_state_system"), F.col("valid_until").alias("start_until"))
+        same = F.col("system_id").eqNullSafe(F.col("_state_system"))
+        per_system = per_slot.groupBy("system_id").agg(*found).join(saved, same, "left")
     starts_with_miss = _starts_with_miss(F.col("start_until"), F.col("miss"), F.try_element_at("hits", F.lit(1)))
     candidates = F.when(
         starts_with_miss, F.array_prepend("hits", F.col("miss").cast(_DECISION))
@@ -191,7 +191,7 @@ def _folded(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
     return per_system.select(F.col("system_id").alias("decided_system"), F.inline(made))
 
 
-def _jumped(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
+def _jumped(per_slot: DataFrame, state: DataFrame | Saved, interval: int) -> DataFrame:
     slots = stage(per_slot.withColumn("key", tagged(F.col("system_id"))).drop("system_id"), "per_slot")
     until = (F.col("_ts") + interval).alias("until")
     nodes = slots.where(F.col("hit").isNotNull()).select(
@@ -206,8 +206,12 @@ def _jumped(per_slot: DataFrame, state: DataFrame, interval: int) -> DataFrame:
         F.min("hit").alias("hit"),
         F.min(F.when(F.col("miss").isNotNull(), F.struct("miss.*", F.col("_ts").alias("at")))).alias("miss"),
     )
-    known = state.select(tagged(F.col("system_id")).alias("key"), F.col("valid_until").alias("start_until"))
-    per_system = per_system.join(known, "key", "left")
+    if isinstance(state, Saved):
+        per_system = state.joined(per_system.repartition(state.buckets, "key"), "_state", "key")
+        per_system = per_system.withColumn("start_until", F.col("_state.valid_until"))
+    else:
+        known = state.select(tagged(F.col("system_id")).alias("key"), F.col("valid_until").alias("start_until"))
+        per_system = per_system.join(known, "key", "left")
     first_is_miss = _starts_with_miss(F.col("start_until"), F.col("miss"), F.col("hit"))
     start = per_system.select(
         "key", F.when(first_is_miss, F.col("miss.at") + interval).otherwise(F.col("start_until")).alias("free")
@@ -265,9 +269,19 @@ def _decision_rows(decisions: DataFrame, state: DataFrame | None) -> DataFrame:
     return made.unionByName(saved)
 
 
+def _saved_decision(row: Column) -> Column:
+    fields = (
+        F.lit(SAVED_SEQ).cast("bigint").alias(ARRIVAL[0]),
+        F.lit(0).alias(ARRIVAL[1]),
+        row["swapped"].alias("swapped"),
+        row["valid_until"].alias("until"),
+    )
+    return F.when(row.isNotNull(), F.struct(*fields))
+
+
 def ct_inversion(
     rows: DataFrame,
-    state: DataFrame | None = None,
+    state: DataFrame | Saved | None = None,
     interval: int = CHECK_INTERVAL_SECONDS,
     decisions: DataFrame | None = None,
     hot: HotKeys | None = None,
@@ -286,13 +300,23 @@ def ct_inversion(
         decisions = ct_decisions(rows, state, interval)
     if hot is None:
         hot = find_hot_keys(rows, "system_id")
+    saved = state if isinstance(state, Saved) else None
+    if saved is not None:
+        state = None
     both = (
         _with_sign(rows)
         .withColumn("_kind", F.lit(0))
         .unionByName(_decision_rows(decisions, state), allowMissingColumns=True)
     )
     joined = previous_max(
-        both, "system_id", F.col("_decision"), "_last", hot, (*ARRIVAL, "_kind")
+        both,
+        "system_id",
+        F.col("_decision"),
+        "_last",
+        hot,
+        (*ARRIVAL, "_kind"),
+        saved=saved,
+        saved_value=_saved_decision,
     ).where("_kind = 0")
 
     comparable = F.col("meter_sign") != 0

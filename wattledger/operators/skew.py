@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,13 +18,16 @@ from pyspark.sql import types as T
 
 from wattledger.operators.readings import ARRIVAL
 
+if TYPE_CHECKING:
+    from wattledger.sources.increments import Saved
+
 ROWS_PER_TASK = 1_000_000
 # Bound on the cut points of all keys together: a table beyond this many tasks' rows gets larger chunks.
 LISTED_CUTS = 50_000
 # Rows looked at for each cut point; their share of a chunk's rows varies by about 1 / sqrt(64).
 _POINTS = 64
 
-_CHUNK = "_chunk"
+_CHUNK, _GROUP = "_chunk", "_group"
 
 
 @dataclass(frozen=True)
@@ -124,13 +128,21 @@ def previous_max(
     hot: HotKeys = NO_HOT_KEYS,
     order: tuple[str, ...] = ARRIVAL,
     materialize: Callable[[DataFrame], DataFrame] | None = None,
+    saved: Saved | None = None,
+    saved_value: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add `name`: the maximum of `value` over the rows of the key that arrived earlier.
 
     `order` starts with the columns that the keys were cut by. With hot keys the rows are read twice, for the
     maxima of the chunks and for the scan. When that is dear, `materialize` may turn the
     scanned rows, in which `name` knows only the row's own chunk, into a table.
+
+    `saved` is a state of earlier runs whose rows come before all others; `saved_value` makes the value of
+    one of them, a struct. The state is not shuffled: rows are put where it lies, once for the window and the join,
+    and keys that are cut meet it as one row per chunk.
     """
+    if saved is not None:
+        return _previous_or_saved(df, key, value, name, hot, order, materialize, saved, saved_value)
     if not hot.cuts:
         window = (
             Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -172,3 +184,42 @@ def previous_max(
         .withColumn(name, F.greatest("_carried", in_chunk))
         .drop(_CHUNK, "_key", "_key_chunk", "_carried")
     )
+
+
+def _previous_or_saved(
+    df: DataFrame,
+    key: str,
+    value: Column,
+    name: str,
+    hot: HotKeys,
+    order: tuple[str, ...],
+    materialize: Callable[[DataFrame], DataFrame] | None,
+    saved: Saved,
+    saved_value: Callable[[Column], Column],
+) -> DataFrame:
+    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    carried = saved_value(F.col("_carried"))
+    if not hot.cuts:
+        # The window leaves rows sorted by key, as the join wants them.
+        rows = saved.placed(df, key, _GROUP).withColumn(name, F.max(value).over(before.partitionBy(_GROUP)))
+        rows = saved.joined(rows, "_carried", _GROUP)
+        return rows.withColumn(name, F.greatest(carried, F.col(name))).drop(_GROUP, "_carried")
+
+    chunked = hot.split(df, key, order=order).withColumn(_GROUP, saved.tag(key))
+    in_chunk = F.max(value).over(before.partitionBy(_GROUP, _CHUNK))
+    if materialize is not None:
+        chunked = materialize(chunked.withColumn(name, in_chunk))
+        in_chunk = F.col(name)
+    # Keys that are not cut are one chunk, with nothing before it but the state.
+    chunks = chunked.groupBy(_GROUP, _CHUNK).agg(F.max(value).alias("_max"))
+    earlier = Window.partitionBy(_GROUP).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.repartition(saved.buckets, _GROUP).withColumn("_max", F.max("_max").over(earlier))
+    chunks = saved.joined(chunks, "_carried", _GROUP).select(
+        F.col(_GROUP).alias("_of"), F.col(_CHUNK).alias("_of_chunk"), F.greatest(carried, "_max").alias("_before")
+    )
+    same = (F.col(_GROUP) == F.col("_of")) & (F.col(_CHUNK) == F.col("_of_chunk"))
+    return (
+        chunked.join(chunks, same, "left")
+        .withColumn(name, F.greatest("_before", in_chunk))
+        .drop(_CHUNK, _GROUP, "_of", "_of_chunk", "_before")
+    )

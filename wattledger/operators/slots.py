@@ -17,6 +17,7 @@ from wattledger.functions.timeslots import iso_utc, slot_floor
 from wattledger.operators.readings import ARRIVAL
 from wattledger.operators.skew import SAVED_SEQ, HotKeys, find_hot_keys, previous_max
 from wattledger.schema import SLOT_SECONDS, SLOT_STATE
+from wattledger.sources.increments import Saved
 
 FIRST, DUPLICATE, LATE, GAP, EMIT = "FIRST", "DUPLICATE", "LATE", "GAP", "EMIT"
 
@@ -38,6 +39,16 @@ def _with_slots(readings: DataFrame) -> DataFrame:
     return readings.withColumn("slot", slot_floor(F.col("event_timestamp")))
 
 
+def _saved_rank(row: Column) -> Column:
+    rank = F.struct(
+        row["slot"].alias("slot"),
+        F.lit(-SAVED_SEQ).cast("bigint").alias("neg_seq"),
+        F.lit(0).alias("neg_pos"),
+        *[row[c].alias(c) for c in ("event_timestamp", "raw_imported_ws", "raw_exported_ws")],
+    )
+    return F.when(row["slot"].isNotNull(), rank)
+
+
 def _state_rows(state: DataFrame) -> DataFrame:
     return state.select(
         *[f.name for f in SLOT_STATE],
@@ -49,7 +60,7 @@ def _state_rows(state: DataFrame) -> DataFrame:
 
 def slot_classify(
     readings: DataFrame,
-    state: DataFrame | None = None,
+    state: DataFrame | Saved | None = None,
     hot: HotKeys | None = None,
     materialize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
@@ -64,12 +75,22 @@ def slot_classify(
     if hot is None:
         hot = find_hot_keys(readings, "host_rcpn")
     rows = _with_slots(readings)
+    saved = state if isinstance(state, Saved) else None
+    if saved is not None:
+        state = None
     if state is not None:
         rows = rows.withColumn("_saved", F.lit(False)).unionByName(
             _state_rows(state), allowMissingColumns=True
         )
     rows = previous_max(
-        rows, "host_rcpn", _accepted_rank(), "previous", hot, materialize=materialize
+        rows,
+        "host_rcpn",
+        _accepted_rank(),
+        "previous",
+        hot,
+        materialize=materialize,
+        saved=saved,
+        saved_value=_saved_rank,
     )
     if state is not None:
         rows = rows.where("not _saved").drop("_saved")
@@ -85,6 +106,11 @@ def slot_classify(
     )
 
 
+def slot_changes(classified: DataFrame) -> DataFrame:
+    """The rows of the state that a run has changed: accepted readings are later than what was saved of their host."""
+    return slot_state(classified.where(F.col("slot_class").isin(FIRST, GAP, EMIT)))
+
+
 def slot_state(readings: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """Last accepted reading per host after a run, for the next run."""
     needed = ["host_rcpn", "slot", "event_timestamp", "raw_imported_ws", "raw_exported_ws"]

@@ -15,14 +15,15 @@ from wattledger.operators.skew import NO_HOT_KEYS, ROWS_PER_TASK, HotKeys, find_
 from wattledger.plans.outputs import energy_dataframe, partner_record, partner_telemetry
 from wattledger.session import discard, recorded, stage
 from wattledger.sources.decode import decode_flagged, record_json
+from wattledger.sources.increments import Saved
 
 
 @dataclass(frozen=True)
 class State:
     """What one run leaves for the next; every part may be missing."""
 
-    slots: DataFrame | None = None
-    ct: DataFrame | None = None
+    slots: DataFrame | Saved | None = None
+    ct: DataFrame | Saved | None = None
     misses: DataFrame | None = None
 
 
@@ -54,7 +55,7 @@ def hot_devices(record_sets: DataFrame) -> HotKeys:
 
 def split_and_correct(
     enriched: DataFrame,
-    state: DataFrame | None = None,
+    state: DataFrame | Saved | None = None,
     decisions: DataFrame | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
@@ -73,7 +74,7 @@ def _narrowed(classified: DataFrame) -> DataFrame:
     )
 
 
-def _classify(rows: DataFrame, state: DataFrame | None, hot: HotKeys) -> DataFrame:
+def _classify(rows: DataFrame, state: DataFrame | Saved | None, hot: HotKeys) -> DataFrame:
     """Classified readings that are cheap to read again, from one pass over the uploads."""
     if not hot.cuts:
         return stage(_narrowed(slots.slot_classify(rows, state, hot)), "classified")
@@ -101,12 +102,17 @@ def expire(state: State, before: int) -> State:
     )
 
 
+def _rows(state: DataFrame | Saved | None) -> DataFrame | None:
+    return state.read() if isinstance(state, Saved) else state
+
+
 class Outputs:
     """The job's outputs, planned when first asked for.
 
     `classified` and `looked_up` are tables, so several outputs share their work. With `share`
     the corrected rows, the decisions and the reported misses become tables too, when first
-    asked for. Call `close` when all outputs and the state have been written.
+    asked for. Call `close` when all outputs and the state have been written. `clock` is the clock of the
+    run where it gave the times of the misses, else None.
     """
 
     def __init__(
@@ -133,7 +139,7 @@ class Outputs:
         self._strict = strict
         self._share = share
         self._paths = paths
-        self._clock = clock
+        self.clock = clock
         self._bounded = bounded
         self._counts = counts
 
@@ -236,14 +242,23 @@ class Outputs:
         """State for the next run. Where the clock of the run gave the times of the misses, entries it
         has passed are dropped: a later run, whose clock is not earlier, reports with or without them."""
         misses = throttle.miss_state(self._report_times, self._before.misses)
-        if self._clock is not None:
-            misses = misses.where(F.col("expires_at") >= self._clock)
+        if self.clock is not None:
+            misses = misses.where(F.col("expires_at") >= self.clock)
         return State(
-            slots=slots.slot_state(self._classified, self._before.slots),
-            ct=ct.ct_state(self._decisions, self._before.ct),
+            slots=slots.slot_state(self._classified, _rows(self._before.slots)),
+            ct=ct.ct_state(self._decisions, _rows(self._before.ct)),
             misses=misses,
         )
 
+    @cached_property
+    def changed(self) -> State:
+        """The rows of the state that this run has changed, each newer than the row it replaces."""
+        return State(
+            slots=slots.slot_changes(self._classified),
+            ct=ct.ct_state(self._decisions),
+            misses=throttle.miss_state(self._report_times),
+        )
+
 
 def run(
     record_sets: DataFrame,

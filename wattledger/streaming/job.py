@@ -2,12 +2,10 @@
 
 Each micro-batch runs the batch operators, with the keyed state of the batches before it.
 So a stream gives the same rows as one batch over the same uploads, large devices are cut
-as in a batch, and the metadata and reference tables are read afresh each time. Devices
-report about every five minutes, hence a batch changes most of the state anyway and the
-state is written as a whole.
+as in a batch, and the metadata and reference tables are read afresh each time. A batch writes
+the rows of the state that it has changed, and reads the state where its buckets lie, without a shuffle.
 
-A batch writes to folders named after its id, and its state to the one of two folders that
-it did not read; its clock and, for tables given as `FileTable`, the files it reads are written down
+A batch writes to folders named after its id, its part of the state too; its clock and, for tables given as `FileTable`, the files it reads are written down
 first. Repeating a batch after a failure therefore gives the same outcome, whatever has been added to those
 tables meanwhile. The tables a batch stages are deleted when it ends.
 
@@ -20,15 +18,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wattledger.plans import daily
 from wattledger.schema import CT_STATE, MISS_STATE, SLOT_STATE
 from wattledger.session import exists, first_time
 from wattledger.sources import sinks
+from wattledger.sources.increments import Increments
 from wattledger.sources.snapshots import FileTable
 
 WRITERS = {
@@ -41,6 +39,8 @@ WRITERS = {
 }
 
 _STATES = {"slots": SLOT_STATE, "ct": CT_STATE, "misses": MISS_STATE}
+#: Columns that say when a row was last of use.
+_AGES = {"slots": "slot", "ct": "valid_until", "misses": "expires_at"}
 
 
 @dataclass
@@ -51,6 +51,9 @@ class MicroBatchJob:
     `outputs` names the tables to write under `path`, `writers` other writers for some of them, such
     as `sinks.message_writer`. State is kept for ever unless `state_max_age` (seconds before the
     run) is given; only expired misses go by themselves. `options` go to the batch job.
+
+    `state_buckets` is the number of files of the state's folders, and of the tasks that join it: about
+    the bytes of the state over 256 MB, or `spark.sql.shuffle.partitions`.
     """
 
     path: str
@@ -61,27 +64,23 @@ class MicroBatchJob:
     state_max_age: int | None = None
     options: dict = field(default_factory=dict)
     writers: dict = field(default_factory=dict)
+    state_buckets: int = 64
+
+    def _increments(self, name: str) -> Increments:
+        schema = _STATES[name]
+        return Increments(f"{self.path}/state/{name}", schema, schema.names[0], self.state_buckets)
 
-    def _state_path(self, name: str, batch_id: int) -> str:
-        return f"{self.path}/state/{name}/generation={batch_id % 2}"
+    def _keep(self, name: str, now: int | None) -> Column | None:
+        """What a batch with this clock leaves to the next."""
+        return None if self.state_max_age is None else F.col(_AGES[name]) >= now - self.state_max_age
 
     def _read_state(self, spark: SparkSession, batch_id: int) -> daily.State:
         if batch_id == 0:
             return daily.State()
-        parts = {}
-        for name, schema in _STATES.items():
-            saved = spark.read.schema(
-                T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-            ).parquet(self._state_path(name, batch_id - 1))
-            expected = F.col("batch_id") == batch_id - 1
-            parts[name] = saved.where(
-                F.when(expected, True).otherwise(
-                    F.raise_error(F.lit(f"{name} state is not of batch {batch_id - 1}")).cast(
-                        "boolean"
-                    )
-                )
-            ).drop("batch_id")
-        return daily.State(**parts)
+        last = batch_id - 1
+        now = None if self.state_max_age is None else self._clock(spark, last)
+        parts = {name: self._increments(name).at(spark, last, self._keep(name, now)) for name in _STATES}
+        return daily.State(parts["slots"], parts["ct"], parts["misses"].read())
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -113,20 +112,19 @@ class MicroBatchJob:
             writers[name](
                 getattr(result, name), f"{self.path}/{name}/batch_id={batch_id}", "overwrite"
             )
-        counted = result._looked_up.sparkSession.createDataFrame(
+        spark = result._looked_up.sparkSession
+        counted = spark.createDataFrame(
             sorted(result.dropped.items()), "reason string, n bigint"
         )
         sinks.write_table(counted.coalesce(1), f"{self.path}/dropped/batch_id={batch_id}", "overwrite")
-        after = result.state
-        if self.state_max_age is not None:
-            after = daily.expire(after, now - self.state_max_age)
         for name in _STATES:
-            (
-                getattr(after, name)
-                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite")
-                .parquet(self._state_path(name, batch_id))
-            )
+            state = self._increments(name)
+            keep = self._keep(name, now)
+            if name == "misses" and result.clock is not None:
+                keep = F.col("expires_at") >= result.clock
+            state.put(getattr(result.changed, name), batch_id, keep)
+            if batch_id:
+                state.tidy(spark, batch_id - 1)
 
 
 def start(
