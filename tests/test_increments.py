@@ -181,6 +181,13 @@ def test_a_batch_writes_only_changed_keys(spark, tmp_path):
         # The fourth batch is late: it changes nothing.
         assert written == (set(hosts) if n != 3 else set())
 
+    # Nothing of a batch is accepted: what it left out is counted all the same, with a state and without one.
+    excluded = spark.conf.get("spark.sql.adaptive.optimizer.excludedRules", None)
+    for before in (saved, daily.State()):
+        out = daily.run(stage(batch(9, "ab", 40_000 + 3_600), "late"), systems, ess, 40_000, before)
+        assert out.dropped["too_new"] == 2 and not out.changed.slots.count()
+    assert spark.conf.get("spark.sql.adaptive.optimizer.excludedRules", None) == excluded
+
     # Devices that are too old start over.
     old = job("old", state_max_age=36_700)
     for n, (hosts, at) in enumerate(batches[:3]):

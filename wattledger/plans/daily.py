@@ -13,7 +13,7 @@ from wattledger.functions.channels import has_inverter_with_id
 from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.operators.skew import NO_HOT_KEYS, ROWS_PER_TASK, HotKeys, find_hot_keys
 from wattledger.plans.outputs import energy_dataframe, partner_record, partner_telemetry
-from wattledger.session import discard, recorded, stage
+from wattledger.session import discard, keeping_empty_stages, recorded, stage
 from wattledger.sources.decode import decode_flagged, record_json
 from wattledger.sources.increments import Saved
 
@@ -313,7 +313,8 @@ def run(
             passed = None if isinstance(now, Column) else now
         else:
             rows = rows.withColumn("processed_at", F.coalesce(F.col("processed_at").cast("bigint"), clock))
-        classified = _classify(rows, state.slots, hot)
+        with keeping_empty_stages(rows.sparkSession):
+            classified = _classify(rows, state.slots, hot)
         # Judged here, so that only a part of the record has to travel on.
         deltas = slots.energy_delta(classified).withColumns(
             {

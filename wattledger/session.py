@@ -86,6 +86,24 @@ def discard(spark: SparkSession, paths: Iterable[str]) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_AQE_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
+_EMPTY_STAGES = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+
+@contextmanager
+def keeping_empty_stages(spark: SparkSession) -> Iterator[None]:
+    """Keep stages without rows in the plans that run within the block; otherwise what they have observed is lost."""
+    before = spark.conf.get(_AQE_EXCLUDED, None)
+    spark.conf.set(_AQE_EXCLUDED, ",".join(filter(None, [before, _EMPTY_STAGES])))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_AQE_EXCLUDED)
+        else:
+            spark.conf.set(_AQE_EXCLUDED, before)
+
+
 def new_folder(spark: SparkSession) -> str:
     """Name of a new folder in the shared folder; `recorded` takes note of it."""
     folder = f"{shared_folder(spark)}/wattledger/{uuid.uuid4().hex}"
