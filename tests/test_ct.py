@@ -8,6 +8,7 @@ from machines import ct_machine, cut_every
 
 from wattledger.operators import ct, skew
 from wattledger.schema import CT_STATE, ESS_ENERGY
+from wattledger.sources.increments import Increments
 
 ROW = (
     "system_id string, arrival_seq bigint, record_pos int, timestamp_utc bigint, "
@@ -172,3 +173,35 @@ def test_correction_exchanges_everything(spark):
         (1, 2, 3, None, False),
         (2, 1, None, 3, True),
     ]
+
+
+@pytest.mark.parametrize("form", ["none", "rows", "saved"])
+@pytest.mark.parametrize("hot", CUTS)
+@pytest.mark.parametrize("seed", [4, 5])
+def test_narrow_checks_give_the_same_flags(spark, tmp_path, seed, hot, form):
+    rows = random_rows(seed, 1200)
+    first, second = (spark.createDataFrame(r, ROW) for r in (rows[:500], rows[500:]))
+    state = saved = None
+    if form != "none":
+        state = saved = ct.ct_state(ct.ct_decisions(first, interval=3600))
+    if form == "saved":
+        table = Increments(str(tmp_path / "s"), CT_STATE, "system_id", 3)
+        table.put(state, 0)
+        saved = table.at(spark, 0)
+    want = result_flags(ct.ct_inversion(second, state, 3600, hot=hot))
+    needed = [c for c in second.columns if c != "ess_outcome"]
+    checks = second.where("raw_imported_ws != raw_exported_ws")
+    got = ct.ct_apply(second.select(needed), checks, saved, 3600, hot=hot)
+    assert result_flags(got) == want and sorted(got.columns) == sorted([*needed, "swapped", "checked"])
+    assert len({f for f in want.values()}) == 4
+
+
+def test_only_narrow_rows_are_looked_up(spark):
+    rows = spark.createDataFrame(
+        [("s", 1, 0, 3_299, 5, 1, True, "x"), ("s", 2, 0, 3_299, 3, 3, True, "x"), ("s", 3, 0, 3_299, 5, 1, False, "x")],
+        "system_id string, arrival_seq bigint, record_pos int, timestamp_utc bigint, raw_imported_ws bigint, "
+        "raw_exported_ws bigint, is_registered boolean, record string",
+    )
+    got = ct.check_rows(rows, spark.createDataFrame([("s", 3_000, 1.0, 2.0)], ESS_ENERGY))
+    assert [(r.arrival_seq, r.ess_outcome) for r in got.collect()] == [(1, "NEG")]
+    assert "record" not in got.columns

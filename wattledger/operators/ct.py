@@ -279,6 +279,17 @@ def _saved_decision(row: Column) -> Column:
     return F.when(row.isNotNull(), F.struct(*fields))
 
 
+def _saved_event(row: Column) -> Column:
+    fields = (
+        F.lit(SAVED_SEQ).cast("bigint").alias(ARRIVAL[0]),
+        F.lit(0).alias(ARRIVAL[1]),
+        F.lit(1).alias("kind"),
+        row["swapped"].alias("swapped"),
+        row["valid_until"].alias("until"),
+    )
+    return F.when(row.isNotNull(), F.struct(*fields))
+
+
 def ct_inversion(
     rows: DataFrame,
     state: DataFrame | Saved | None = None,
@@ -296,6 +307,18 @@ def ct_inversion(
     The decision in force is the latest one before the reading, a running maximum. `hot`
     lists systems too large for one task; they are looked up when not given.
     """
+    judged = _judged(rows, state, interval, decisions, hot)
+    return judged.drop("meter_sign", "_ts", "_kind", "_decision", "_last")
+
+
+def _judged(
+    rows: DataFrame,
+    state: DataFrame | Saved | None,
+    interval: int,
+    decisions: DataFrame | None,
+    hot: HotKeys | None,
+) -> DataFrame:
+    """`ct_inversion` with the decision in force, `_last`."""
     if decisions is None:
         decisions = ct_decisions(rows, state, interval)
     if hot is None:
@@ -329,10 +352,84 @@ def ct_inversion(
         .when(F.col("ess_outcome") == EQUAL, F.lit(False))
         .otherwise(_opposite())
     )
+    return joined.withColumn("swapped", swapped).withColumn("checked", comparable & due)
+
+
+def check_rows(rows: DataFrame, ess: DataFrame) -> DataFrame:
+    """The readings a check can use, with nothing but what it needs of them, and their reference meter's outcome.
+
+    Only these narrow rows are shuffled by system and slot. The table goes to `ct_decisions` and `ct_apply`.
+    """
+    needed = ("system_id", *ARRIVAL, "timestamp_utc", "raw_imported_ws", "raw_exported_ws")
+    found = ess_lookup(rows.where(comparable()).select(*needed), ess)
+    return found.drop("ess_imported_ws", "ess_exported_ws")
+
+
+def _events(checks: DataFrame) -> DataFrame:
+    """What readings meet at checks with a reference reading: rows just before the reading, and where its reference
+    counters were equal, rows just after it that put the decision in force back."""
+    checked = checks.where(F.col("checked") & F.col("ess_outcome").isin(EQUAL, POS, NEG))
+
+    def event(kind: int, swapped: str) -> Column:
+        return F.struct(
+            *ARRIVAL,
+            F.lit(kind).alias("kind"),
+            F.col(swapped).alias("swapped"),
+            F.col("_last.until").alias("until"),
+        )
+
+    both = F.when(F.col("ess_outcome") == EQUAL, F.array(event(-1, "swapped"), event(1, "_last.swapped")))
+    return checked.select(
+        "system_id", F.explode(F.coalesce(both, F.array(event(-1, "swapped")))).alias("_event")
+    )
+
+
+def ct_apply(
+    rows: DataFrame,
+    checks: DataFrame,
+    state: DataFrame | Saved | None = None,
+    interval: int = CHECK_INTERVAL_SECONDS,
+    decisions: DataFrame | None = None,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """`ct_inversion` of rows that carry no outcome: it comes from `check_rows`, a table, which holds the comparable ones.
+
+    The checks are judged on the narrow table. A reading then meets the last event before it: the decision
+    in force, or what its own check has found.
+    """
+    if decisions is None:
+        decisions = ct_decisions(checks, state, interval)
+    if hot is None:
+        hot = find_hot_keys(rows, "system_id")
+    judged = _judged(checks, state, interval, decisions, hot)
+
+    def after(df: DataFrame, system: str, seq: Column, pos: Column, until: str) -> DataFrame:
+        fields = (
+            seq.cast("bigint").alias(ARRIVAL[0]),
+            pos.cast("int").alias(ARRIVAL[1]),
+            F.lit(1).alias("kind"),
+            F.col("swapped").alias("swapped"),
+            F.col(until).alias("until"),
+        )
+        return df.select(F.col(system).alias("system_id"), F.struct(*fields).alias("_event"))
+
+    events = _events(judged).unionByName(after(decisions, "decided_system", *[F.col(c) for c in ARRIVAL], "until"))
+    saved = state if isinstance(state, Saved) else None
+    if state is not None and saved is None:
+        events = events.unionByName(after(state, "system_id", F.lit(SAVED_SEQ), F.lit(0), "valid_until"))
+    order = (*ARRIVAL, "_kind")
+    events = events.select(
+        "system_id", "_event", *[F.col(f"_event.{c}") for c in ARRIVAL], F.col("_event.kind").alias("_kind")
+    )
+    both = _with_sign(rows).withColumn("_kind", F.lit(0)).unionByName(events, allowMissingColumns=True)
+    met = previous_max(
+        both, "system_id", F.col("_event"), "_last", hot, order, saved=saved, saved_value=_saved_event
+    ).where("_kind = 0")
+    known, until = F.col("meter_sign") != 0, F.col("_last.until")
     return (
-        joined.withColumn("swapped", swapped)
-        .withColumn("checked", comparable & due)
-        .drop("meter_sign", "_ts", "_kind", "_decision", "_last")
+        met.withColumn("swapped", known & F.coalesce("_last.swapped", F.lit(False)))
+        .withColumn("checked", known & (until.isNull() | (F.col("_ts") >= until)))
+        .drop("meter_sign", "_ts", "_kind", "_event", "_last")
     )
 
 

@@ -58,10 +58,18 @@ def split_and_correct(
     state: DataFrame | Saved | None = None,
     decisions: DataFrame | None = None,
     hot: HotKeys | None = None,
+    checks: DataFrame | None = None,
 ) -> DataFrame:
-    """Correct registered systems, pass unregistered ones, and unite both."""
+    """Correct registered systems, pass unregistered ones, and unite both.
+
+    Without `checks`, the table of `ct.check_rows`, the rows carry their outcome themselves.
+    """
     known = readings.registered(enriched)
-    corrected = ct.ct_correct(ct.ct_inversion(known, state, decisions=decisions, hot=hot))
+    if checks is None:
+        flagged = ct.ct_inversion(known, state, decisions=decisions, hot=hot)
+    else:
+        flagged = ct.ct_apply(known, checks, state, decisions=decisions, hot=hot)
+    corrected = ct.ct_correct(flagged)
     others = readings.unregistered(enriched).withColumn("checked", F.lit(False))
     return corrected.unionByName(others)
 
@@ -109,7 +117,7 @@ def _rows(state: DataFrame | Saved | None) -> DataFrame | None:
 class Outputs:
     """The job's outputs, planned when first asked for.
 
-    `classified` and `looked_up` are tables, so several outputs share their work. With `share`
+    `classified`, `looked_up` and `checks` are tables, so several outputs share their work. With `share`
     the corrected rows, the decisions and the reported misses become tables too, when first
     asked for. Call `close` when all outputs and the state have been written. `clock` is the clock of the
     run where it gave the times of the misses, else None.
@@ -119,6 +127,7 @@ class Outputs:
         self,
         classified: DataFrame,
         looked_up: DataFrame,
+        checks: DataFrame,
         state: State,
         jitter: tuple[int, int] | None,
         deployment: str,
@@ -132,6 +141,7 @@ class Outputs:
     ):
         self._classified = classified
         self._looked_up = looked_up
+        self._checks = checks
         self._before = state
         self._jitter = jitter
         self._deployment = deployment
@@ -165,9 +175,8 @@ class Outputs:
 
     @cached_property
     def _decisions(self) -> DataFrame:
-        rows = readings.registered(self._enriched)
         with recorded() as paths:
-            made = ct.ct_decisions(rows, self._before.ct, bounded=self._bounded)
+            made = ct.ct_decisions(self._checks, self._before.ct, bounded=self._bounded)
         self._paths += paths
         return self._kept(made, "decisions")
 
@@ -192,7 +201,7 @@ class Outputs:
         # In a small table no system can be too large; counting it reads file footers only.
         small = self._looked_up.count() <= ROWS_PER_TASK
         hot = NO_HOT_KEYS if small else None
-        rows = split_and_correct(self._enriched, self._before.ct, self._decisions, hot)
+        rows = split_and_correct(self._enriched, self._before.ct, self._decisions, hot, self._checks)
         return self._kept(rows, "corrected")
 
     @cached_property
@@ -276,8 +285,8 @@ def run(
 ) -> Outputs:
     """Run the job up to the tables its outputs are made from.
 
-    They are staged in the shared folder: the classified readings, one row of metadata per host,
-    and the enriched deltas, which the check of inverted meters reads twice. `now` is the clock
+    They are staged in the shared folder: the classified readings, one row of metadata per host, the
+    enriched deltas, and the few fields of comparable ones with the outcome of their reference meter. `now` is the clock
     of the whole run, by default the time of the call. `processed_at` (whole seconds) is taken
     from the record sets where they have it, else from the clock. Local mode leaves out the
     time range and the validation.
@@ -326,13 +335,15 @@ def run(
         looked_up = enrich.lookup_systems(deltas, known, reduced=True)
         if not local_mode and not isinstance(now, Column):
             ess = ct.prune_ess(ess, now, ess_date_column)
-        looked_up = ct.ess_lookup(looked_up, ess, ct.comparable())
         invalid = F.lit(False) if local_mode else F.col("system_host_rcpn").isNotNull() & ~F.col("is_valid")
         looked_up = looked_up.observe(known_deltas, F.count_if(invalid).alias("not_valid"))
-        looked_up = stage(looked_up.drop("ess_imported_ws", "ess_exported_ws"), "looked_up")
+        looked_up = stage(looked_up, "looked_up")
+        checked = enrich.matched(looked_up) if local_mode else enrich.matched(looked_up).where("is_valid")
+        checks = stage(ct.check_rows(checked, ess), "checks")
     return Outputs(
         classified,
         looked_up,
+        checks,
         state,
         jitter,
         deployment,
