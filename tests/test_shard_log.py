@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import json
+import os
 import random
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
+from wattledger.session import stage
+from wattledger.sources import derived
 from wattledger.sources import shard_log as L
 from wattledger.sources.record_sets import from_kafka
 
@@ -186,3 +190,69 @@ def test_messages_number_as_those_of_kafka(spark, tmp_path):
     _append(spark, path, _rows(50))
     numbered = from_kafka(L.read_messages(spark, path)).collect()
     assert len({r.arrival_seq for r in numbered}) == 50
+
+
+def test_a_bounded_batch_of_one_shard_is_read_by_many_tasks():
+    pieces = [(L.Segment(0, f"{n}.parquet", L.SEGMENT_ROWS, None), 0, L.SEGMENT_ROWS) for n in range(6)]
+    small = [(L.Segment(1, f"s{n}.parquet", 10, None), 0, 10) for n in range(6)]
+    parts = L._parts(pieces + small)
+    assert [p for part in parts for p in part.pieces] == pieces + small
+    assert len(parts) == 7 and all(sum(high - low for _, low, high in p.pieces) <= L.SEGMENT_ROWS for p in parts)
+
+
+def _events(path, n, group):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    columns = {
+        "event_id": pa.array(range(n), pa.int64()),
+        "ts": pa.array([1_704_067_200_000_000 + i * 60_000_000 for i in range(n)], pa.timestamp("us")),
+        "user_id": pa.array([i % 7 for i in range(n)], pa.int64()),
+        "event_type": pa.array(["view"] * n),
+        "value": pa.array([0.5 * i for i in range(n)], pa.float64()),
+    }
+    path.mkdir()
+    pq.write_table(pa.table(columns), path / "events.parquet", row_group_size=group)
+    return str(path)
+
+
+def test_events_in_one_row_group_are_spread(spark, tmp_path):
+    split, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    spark.conf.set(split, "8k")
+    spark.conf.set(cost, "1k")
+    try:
+        one, many = _events(tmp_path / "one", 4000, 4000), _events(tmp_path / "many", 4000, 100)
+        read = [spark.read.schema(derived._EVENTS).parquet(f"{d}/events.parquet") for d in (one, many)]
+        cores = spark.sparkContext.defaultParallelism
+        assert min(t.rdd.getNumPartitions() for t in read) >= cores
+        rows = derived.events(spark, one)
+        held = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(held) == 4000 and max(held) <= 2 * 4000 / cores
+        # Level splits are left as they are.
+        assert derived._spread(read[1]) is read[1]
+        assert sorted(rows.collect()) == sorted(derived.events(spark, many).collect())
+    finally:
+        spark.conf.unset(split)
+        spark.conf.unset(cost)
+
+
+def test_the_query_computes_a_payload_once_and_keeps_no_copy(spark, tmp_path, monkeypatch):
+    from wattledger.plans import queries
+
+    seen, payloads, files = spark.sparkContext.accumulator(0), derived.payloads, []
+
+    def note(value):
+        seen.add(1)
+        return value
+
+    def staging(df, name):
+        files.extend((table := stage(df, name)).inputFiles())
+        return table
+
+    count = F.udf(note, "string").asNondeterministic()
+    monkeypatch.setattr(derived, "payloads", lambda *a: payloads(*a).withColumn("payload", count("payload")))
+    monkeypatch.setattr(queries, "stage", staging, raising=False)
+    rows = queries.message_log(spark, _events(tmp_path / "in", 300, 300)).collect()
+    assert seen.value == len(rows) == 300
+    assert sum(r.status == "malformed" for r in rows) == sum(i % 71 == 3 or i % 61 == 17 for i in range(300))
+    assert files and not any(os.path.exists(unquote(urlparse(f).path)) for f in files)

@@ -10,7 +10,7 @@ from wattledger.functions.text import sensor_id_or, sys_mode_code
 from wattledger.functions.timeslots import epoch_seconds, slot_floor, slot_nearest
 from wattledger.operators import ct, enrich, readings, slots, throttle
 from wattledger.plans import daily
-from wattledger.session import new_folder, stage
+from wattledger.session import discard, new_folder, recorded, stage
 from wattledger.sources import derived, shard_log
 from wattledger.sources.decode import decode_flagged
 from wattledger.sources.record_sets import from_kafka
@@ -95,9 +95,13 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     uploads = derived.payloads(spark, sf_dir)
     sensor = F.regexp_extract("payload", '"sensorId":"([^"]*)"', 1)
     uploads = uploads.select("arrival_seq", sensor.alias("key"), F.col("payload").alias("value"))
-    half = F.lit(uploads.agg(F.max("arrival_seq")).first()[0] or 0) / 2
-    for batch, part in enumerate((F.col("arrival_seq") <= half, F.col("arrival_seq") > half)):
-        shard_log.append_messages(uploads.where(part), log, LOG_SHARDS, ("arrival_seq",), "uploads", batch)
+    with recorded() as staged:
+        # Each write computes its messages twice, so they are staged: a payload costs far more than reading it back.
+        uploads = stage(uploads, "uploads")
+        half = F.lit(uploads.agg(F.max("arrival_seq")).first()[0] or 0) / 2
+        for batch, part in enumerate((F.col("arrival_seq") <= half, F.col("arrival_seq") > half)):
+            shard_log.append_messages(uploads.where(part), log, LOG_SHARDS, ("arrival_seq",), "uploads", batch)
+    discard(spark, staged)
     # Four batches, whatever the size of the log.
     rows = max(1, -(-max(shard_log.Log(log).last()["ends"].values(), default=0) // 4))
     query = (

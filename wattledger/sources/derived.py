@@ -23,10 +23,19 @@ _EM_SPACE = "\u2003"
 
 
 def _spread(table: DataFrame) -> DataFrame:
-    """A table read by fewer tasks than there are cores is spread over them; the records
-    built from it are far larger than its rows."""
+    """A table read by fewer tasks than there are cores, or mostly by a few of its tasks, is
+    spread over the cores; the records built from it are far larger than its rows.
+
+    A row group is read by one task, so a file of few large ones leaves splits without rows.
+    The rows of each split are counted from the footers; no column is read."""
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    splits = table.rdd.getNumPartitions()
+    if splits >= cores:
+        held = table.groupBy(F.spark_partition_id().alias("split")).count()
+        most, rows = held.agg(F.max("count"), F.sum("count")).first()
+        if (most or 0) * cores <= 1.2 * (rows or 0):
+            return table
+    return table.repartition(max(splits, cores))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

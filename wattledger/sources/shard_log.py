@@ -34,8 +34,9 @@ from pyspark.sql.datasource import (
 )
 
 FORMAT = "shard_log"
-#: Rows of a segment, which is what a task holds in memory, and of a task that reads.
-SEGMENT_ROWS, TASK_ROWS = 100_000, 1_000_000
+#: Rows of a segment, which is what a task holds in memory, and of a task that reads. Few, so that the rows of one shard in
+#: a bounded batch, and the files that a stream writes from them, still keep many cores busy.
+SEGMENT_ROWS = TASK_ROWS = 100_000
 
 _TIME = pa.timestamp("us", tz="UTC")
 _STORED = pa.schema([("timestamp", _TIME), ("key", pa.string()), ("value", pa.string())])
@@ -346,7 +347,7 @@ def append_messages(
 
     Rows are parted by range of (shard, order, key), so a shard or key with very many rows is written by several tasks,
     and a message's place still follows the order. Nulls come first; a null key is a key. `timestamp` is the time of the
-    write unless given.
+    write unless given. The ranges are sampled first, so the messages are computed twice: stage costly ones.
     """
     messages.sparkSession.dataSource.register(ShardLog)
     shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("_shard")
